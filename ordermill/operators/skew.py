@@ -1,0 +1,39 @@
+"""Find the few keys that hold so many rows that one task must not get them all."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000   # rows of one key from which on it gets its own treatment
+SAMPLE = 0.001         # share of the key column that is counted
+MOST_HOT_KEYS = 1_000  # upper bound on the keys returned, hottest first
+
+
+def hot_keys(key: str, *tables: DataFrame, hot_rows: int = HOT_ROWS,
+             sample: float = SAMPLE, most: int = MOST_HOT_KEYS) -> list:
+    """Keys with about ``hot_rows`` rows or more across ``tables``.
+
+    One job reads only the key column and counts a sample of it, so what is
+    shuffled is ``sample`` of the ids. The answer steers the physical plan only:
+    a key that is missed, or lies beyond ``most``, takes the ordinary path and
+    yields the same rows. It is collected once, so every later attempt of a task
+    sees the same keys.
+    """
+    ids = (t.select(F.col(key)).where(F.col(key).isNotNull()).sample(sample, seed=7)
+           for t in tables)
+    counted = reduce(DataFrame.unionAll, ids).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hottest = (counted.where(F.col("n") >= hot_rows * sample)
+               .orderBy(F.col("n").desc(), key).limit(most))
+    return [row[key] for row in hottest.collect()]
+
+
+def is_hot(key: str, hot: list) -> Column:
+    return F.col(key).isin(hot)
+
+
+def is_ordinary(key: str, hot: list) -> Column:
+    """Non-NULL and not hot. A NULL key matches nothing, so it never needs a join."""
+    return F.col(key).isNotNull() & ~F.col(key).isin(hot)
