@@ -61,7 +61,7 @@ def _stg_type_profile(t: SampleTables) -> DataFrame:
         texts = table.select(*[F.col(c).cast("string").alias(c) for c in table.columns])
         return kind_counts(texts, table.columns).select(
             F.lit(name).alias("table_name"), "column_name", "rows",
-            *[F.col(kind).alias(f"{kind}_values") for kind in KINDS])
+            *[F.col(kind).alias(f"{kind}_values") for kind in ["missing", *KINDS]])
     return reduce(DataFrame.unionAll, [profile(n, d) for n, d in _profiled(t).items()])
 
 

@@ -24,7 +24,7 @@ def stage(spark: SparkSession, raw_uri: str, file_name: str, database: str) -> P
 def stage_all(spark: SparkSession, raw_uri: str, database: str,
               files: Iterable[str] = manifest.MANIFEST) -> list[Published]:
     """The staging chains of all files; they do not depend on each other."""
-    return _side_by_side([
+    return _side_by_side(spark, [
         lambda f=f: stage(spark, raw_uri, f, database) for f in files])
 
 
@@ -40,7 +40,7 @@ def build_all(spark: SparkSession, database: str) -> list[Published]:
                                  staged(manifest.REVIEWS))
         return publish(fact, database, "fact_orders", FACT_ORDERS_SUITE)
 
-    return _side_by_side([
+    return _side_by_side(spark, [
         lambda: publish(dims.dim_customers(staged(manifest.CUSTOMERS)), database, "dim_customers"),
         lambda: publish(dims.dim_sellers(staged(manifest.SELLERS)), database, "dim_sellers"),
         lambda: publish(dims.dim_products(staged(manifest.PRODUCTS),
@@ -56,8 +56,9 @@ def run_refresh(spark: SparkSession, raw_uri: str, database: str) -> list[Publis
     return stage_all(spark, raw_uri, database) + build_all(spark, database)
 
 
-def _side_by_side(jobs: list[Callable[[], Published]]) -> list[Published]:
+def _side_by_side(spark: SparkSession,
+                  jobs: list[Callable[[], Published]]) -> list[Published]:
     """Run independent builds from threads, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        waiting = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        waiting = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [w.result() for w in waiting]

@@ -6,8 +6,6 @@ integer column into a double one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +18,18 @@ MISSING_TOKENS = [
 TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
-# Numbers are recognised by pattern. A trial cast would take "1d" for a double.
-INTEGER = r"\A\s*[+-]?[0-9]+\s*\z"
-DECIMAL = (r"\A\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
-           r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*\z")
+# Numbers are recognised by pattern. A trial cast would take "1d" for a double, and costs
+# an exception for every text value. The quantifiers are possessive, so a text that only
+# starts like a number is given up at once.
+SHORT_INTEGER = r"\A\s*+[+-]?+[0-9]{1,18}+\s*+\z"  # fits 64 bits, whatever the digits
+INTEGER = r"\A\s*+[+-]?+[0-9]++\s*+\z"
+NUMBER = (r"\A\s*+[+-]?+(?:(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+"
+          r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?+)\s*+\z")
 
-KINDS = ["missing", "boolean", "integer", "wide_integer", "decimal", "text"]
+# What a present value can be. The order matters to column_type: the highest kind of a
+# column decides, except that booleans must be alone.
+KINDS = ["integer", "wide_integer", "decimal", "text", "boolean"]
+INTEGER_KIND, WIDE_KIND, DECIMAL_KIND, TEXT_KIND, BOOLEAN_KIND = range(len(KINDS))
 
 
 def without_missing(text: Column) -> Column:
@@ -34,48 +38,60 @@ def without_missing(text: Column) -> Column:
 
 
 def value_kind(text: Column) -> Column:
-    """One of KINDS; a wide integer is one that does not fit 64 bits."""
-    return (F.when(text.isNull() | text.isin(MISSING_TOKENS), "missing")
-            .when(text.isin(TRUE_TOKENS + FALSE_TOKENS), "boolean")
-            .when(text.rlike(INTEGER),
-                  F.when(F.trim(text).try_cast("bigint").isNull(), "wide_integer")
-                  .otherwise("integer"))
-            .when(text.rlike(DECIMAL), "decimal")
-            .otherwise("text"))
-
-
-def kind_counts(texts: DataFrame, columns: list[str], *more: Column) -> DataFrame:
-    """One row per column with its count of each kind, from one aggregation.
-
-    ``more`` are further aggregates over the same pass, repeated on each row.
+    """The position in KINDS, NULL if missing; a wide integer does not fit 64 bits."""
+    # Numbers start with a blank, a sign, a dot, a digit or the i of inf. This spares
+    # most texts the patterns.
+    first = F.ascii(text)
+    maybe_number = (first <= ord("9")) | first.isin(ord("i"), ord("I"))
+    integer = ((F.length(text) > 18) & text.rlike(INTEGER))
+    fits = F.trim(text).try_cast("bigint").isNotNull()
+    number = (F.when(text.rlike(SHORT_INTEGER), INTEGER_KIND)
+              .when(text.rlike(NUMBER),
+                    F.when(integer, F.when(fits, INTEGER_KIND).otherwise(WIDE_KIND))
+                    .otherwise(DECIMAL_KIND))
+              .otherwise(TEXT_KIND))
+    return (F.when(text.isNull() | text.isin(MISSING_TOKENS), F.lit(None))
+            .when(maybe_number, number)
+            .when(text.isin(TRUE_TOKENS + FALSE_TOKENS), BOOLEAN_KIND)
+            .otherwise(TEXT_KIND))
+
+
+def _with_kinds(texts: DataFrame, columns: list[str]) -> DataFrame:
+    return texts.select("*", *[value_kind(F.col(f"`{c}`")).alias(f"kind_{i}")
+                               for i, c in enumerate(columns)])
+
+
+def kind_ranges(texts: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """One row: per column its lowest and highest kind and how many values are present.
+
+    ``more`` are further aggregates of the same pass.
     """
-    kinds = texts.select("*", *[value_kind(F.col(f"`{c}`")).alias(f"kind_{i}")
-                                for i, c in enumerate(columns)])
-    counts = [F.count_if(F.col(f"kind_{i}") == kind).alias(f"{kind}_{i}")
-              for i in range(len(columns)) for kind in KINDS]
-    extras = [F.col(f"more_{i}") for i in range(len(more))]
-    wide = kinds.agg(F.count(F.lit(1)).alias("rows"), *counts,
-                     *[m.alias(f"more_{i}") for i, m in enumerate(more)])
+    ranges = [aggregate(f"kind_{i}").alias(f"{name}_{i}") for i in range(len(columns))
+              for name, aggregate in (("lowest", F.min), ("highest", F.max),
+                                      ("present", F.count))]
+    return _with_kinds(texts, columns).agg(F.count(F.lit(1)).alias("rows"), *ranges, *more)
+
+
+def kind_counts(texts: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column with the count of each kind, from one aggregation."""
+    counts = [F.count_if(F.col(f"kind_{i}") == code).alias(f"{kind}_{i}")
+              for i in range(len(columns)) for code, kind in enumerate(KINDS)]
+    missing = [F.count_if(F.col(f"kind_{i}").isNull()).alias(f"missing_{i}")
+               for i in range(len(columns))]
     lines = [F.struct(F.lit(c).alias("column_name"), F.col("rows"),
-                      *[F.col(f"{kind}_{i}").alias(kind) for kind in KINDS], *extras)
+                      *[F.col(f"{kind}_{i}").alias(kind) for kind in ["missing", *KINDS]])
              for i, c in enumerate(columns)]
+    wide = _with_kinds(texts, columns).agg(F.count(F.lit(1)).alias("rows"), *counts, *missing)
     return wide.select(F.inline(F.array(*lines)))
 
 
-def column_type(counts: Mapping[str, int]) -> str:
-    """The type a column with these kind counts gets."""
-    rows, missing = counts["rows"], counts["missing"]
-    present = rows - missing
-    integers = counts["integer"] + counts["wide_integer"]
-    if present == 0:
+def column_type(lowest: int | None, highest: int | None, missing: bool) -> str:
+    """The type of a column whose present values have kinds from lowest to highest."""
+    if highest is None or highest == DECIMAL_KIND:
         return "double"
-    if counts["boolean"] == present:
-        return "boolean"
-    if integers == present:
-        if counts["wide_integer"]:
-            return "string"
+    if highest == INTEGER_KIND:
         return "double" if missing else "bigint"
-    return "double" if integers + counts["decimal"] == present else "string"
+    return "boolean" if lowest == BOOLEAN_KIND else "string"
 
 
 def typed(text: Column, data_type: str) -> Column:

@@ -1,9 +1,9 @@
 """Read a CSV extract: a file, or a folder of files with the same header.
 
-All columns are read as text. A file whose records each fit on one line is split over
-many tasks. A file with line breaks inside quotes is split too: ``quoted_lines`` puts its
-records together. Only a file whose quotes do not pair up the usual way is
-left to the reader's one-task-per-file mode.
+All columns are read as text. Where every record fits on one line, files are split over
+many tasks. Small files with line breaks inside quotes are read by one task each; large
+ones are split as well, and ``quoted_lines`` puts their records together. Only quotes that
+do not pair up the usual way leave a large file to one task.
 """
 
 from __future__ import annotations
@@ -11,14 +11,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import has_stray_quote, records
+from .quoted_lines import has_stray_quote, quote_count, records
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
 STRAY = "stray"        # the record was put together on a wrong assumption
+ONE_TASK_BYTES = 256 * 1024 * 1024  # size up to which one task reads a whole file
 
 
 class MalformedExtract(ValueError):
@@ -56,7 +57,8 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return column_names(list(first)) if first else []
 
 
-def read_extract(spark: SparkSession, path: str) -> Iterator[Extract]:
+def read_extract(spark: SparkSession, path: str,
+                 one_task_bytes: int = ONE_TASK_BYTES) -> Iterator[Extract]:
     """Ways to read the extract, best first.
 
     The first one without STRAY rows is right; the last one never has any.
@@ -68,33 +70,45 @@ def read_extract(spark: SparkSession, path: str) -> Iterator[Extract]:
     reader = spark.read.schema(schema).options(header=True, **DIALECT)
     never = F.lit(False).alias(STRAY)
 
-    broken, unbalanced = _survey_lines(spark, path)
-    if not broken:
+    lines = _survey_lines(spark, path)
+    if not lines["broken"]:
         yield Extract(names, reader.csv(path).select("*", never))
         return
-    if not unbalanced:
-        whole = records(spark, path)
-        fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"})
-        yield Extract(names, whole.select(fields.alias("f"), STRAY).select("f.*", STRAY))
+    # The reader turns a carriage return and line feed inside quotes into a line feed.
+    small = lines["largest"] <= one_task_bytes and not lines["returns"]
+    if not small and not lines["unbalanced"]:
+        fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"}).alias("fields")
+        yield Extract(names, records(spark, path).select(fields, STRAY).select("fields.*", STRAY))
     yield Extract(names, reader.option("multiLine", True).csv(path).select("*", never))
 
 
-def _survey_lines(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Lines that are no whole record by themselves, and files with an odd quote count.
+def _survey_lines(spark: SparkSession, path: str) -> Row:
+    """Counts that decide how to read the files.
 
-    Also makes sure that all files of a folder start from the same header line, because
-    columns are assigned by position.
+    ``broken`` lines are no whole record by themselves, ``unbalanced`` files have an odd
+    number of quotes, ``returns`` counts the lines with a carriage return, ``largest`` is
+    the size of the largest file. Also makes sure that all files of a folder start from the
+    same header line, because columns are assigned by position.
     """
-    lines = spark.read.text(path)
-    header = lines.where(F.trim("value") != "").first()["value"]
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count_if(has_stray_quote(F.col("value"))).alias("broken"),
-        F.sum(quotes).alias("quotes"),
-        F.count_if(F.col("value") == header).alias("headers"))
-    found = per_file.agg(F.sum("broken").alias("broken"),
-                         F.count_if(F.col("quotes") % 2 == 1).alias("unbalanced"),
-                         F.count_if(F.col("headers") == 0).alias("headless")).first()
+    line = F.regexp_replace("value", r"\r\z", "")
+    text = (spark.read.option("lineSep", "\n").text(path)
+            .select("value", "_metadata.file_path", "_metadata.file_size",
+                    F.when(F.endswith("value", F.lit("\r")), line).otherwise(F.col("value"))
+                    .alias("line")))
+    header = text.where(F.trim("line") != "").first()["line"]
+    value, line = F.col("value"), F.col("line")
+    per_file = text.groupBy("file_path").agg(
+        F.count_if(has_stray_quote(line) | line.contains("\r")).alias("broken"),
+        F.sum(quote_count(line)).alias("quotes"),
+        F.count_if(value.contains("\r")).alias("returns"),
+        F.count_if(line == header).alias("headers"),
+        F.max("file_size").alias("size"))
+    found = per_file.agg(
+        F.sum("broken").alias("broken"),
+        F.count_if(F.col("quotes") % 2 == 1).alias("unbalanced"),
+        F.sum("returns").alias("returns"),
+        F.count_if(F.col("headers") == 0).alias("headless"),
+        F.max("size").alias("largest")).first()
     if found["headless"]:
         raise MalformedExtract(f"{path}: {found['headless']} files have another header")
-    return found["broken"], found["unbalanced"]
+    return found

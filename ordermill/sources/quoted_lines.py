@@ -1,17 +1,36 @@
 """Put together CSV records that run over several lines, without one task per file.
 
-A line starts a record if an even number of quotes stands before it in its file. The
-count is a running sum within each file split, plus the parity of the splits before it.
-A task holds one split at most, and the records are assembled by their own key.
+A line starts a record if an even number of quotes stands before it in its file. Two
+light steps find that out for every file split and need no shuffle of the text:
+
+1. one aggregation gives the number of quotes per split; a running sum over the splits of
+   a file says which ones start inside quotes;
+2. each task goes through its split in order, as Arrow batches, and joins the lines of a
+   record. Only what is cut off by a split boundary, at most one piece at either end of a
+   split, is shuffled and joined by file and position.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# The task function travels with the job; executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A quoted field without quotes inside, at its place between separators.
-QUOTED_FIELD = r'(^|,)"[^"]*"(?=,|\z)'
+QUOTED_FIELD = r'(^|,)"[^"]*+"(?=,|\z)'
+
+SPLIT = ["file", "block"]  # a split is known by the hash of its path and its offset
+WHOLE, HEAD, TAIL = 0, 1, 2
+PIECES = "file bigint, block bigint, piece int, first boolean, record string"
 
 
 def unquoted_part(text: Column) -> Column:
@@ -22,7 +41,12 @@ def unquoted_part(text: Column) -> Column:
 
 def has_stray_quote(text: Column) -> Column:
     """True unless every quote of the text belongs to a complete quoted field."""
-    return unquoted_part(text).contains('"')
+    return text.contains('"') & unquoted_part(text).contains('"')
+
+
+def quote_count(text: Column) -> Column:
+    without = F.length(F.replace(text, F.lit('"'), F.lit("")))
+    return F.when(text.contains('"'), F.length(text) - without).otherwise(0)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
@@ -31,52 +55,113 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     ``stray`` marks a record that is not what the pairing of quotes assumed: a quote in
     the middle of an unquoted field, or a bare carriage return outside quotes.
     """
-    split = ["file", "block"]
-    in_split = Window.partitionBy(*split).orderBy("line")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
-
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    lines = (spark.read.option("lineSep", "\n").text(path)
-             .select(F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("line"), "value",
-                     odd.alias("odd"))
-             .withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2))
-
-    # One row per split: is its first line inside quotes, and how many records start in it?
-    splits = lines.groupBy(*split).agg(
-        (F.sum("odd") % 2).alias("odd"),
-        F.count_if(F.col("inside") == 0).alias("even_lines"),
-        F.count_if(F.col("inside") == 1).alias("odd_lines"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), "value")
+
     earlier = (Window.partitionBy("file").orderBy("block")
                .rowsBetween(Window.unboundedPreceding, -1))
-    splits = splits.withColumn("flip", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
-    splits = splits.withColumn(
-        "starts", F.when(F.col("flip") == 0, F.col("even_lines")).otherwise(F.col("odd_lines")))
-    last_start = F.when(F.col("starts") > 0, F.struct("block", "starts"))
-    splits = splits.select(*split, "flip",
-                           F.last(last_start, ignorenulls=True).over(earlier).alias("open"))
-
-    placed = (lines.join(splits, split)
-              .withColumn("starts", ((F.col("inside") + F.col("flip")) % 2 == 0).cast("int"))
-              .withColumn("nth", F.sum("starts").over(so_far)))
-    carried = F.col("nth") == 0  # goes on with the last record of an earlier split
-    placed = placed.select(
-        "file", F.when(carried, F.col("open.block")).otherwise(F.col("block")).alias("start_block"),
-        F.when(carried, F.col("open.starts")).otherwise(F.col("nth")).alias("nth"),
-        "block", "line", "value",
-        ((F.col("starts") == 1) & (F.col("odd") == 0)).alias("alone"))
-
-    header = (F.col("start_block") == 0) & (F.col("nth") == 1)
-    key = ["file", "start_block", "nth"]
-    alone = placed.where("alone").select(*key, F.col("value").alias("record"))
-    pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    joined = (placed.where("not alone").groupBy(*key).agg(pieces.alias("pieces"))
-              .select(*key, F.array_join(F.col("pieces.value"), "\n").alias("record")))
+    inside = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
+    splits = (lines.groupBy(*SPLIT).agg(F.sum(quote_count(F.col("value"))).alias("quotes"))
+              .select(*SPLIT, inside.cast("int").alias("inside")))
+
+    # One row per split of the input, however long its lines: small enough to broadcast.
+    # A split missing from it would mean that the two scans were cut differently.
+    unknown = F.raise_error("file splits differ between two scans of one query")
+    placed = lines.join(F.broadcast(splits), SPLIT, "left").select(
+        *SPLIT, F.coalesce("inside", unknown.cast("int")).alias("inside"), "value")
+    pieces = placed.mapInArrow(_pieces, PIECES)
+
+    whole = pieces.where(F.col("piece") == WHOLE).select("record", "first")
+    order = Window.partitionBy("file").orderBy("block", "piece")
+    cut = (pieces.where(F.col("piece") != WHOLE)
+           .withColumn("opened", F.count_if(F.col("piece") == TAIL).over(order))
+           .groupBy("file", "opened")
+           .agg(F.array_sort(F.collect_list(F.struct("block", "piece", "record"))).alias("parts"),
+                F.bool_or("first").alias("first"))
+           .select(F.array_join("parts.record", "\n").alias("record"), "first"))
 
     record = F.regexp_replace("record", r"\r\z", "")
     rest = unquoted_part(F.col("record"))
-    return (alone.unionByName(joined).where(~header)
-            .select(record.alias("record")).where(F.trim("record") != "")
+    return (whole.unionByName(cut).where("not first").select(record.alias("record"))
+            .where(F.trim("record") != "")
             .select("record", (rest.contains('"') | rest.contains("\r")).alias("stray")))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of the splits in one task, which arrive one after the other, in line order."""
+    split: _Split | None = None
+    for batch in batches:
+        files, blocks, inside = (batch.column(i).to_numpy() for i in range(3))
+        changes = (np.diff(files) != 0) | (np.diff(blocks) != 0)
+        bounds = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
+        for start, end in zip(bounds, bounds[1:]):
+            if start == end:
+                continue
+            if split is None or (split.file, split.block) != (files[start], blocks[start]):
+                if split is not None:
+                    yield from split.close()
+                split = _Split(files[start], blocks[start], inside[start])
+            yield from split.take(batch.column(3).slice(start, end - start))
+    if split is not None:
+        yield from split.close()
+
+
+class _Split:
+    """The lines of one split: what is open, and whether the file's first record is past."""
+
+    def __init__(self, file: int, block: int, inside: int):
+        self.file, self.block, self.inside = file, block, int(inside)
+        self.open: list[pa.Array] = []  # lines of the record that is not yet complete
+        self.open_piece = HEAD if self.inside else TAIL
+        self.first = block == 0
+
+    def take(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
+        after = (self.inside + np.cumsum(odd)) % 2
+        self.inside = int(after[-1])
+        ends = np.flatnonzero(after == 0) + 1  # each is the end of a record
+        if not len(ends):
+            self.open.append(lines)
+            return
+        done = 0
+        if self.open or self.open_piece == HEAD:
+            done = ends[0]
+            self.open.append(lines.slice(0, done))
+            yield self._opened()
+            ends = ends[1:]
+        if len(ends):
+            offsets = pa.array(np.concatenate([[done], ends]), pa.int32())
+            yield self._batch(WHOLE, pc.binary_join(
+                pa.ListArray.from_arrays(offsets, lines), "\n"))
+            done = ends[-1]
+        if done < len(lines):
+            self.open.append(lines.slice(done))
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        """What is still open goes on in the next split, or ends with the file."""
+        if self.open:
+            yield self._opened(cut=True)
+
+    def _opened(self, cut: bool = False) -> pa.RecordBatch:
+        lines = pa.chunked_array(self.open).combine_chunks()
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(lines)], lines), "\n")
+        piece = self.open_piece if cut or self.open_piece == HEAD else WHOLE
+        self.open, self.open_piece = [], TAIL
+        return self._batch(piece, text)
+
+    def _batch(self, piece: int, texts: pa.Array) -> pa.RecordBatch:
+        rows = len(texts)
+        first = np.zeros(rows, dtype=bool)
+        if self.first and piece != HEAD:
+            # The file's first record is its header; blank lines may stand before it.
+            filled = np.flatnonzero(pc.not_equal(pc.utf8_trim_whitespace(texts), "")
+                                    .to_numpy(zero_copy_only=False))
+            if len(filled):
+                first[filled[0]] = True
+                self.first = False
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(rows, self.file), pa.int64()),
+             pa.array(np.full(rows, self.block), pa.int64()),
+             pa.array(np.full(rows, piece), pa.int32()), pa.array(first), texts.cast(pa.string())],
+            names=["file", "block", "piece", "first", "record"])

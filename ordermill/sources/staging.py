@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .column_types import column_type, kind_counts, typed
-from .csv_extract import EXTRA, STRAY, Extract, MalformedExtract, field, read_extract
+from .column_types import column_type, kind_ranges, typed
+from .csv_extract import (EXTRA, ONE_TASK_BYTES, STRAY, Extract, MalformedExtract, field,
+                          read_extract)
 
 
 @dataclass(frozen=True)
@@ -20,30 +21,33 @@ class TypedExtract:
     columns: int
 
 
-def _profile(extract: Extract) -> list[dict]:
-    counts = kind_counts(extract.rows, [field(i) for i in range(len(extract.names))],
-                         F.count(EXTRA), F.count_if(F.col(STRAY)))
-    return [row.asDict() for row in counts.collect()]  # one row per column
+def _profile(extract: Extract) -> Row:
+    return kind_ranges(extract.rows, [field(i) for i in range(len(extract.names))],
+                       F.count(EXTRA).alias("too_long"),
+                       F.count_if(F.col(STRAY)).alias("stray")).first()
 
 
-def typed_extract(spark: SparkSession, path: str) -> TypedExtract:
+def typed_extract(spark: SparkSession, path: str,
+                  one_task_bytes: int = ONE_TASK_BYTES) -> TypedExtract:
     """Read, decide the column types, and refuse an extract that is empty or malformed.
 
     One pass decides types, counts the rows and finds rows that are too long; the
     returned table is a second, lazy pass.
     """
-    for extract in read_extract(spark, path):
+    for extract in read_extract(spark, path, one_task_bytes):
         profile = _profile(extract)
-        if not profile[0]["more_1"]:
+        if not profile["stray"]:
             break
-    rows, too_long = profile[0]["rows"], profile[0]["more_0"]
+    rows, too_long = profile["rows"], profile["too_long"]
     if not rows:
         raise MalformedExtract(f"{path} is empty or malformed")
     if too_long:
         raise MalformedExtract(f"{path}: {too_long} rows have more fields than the header")
+    types = [column_type(profile[f"lowest_{i}"], profile[f"highest_{i}"],
+                         profile[f"present_{i}"] < rows) for i in range(len(extract.names))]
     table = extract.rows.select(*[
-        typed(F.col(field(i)), column_type(counts)).alias(name)
-        for i, (name, counts) in enumerate(zip(extract.names, profile))])
+        typed(F.col(field(i)), data_type).alias(name)
+        for i, (name, data_type) in enumerate(zip(extract.names, types))])
     return TypedExtract(table, rows, len(extract.names))
 
 

@@ -32,9 +32,9 @@ def plain(value):
     return value
 
 
-def check_like_pandas(spark, path, content):
+def check_like_pandas(spark, path, content, one_task_bytes=0):
     expected = pd.read_csv(io.BytesIO(content if isinstance(content, bytes) else content.encode()))
-    got = typed_extract(spark, path)
+    got = typed_extract(spark, path, one_task_bytes)
     assert got.table.columns == list(expected.columns)
     assert [t for _, t in got.table.dtypes] == [table_type(c) for _, c in expected.items()]
     rows = [tuple(r) for r in got.table.collect()]
@@ -77,10 +77,11 @@ SAME_AS_PANDAS = {
 }
 
 
+@pytest.mark.parametrize("one_task_bytes", [0, csv_extract.ONE_TASK_BYTES])
 @pytest.mark.parametrize("case", SAME_AS_PANDAS)
-def test_same_as_pandas(spark, tmp_path, case):
+def test_same_as_pandas(spark, tmp_path, case, one_task_bytes):
     content = SAME_AS_PANDAS[case]
-    check_like_pandas(spark, write(tmp_path, content), content)
+    check_like_pandas(spark, write(tmp_path, content), content, one_task_bytes)
 
 
 @pytest.mark.parametrize("content", ["a,b\n", "", "\n", "a,b"])
@@ -131,15 +132,18 @@ def random_csv(seed, rows):
     return "\n".join(lines) + "\n"
 
 
+@pytest.mark.parametrize("batch_rows", ["3", "10000"])
 @pytest.mark.parametrize("seed,split_bytes", [(1, 64), (2, 256), (3, 1000), (4, 30)])
-def test_records_over_many_splits(spark, tmp_path, seed, split_bytes):
+def test_records_over_many_splits(spark, tmp_path, seed, split_bytes, batch_rows):
     """Splits much smaller than a record, so records start, pass and end in many splits."""
     content = random_csv(seed, 120)
     path = write(tmp_path, content)
-    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",
-                                           "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    settings = {"spark.sql.files.maxPartitionBytes": str(split_bytes),
+                "spark.sql.files.openCostInBytes": "0",
+                "spark.sql.execution.arrow.maxRecordsPerBatch": batch_rows}
+    keep = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         blocks = (spark.read.text(path).select("_metadata.file_block_start").distinct().count())
         assert blocks > 4
@@ -151,14 +155,32 @@ def test_records_over_many_splits(spark, tmp_path, seed, split_bytes):
             spark.conf.set(k, v)
 
 
+def test_many_files_in_one_task(spark, tmp_path):
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    parts = [random_csv(seed, 20) for seed in range(12)]
+    for i, part in enumerate(parts):
+        write(folder, part, f"part-{i}.csv")
+    got = typed_extract(spark, str(folder), one_task_bytes=0).table
+    wanted = pd.concat([pd.read_csv(io.StringIO(part, newline="")) for part in parts])
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        repr(tuple(map(plain, r))) for r in wanted.astype(object).itertuples(index=False, name=None))
+
+
 def test_reading_modes(spark, tmp_path):
-    """Plain files and quoted line breaks are split; only stray quotes are not."""
-    def modes(content):
-        return len(list(csv_extract.read_extract(spark, write(tmp_path, content))))
-    assert modes("a,b\n1,x\n") == 1
-    assert modes('a,b\n1,"x,y"\n') == 1
-    assert modes('a,b\n1,"x\ny"\n') == 2      # assembled; whole-file mode only in reserve
-    assert modes('a,b\n1,5" pipe\n') == 1     # odd number of quotes: whole-file mode
+    """Plain files and large files with quoted line breaks are split; the rest is not."""
+    def modes(content, one_task_bytes=0):
+        path = write(tmp_path, content)
+        return ["mapInArrow" if "MapInArrow" in plan else plan.count("multiLine") and "one task"
+                or "split" for plan in (
+                    e.rows._jdf.queryExecution().toString()
+                    for e in csv_extract.read_extract(spark, path, one_task_bytes))]
+    assert len(modes("a,b\n1,x\n")) == 1
+    assert len(modes('a,b\n1,"x,y"\n')) == 1
+    quoted = 'a,b\n1,"x\ny"\n'
+    assert modes(quoted)[0] == "mapInArrow" and len(modes(quoted)) == 2
+    assert len(modes(quoted, 1000)) == 1 and "mapInArrow" not in modes(quoted, 1000)
+    assert len(modes('a,b\n1,5" pipe\n')) == 1  # an odd number of quotes
 
 
 def test_require_rows(spark):

@@ -1,0 +1,83 @@
+"""Quality rules: each with rows that break it, missing values and an empty table."""
+
+import pytest
+from pyspark.sql import Observation
+
+from ordermill.operators.quality import (FACT_ORDERS_SUITE, REPORT_SCHEMA, QualityError, Suite,
+                                         between, not_null)
+
+FACT = ("order_id string, total_items bigint, total_order_value double, "
+        "avg_review_score double")
+GOOD = ("o", 1, 2.0, 3.0)
+
+
+def fact(spark, *rows):
+    return spark.createDataFrame(list(rows), FACT)
+
+
+def outcome(table):
+    return [r.success for r in FACT_ORDERS_SUITE.evaluate(table).collect()]
+
+
+@pytest.mark.parametrize("position,row", [
+    (0, (None, 1, 2.0, 3.0)), (1, ("o", -1, 2.0, 3.0)), (2, ("o", 1, 0.99, 3.0)),
+    (3, ("o", 1, 2.0, 5.1)), (3, ("o", 1, 2.0, -0.1))])
+def test_each_rule(spark, position, row):
+    table = fact(spark, GOOD, row)
+    assert outcome(table) == [i != position for i in range(4)]
+    with pytest.raises(QualityError, match="fact_orders_suite failed") as error:
+        FACT_ORDERS_SUITE.check(table)
+    line = error.value.report[position]
+    assert line["unexpected_count"] == 1 and line["unexpected_percent"] == 50.0
+    [broken] = FACT_ORDERS_SUITE.violations(table).collect()
+    assert tuple(broken)[:-1] == row and broken.rule == line["rule"]
+
+
+def test_bounds_are_inclusive(spark):
+    assert outcome(fact(spark, ("o", 0, 1.0, 0.0), ("o", 0, 1.0, 5.0))) == [True] * 4
+
+
+def test_ranges_ignore_missing_values(spark):
+    table = fact(spark, ("o", None, None, None))
+    assert outcome(table) == [True] * 4
+    lines = FACT_ORDERS_SUITE.evaluate(table).collect()
+    assert [r.missing_count for r in lines] == [0, 1, 1, 1]
+    assert [r.unexpected_percent for r in lines] == [0.0, None, None, None]
+
+
+def test_empty_table_passes(spark):
+    table = fact(spark)
+    assert outcome(table) == [True] * 4
+    assert FACT_ORDERS_SUITE.violations(table).count() == 0
+    assert len(FACT_ORDERS_SUITE.check(table)) == 4
+
+
+def test_row_breaking_two_rules_is_listed_twice(spark):
+    table = fact(spark, (None, -1, 2.0, 3.0))
+    assert sorted(r.rule for r in FACT_ORDERS_SUITE.violations(table).collect()) == [
+        "order_id_not_null", "total_items_between"]
+
+
+def test_report_schema(spark):
+    table = FACT_ORDERS_SUITE.evaluate(fact(spark, GOOD))
+    assert ", ".join(f"{c} {t}" for c, t in table.dtypes) == REPORT_SCHEMA
+
+
+def test_observed_counts_give_the_same_report(spark, tmp_path):
+    table = fact(spark, GOOD, (None, -1, None, 6.0), ("o", 3, 0.5, None))
+    observation = Observation()
+    FACT_ORDERS_SUITE.observe(table, observation).write.parquet(str(tmp_path / "t"))
+    evaluated = [r.asDict() for r in FACT_ORDERS_SUITE.evaluate(table).collect()]
+    assert FACT_ORDERS_SUITE.report(observation.get) == evaluated
+
+
+def test_one_pass(spark):
+    """However many rules, the table is aggregated once."""
+    suite = Suite("s", [not_null("id"), between("id", 0), between("id", max_value=5)])
+    plan = suite.evaluate(spark.range(10))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Exchange") == 1
+
+
+def test_range_needs_a_bound():
+    with pytest.raises(ValueError):
+        between("x")
