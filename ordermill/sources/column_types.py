@@ -6,6 +6,8 @@ integer column into a double one.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,14 @@ FALSE_TOKENS = ["False", "FALSE", "false"]
 # Numbers are recognised by pattern. A trial cast would take "1d" for a double, and costs
 # an exception for every text value. The quantifiers are possessive, so a text that only
 # starts like a number is given up at once.
-SHORT_INTEGER = r"\A\s*+[+-]?+[0-9]{1,18}+\s*+\z"  # fits 64 bits, whatever the digits
-INTEGER = r"\A\s*+[+-]?+[0-9]++\s*+\z"
+SHORT_DIGITS = r"\A\s*+[+-]?+[0-9]{1,18}+\s*+\z"  # fits 64 bits, whatever the digits
+DIGITS = r"\A\s*+[+-]?+[0-9]++\s*+\z"
 NUMBER = (r"\A\s*+[+-]?+(?:(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+"
           r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?+)\s*+\z")
 
-# What a present value can be. The order matters to column_type: the highest kind of a
-# column decides, except that booleans must be alone.
-KINDS = ["integer", "wide_integer", "decimal", "text", "boolean"]
-INTEGER_KIND, WIDE_KIND, DECIMAL_KIND, TEXT_KIND, BOOLEAN_KIND = range(len(KINDS))
+# What a value can be; a wide integer does not fit 64 bits.
+KINDS = ["missing", "boolean", "integer", "wide_integer", "decimal", "text"]
+MISSING, BOOLEAN, INTEGER, WIDE_INTEGER, DECIMAL, TEXT = range(len(KINDS))
 
 
 def without_missing(text: Column) -> Column:
@@ -38,60 +39,53 @@ def without_missing(text: Column) -> Column:
 
 
 def value_kind(text: Column) -> Column:
-    """The position in KINDS, NULL if missing; a wide integer does not fit 64 bits."""
+    """The position in KINDS."""
     # Numbers start with a blank, a sign, a dot, a digit or the i of inf. This spares
     # most texts the patterns.
     first = F.ascii(text)
     maybe_number = (first <= ord("9")) | first.isin(ord("i"), ord("I"))
-    integer = ((F.length(text) > 18) & text.rlike(INTEGER))
+    digits = (F.length(text) > 18) & text.rlike(DIGITS)
     fits = F.trim(text).try_cast("bigint").isNotNull()
-    number = (F.when(text.rlike(SHORT_INTEGER), INTEGER_KIND)
+    number = (F.when(text.rlike(SHORT_DIGITS), INTEGER)
               .when(text.rlike(NUMBER),
-                    F.when(integer, F.when(fits, INTEGER_KIND).otherwise(WIDE_KIND))
-                    .otherwise(DECIMAL_KIND))
-              .otherwise(TEXT_KIND))
-    return (F.when(text.isNull() | text.isin(MISSING_TOKENS), F.lit(None))
+                    F.when(digits, F.when(fits, INTEGER).otherwise(WIDE_INTEGER))
+                    .otherwise(DECIMAL))
+              .otherwise(TEXT))
+    return (F.when(text.isNull() | text.isin(MISSING_TOKENS), MISSING)
             .when(maybe_number, number)
-            .when(text.isin(TRUE_TOKENS + FALSE_TOKENS), BOOLEAN_KIND)
-            .otherwise(TEXT_KIND))
-
+            .when(text.isin(TRUE_TOKENS + FALSE_TOKENS), BOOLEAN)
+            .otherwise(TEXT))
 
-def _with_kinds(texts: DataFrame, columns: list[str]) -> DataFrame:
-    return texts.select("*", *[value_kind(F.col(f"`{c}`")).alias(f"kind_{i}")
-                               for i, c in enumerate(columns)])
 
+def kind_counts(texts: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per column: its rows, its fields that are there, and the count of each kind.
 
-def kind_ranges(texts: DataFrame, columns: list[str], *more: Column) -> DataFrame:
-    """One row: per column its lowest and highest kind and how many values are present.
-
-    ``more`` are further aggregates of the same pass.
+    One pass. Every task sends one line of counts per column, and the plan does not grow
+    with the number of columns.
     """
-    ranges = [aggregate(f"kind_{i}").alias(f"{name}_{i}") for i in range(len(columns))
-              for name, aggregate in (("lowest", F.min), ("highest", F.max),
-                                      ("present", F.count))]
-    return _with_kinds(texts, columns).agg(F.count(F.lit(1)).alias("rows"), *ranges, *more)
-
-
-def kind_counts(texts: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column with the count of each kind, from one aggregation."""
-    counts = [F.count_if(F.col(f"kind_{i}") == code).alias(f"{kind}_{i}")
-              for i in range(len(columns)) for code, kind in enumerate(KINDS)]
-    missing = [F.count_if(F.col(f"kind_{i}").isNull()).alias(f"missing_{i}")
-               for i in range(len(columns))]
-    lines = [F.struct(F.lit(c).alias("column_name"), F.col("rows"),
-                      *[F.col(f"{kind}_{i}").alias(kind) for kind in ["missing", *KINDS]])
-             for i, c in enumerate(columns)]
-    wide = _with_kinds(texts, columns).agg(F.count(F.lit(1)).alias("rows"), *counts, *missing)
-    return wide.select(F.inline(F.array(*lines)))
-
-
-def column_type(lowest: int | None, highest: int | None, missing: bool) -> str:
-    """The type of a column whose present values have kinds from lowest to highest."""
-    if highest is None or highest == DECIMAL_KIND:
+    values = texts.unpivot([], columns, "column_name", "value")
+    return (values.select("column_name", "value", value_kind(F.col("value")).alias("kind"))
+            .groupBy("column_name")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("fields"),
+                 *[F.count_if(F.col("kind") == position).alias(kind)
+                   for position, kind in enumerate(KINDS)]))
+
+
+def column_type(counts: Mapping[str, int]) -> str:
+    """The type of a column with these kind counts."""
+    def only(*kinds: str) -> bool:
+        return sum(counts[k] for k in kinds) == present
+    missing = counts["missing"]
+    present = counts["rows"] - missing
+    if not present:
         return "double"
-    if highest == INTEGER_KIND:
+    if only("boolean"):
+        return "boolean"
+    if only("integer"):
         return "double" if missing else "bigint"
-    return "boolean" if lowest == BOOLEAN_KIND else "string"
+    if only("integer", "wide_integer"):
+        return "string"
+    return "double" if only("integer", "wide_integer", "decimal") else "string"
 
 
 def typed(text: Column, data_type: str) -> Column:

@@ -18,7 +18,7 @@ from .quoted_lines import has_stray_quote, quote_count, records
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
-STRAY = "stray"        # the record was put together on a wrong assumption
+STRAY = "stray"        # not NULL: the record was put together on a wrong assumption
 ONE_TASK_BYTES = 256 * 1024 * 1024  # size up to which one task reads a whole file
 
 
@@ -68,7 +68,7 @@ def read_extract(spark: SparkSession, path: str,
         raise MalformedExtract(f"{path} is empty or malformed")
     schema = ", ".join(f"{field(i)} string" for i in range(len(names))) + f", {EXTRA} string"
     reader = spark.read.schema(schema).options(header=True, **DIALECT)
-    never = F.lit(False).alias(STRAY)
+    never = F.lit(None).cast("string").alias(STRAY)
 
     lines = _survey_lines(spark, path)
     if not lines["broken"]:
@@ -78,7 +78,8 @@ def read_extract(spark: SparkSession, path: str,
     small = lines["largest"] <= one_task_bytes and not lines["returns"]
     if not small and not lines["unbalanced"]:
         fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"}).alias("fields")
-        yield Extract(names, records(spark, path).select(fields, STRAY).select("fields.*", STRAY))
+        stray = F.when(F.col("stray"), "stray").alias(STRAY)
+        yield Extract(names, records(spark, path).select(fields, stray).select("fields.*", STRAY))
     yield Extract(names, reader.option("multiLine", True).csv(path).select("*", never))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .column_types import column_type, kind_ranges, typed
+from .column_types import column_type, kind_counts, typed
 from .csv_extract import (EXTRA, ONE_TASK_BYTES, STRAY, Extract, MalformedExtract, field,
                           read_extract)
 
@@ -21,10 +21,11 @@ class TypedExtract:
     columns: int
 
 
-def _profile(extract: Extract) -> Row:
-    return kind_ranges(extract.rows, [field(i) for i in range(len(extract.names))],
-                       F.count(EXTRA).alias("too_long"),
-                       F.count_if(F.col(STRAY)).alias("stray")).first()
+def _profile(extract: Extract) -> dict[str, dict]:
+    """Counts by column, from one pass; one row per column comes to the driver."""
+    columns = [field(i) for i in range(len(extract.names))] + [EXTRA, STRAY]
+    return {row["column_name"]: row.asDict()
+            for row in kind_counts(extract.rows, columns).collect()}
 
 
 def typed_extract(spark: SparkSession, path: str,
@@ -36,19 +37,17 @@ def typed_extract(spark: SparkSession, path: str,
     """
     for extract in read_extract(spark, path, one_task_bytes):
         profile = _profile(extract)
-        if not profile["stray"]:
+        if not profile:
+            raise MalformedExtract(f"{path} is empty or malformed")
+        if not profile[STRAY]["fields"]:
             break
-    rows, too_long = profile["rows"], profile["too_long"]
-    if not rows:
-        raise MalformedExtract(f"{path} is empty or malformed")
+    too_long = profile[EXTRA]["fields"]
     if too_long:
         raise MalformedExtract(f"{path}: {too_long} rows have more fields than the header")
-    types = [column_type(profile[f"lowest_{i}"], profile[f"highest_{i}"],
-                         profile[f"present_{i}"] < rows) for i in range(len(extract.names))]
     table = extract.rows.select(*[
-        typed(F.col(field(i)), data_type).alias(name)
-        for i, (name, data_type) in enumerate(zip(extract.names, types))])
-    return TypedExtract(table, rows, len(extract.names))
+        typed(F.col(field(i)), column_type(profile[field(i)])).alias(name)
+        for i, name in enumerate(extract.names)])
+    return TypedExtract(table, profile[EXTRA]["rows"], len(extract.names))
 
 
 def require_rows(table: DataFrame, name: str) -> DataFrame:

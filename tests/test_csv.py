@@ -64,6 +64,10 @@ SAME_AS_PANDAS = {
     "wide_integer": "a,b\n12345678901234567890123,x\n1,y\n",
     "decimals": "a,b,c,d,e\n.5,5.,1e3,inf,1\n1.25,2,-1E-2,-inf,2.5\n",
     "blanks_around_numbers": "a,b\n 12 ,1.5 \n3, 2\n",
+    "tabs_around_numbers": "a,b\n\t12,1.5\t\n3\t,\t2\n",
+    "edges_of_64_bits": "a\n9223372036854775807\n-9223372036854775808\n",
+    "just_wide": "a\n-9223372036854775809\n1\n",
+    "overflowing_decimals": "a,b\n1e400,1e-400\n-1e400,2\n",
     "not_numbers": "a,b\n0x1A,1_000\n0x2B,2_000\n",
     "timestamps": "a,b\n2017-10-02 10:56:33,2017-10-02\n2018-01-01 00:00:00,2018-01-01\n",
     "short_and_blank": "a,b,c\n1,2\n\n3,4,5\n   \n6,7,8\n",
