@@ -1,15 +1,17 @@
-"""Left joins of one parent to several one-to-many branches, one row per key each.
+"""Left joins of one parent to several one-to-many branches, one row per key.
 
-Joining the branches row by row first would multiply them: a key with 1,000 rows
-on each of three branches becomes 1e9 rows. Each branch is therefore reduced to one
-row per key *before* its join (eager aggregation), and carries its row count, from
-which a caller can work out what the multiplied form would have added up to.
+Joining the branches row by row would multiply them: a key with 1,000 rows on each of
+three branches becomes 1e9 rows. Here all branches are reduced to one row per key *before*
+the join (eager aggregation). They are stacked into one table, so that one shuffle and one
+aggregation serve them all, and one join attaches the result. Each branch also gives
+its row count, from which a caller can work out what the multiplied form adds up to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,43 +23,41 @@ COPIES = "copies"
 
 @dataclass(frozen=True)
 class Branch:
-    """Detail rows and the aggregates wanted of them per key.
+    """Detail rows, and the aggregates wanted of them per key.
 
-    ``distinct`` says that one aggregate is a distinct count, which cannot be
-    combined before the shuffle.
+    Apart from the key, column names differ between branches. The rows of other branches
+    are NULL in them, so an aggregate must ignore NULL.
     """
 
     rows: DataFrame
     totals: Sequence[Column]
-    distinct: bool = False
 
 
 def with_branch_totals(parents: DataFrame, key: str, branches: Sequence[Branch],
                        hot: list) -> DataFrame:
     """Distinct parent rows, their number of copies, and all branch totals.
 
-    Ordinary keys: every table is shuffled once, on ``key``; the joins and the final
-    grouping reuse that partitioning. Keys in ``hot``, and NULL keys: copies and
-    branch rows are combined on the map side, and the branch totals, at most one row
-    per hot key, are broadcast, so no task ever holds a hot key's rows.
+    Ordinary keys: parents and branches are shuffled once each, on ``key``; the
+    aggregation, the join and the final grouping share that partitioning. Keys in
+    ``hot``, and NULL keys: copies and branch rows are combined before they are shuffled,
+    and the totals, at most one row per hot key, are broadcast, so no task ever holds a
+    hot key's rows.
     """
     columns = parents.columns
     copies = F.count(F.lit(1)).alias(COPIES)
-
-    joined = parents.where(is_ordinary(key, hot))
-    for branch in branches:
-        rows = branch.rows.where(is_ordinary(key, hot))
-        if branch.distinct:
-            # Left alone, a distinct count is shuffled by (key, value) and then by
-            # key. Ordinary keys are small, so one shuffle by key serves both steps.
-            rows = rows.repartition(key)
-        joined = joined.join(rows.groupBy(key).agg(*branch.totals), key, "left")
-    totals = [c for c in joined.columns if c not in columns]
-    ordinary = joined.groupBy(*columns).agg(copies, *[F.first(c).alias(c) for c in totals])
-
-    aside = parents.where(F.col(key).isNull() | is_hot(key, hot)).groupBy(*columns).agg(copies)
-    for branch in branches:
-        reduced = branch.rows.where(is_hot(key, hot)).groupBy(key).agg(*branch.totals)
-        aside = aside.join(F.broadcast(reduced), key, "left")
-
+    details = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                     [branch.rows for branch in branches])
+    totals = [total for branch in branches for total in branch.totals]
+
+    # Left alone, a distinct count is shuffled by key and value, and then again by key.
+    # An ordinary key has few rows, so one shuffle by key can serve both steps.
+    ordinary_totals = (details.where(is_ordinary(key, hot)).repartition(key)
+                       .groupBy(key).agg(*totals))
+    joined = parents.where(is_ordinary(key, hot)).join(ordinary_totals, key, "left")
+    names = [c for c in ordinary_totals.columns if c != key]
+    ordinary = joined.groupBy(*columns).agg(copies, *[F.first(c).alias(c) for c in names])
+
+    hot_totals = details.where(is_hot(key, hot)).groupBy(key).agg(*totals)
+    aside = (parents.where(F.col(key).isNull() | is_hot(key, hot)).groupBy(*columns).agg(copies)
+             .join(F.broadcast(hot_totals), key, "left"))
     return ordinary.unionByName(aside.select(*ordinary.columns))

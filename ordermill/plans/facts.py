@@ -15,26 +15,29 @@ ORDER_COLUMNS = [KEY, "customer_id", "order_status", "order_purchase_timestamp"]
 
 def item_branch(items: DataFrame) -> Branch:
     rows = items.select(KEY, "order_item_id",
-                        (F.col("price") + F.col("freight_value")).alias("item_value"))
+                        (F.col("price") + F.col("freight_value")).alias("item_value"),
+                        F.lit(1).alias("item_row"))
     return Branch(rows, [
         F.countDistinct("order_item_id").alias("items"),
         F.sum("item_value").alias("order_value"),
-        F.count(F.lit(1)).alias("item_rows"),
-    ], distinct=True)
+        F.count("item_row").alias("item_rows"),
+    ])
 
 
 def payment_branch(payments: DataFrame) -> Branch:
-    return Branch(payments.select(KEY, "payment_value"), [
+    rows = payments.select(KEY, "payment_value", F.lit(1).alias("payment_row"))
+    return Branch(rows, [
         F.sum("payment_value").alias("paid"),
-        F.count(F.lit(1)).alias("payment_rows"),
+        F.count("payment_row").alias("payment_rows"),
     ])
 
 
 def review_branch(reviews: DataFrame) -> Branch:
-    rows = reviews.select(KEY, F.col("review_score").cast("double").alias("score"))
+    rows = reviews.select(KEY, F.col("review_score").cast("double").alias("score"),
+                          F.lit(1).alias("review_row"))
     return Branch(rows, [
         F.avg("score").alias("mean_score"),
-        F.count(F.lit(1)).alias("review_rows"),
+        F.count("review_row").alias("review_rows"),
     ])
 
 

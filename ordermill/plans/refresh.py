@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,10 +15,13 @@ from ..sources.publish import Published, publish
 from ..sources.staging import typed_extract
 from . import dims, facts
 
+log = logging.getLogger(__name__)
+
 
 def stage(spark: SparkSession, raw_uri: str, file_name: str, database: str) -> Published:
     """Read one extract, gate it, and publish it as its staging table."""
     extract = typed_extract(spark, f"{raw_uri.rstrip('/')}/{file_name}")
+    log.info("%s: %d rows, %d columns", file_name, extract.rows, extract.columns)
     return publish(extract.table, database, manifest.staging_name(file_name))
 
 

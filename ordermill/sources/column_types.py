@@ -46,10 +46,12 @@ def value_kind(text: Column) -> Column:
     maybe_number = (first <= ord("9")) | first.isin(ord("i"), ord("I"))
     digits = (F.length(text) > 18) & text.rlike(DIGITS)
     fits = F.trim(text).try_cast("bigint").isNotNull()
+    may_overflow = text.contains("e") | text.contains("E") | (F.length(text) > 300)
+    overflows = may_overflow & (F.abs(text.try_cast("double")) == float("inf"))
     number = (F.when(text.rlike(SHORT_DIGITS), INTEGER)
               .when(text.rlike(NUMBER),
                     F.when(digits, F.when(fits, INTEGER).otherwise(WIDE_INTEGER))
-                    .otherwise(DECIMAL))
+                    .when(overflows, TEXT).otherwise(DECIMAL))
               .otherwise(TEXT))
     return (F.when(text.isNull() | text.isin(MISSING_TOKENS), MISSING)
             .when(maybe_number, number)

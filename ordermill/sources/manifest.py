@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The file names of the nine extracts.
 CUSTOMERS = "olist_customers_dataset.csv"
 GEOLOCATION = "olist_geolocation_dataset.csv"
 ITEMS = "olist_order_items_dataset.csv"

@@ -9,9 +9,11 @@ def write_jdbc(table: DataFrame, url: str, name: str, connections: int = 8,
                batch_rows: int = 10_000, **options: str) -> None:
     """Replace the rows of ``name``; at most ``connections`` tasks write at a time.
 
-    The driver class of the database has to be on the class path. Credentials are
-    passed through ``options``.
+    Meant for a published table: what the rows are computed from would run in as few tasks.
+    The driver class of the database has to be on the class path. Credentials are passed
+    through ``options``.
     """
-    (table.coalesce(connections).write.format("jdbc").mode("overwrite")
-     .options(url=url, dbtable=name, batchsize=str(batch_rows), truncate="true", **options)
+    (table.write.format("jdbc").mode("overwrite")
+     .options(url=url, dbtable=name, numPartitions=str(connections), batchsize=str(batch_rows),
+              truncate="true", **options)
      .save())

@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.plans import dims
 
@@ -88,6 +89,40 @@ def test_products(spark, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_category_is_split(spark, tmp_path):
+    """A lookup too large to broadcast; a third of the products in one category, a third
+    without any."""
+    ids = spark.range(0, 300_000, numPartitions=8)
+    category = F.expr("CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('c', id) END")
+    measures = [F.col("id").alias(c) for c in dims.PRODUCT_MEASURES]
+    ids.select(F.col("id").alias("product_id"), category.alias("product_category_name"),
+               *measures).write.parquet(str(tmp_path / "products"))
+    name = F.expr("IF(id = 0, 'hot', concat('c', id))")
+    ids.select(name.alias("product_category_name"),
+               F.upper(name).alias("product_category_name_english")).write.parquet(
+                   str(tmp_path / "labels"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        table = dims.dim_products(spark.read.parquet(str(tmp_path / "products")),
+                                  spark.read.parquet(str(tmp_path / "labels")))
+        rows = table.select("product_category_name", "product_category_name_english").collect()
+        assert len(rows) == 300_000
+        assert all(r[1] == (r[0].upper() if r[0] else None) for r in rows)
+        table = table.select("product_id", "product_category_name_english")
+        table.write.format("noop").mode("overwrite").save()
+        table.collect()
+        assert "skew=true" in table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_copies_are_kept(spark):
     customers = spark.createDataFrame(
         [("c1", "u1", "x", "y", 1)] * 2,

@@ -1,13 +1,14 @@
 """Every registered query against DuckDB on the same Parquet tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
