@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import has_stray_quote, quote_count, records
+from .quoted_lines import is_cut, quote_count, records
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
@@ -99,7 +99,7 @@ def _survey_lines(spark: SparkSession, path: str) -> Row:
     header = text.where(F.trim("line") != "").first()["line"]
     value, line = F.col("value"), F.col("line")
     per_file = text.groupBy("file_path").agg(
-        F.count_if(has_stray_quote(line) | line.contains("\r")).alias("broken"),
+        F.count_if(is_cut(line) | line.contains("\r")).alias("broken"),
         F.sum(quote_count(line)).alias("quotes"),
         F.count_if(value.contains("\r")).alias("returns"),
         F.count_if(line == header).alias("headers"),

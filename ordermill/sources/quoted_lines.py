@@ -1,13 +1,14 @@
 """Put together CSV records that run over several lines, without one task per file.
 
-A line starts a record if an even number of quotes stands before it in its file. Two
-light steps find that out for every file split and need no shuffle of the text:
+A line starts a record if an even number of quotes stands before it in its file. Two steps
+find that out for every file split, without a shuffle of the text:
 
-1. one aggregation gives the number of quotes per split; a running sum over the splits of
-   a file says which ones start inside quotes;
+1. one aggregation counts the lines with an odd number of quotes per split; running over the
+   splits of a file, this says which ones start inside quotes, and in which split the
+   record that goes on there was begun;
 2. each task goes through its split in order, as Arrow batches, and joins the lines of a
    record. Only what is cut off by a split boundary, at most one piece at either end of a
-   split, is shuffled and joined by file and position.
+   split, is shuffled, by file and the split where the record was begun.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A quoted field without quotes inside, at its place between separators.
 QUOTED_FIELD = r'(^|,)"[^"]*+"(?=,|\z)'
+OPENING_QUOTE = r'(^|,)"'
 
 SPLIT = ["file", "block"]  # a split is known by the hash of its path and its offset
 WHOLE, HEAD, TAIL = 0, 1, 2
-PIECES = "file bigint, block bigint, piece int, first boolean, record string"
+PIECES = "file bigint, block bigint, begun bigint, piece int, first boolean, record string"
 
 
 def unquoted_part(text: Column) -> Column:
@@ -39,9 +41,13 @@ def unquoted_part(text: Column) -> Column:
     return F.when(text.contains('"'), F.regexp_replace(plain, QUOTED_FIELD, "")).otherwise(text)
 
 
-def has_stray_quote(text: Column) -> Column:
-    """True unless every quote of the text belongs to a complete quoted field."""
-    return text.contains('"') & unquoted_part(text).contains('"')
+def is_cut(line: Column) -> Column:
+    """True unless the line is a whole record by itself.
+
+    A quote in the middle of a field is just a character; what counts is one that opens a
+    field and does not come to its end.
+    """
+    return line.contains('"') & unquoted_part(line).rlike(OPENING_QUOTE)
 
 
 def quote_count(text: Column) -> Column:
@@ -52,47 +58,55 @@ def quote_count(text: Column) -> Column:
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Columns ``record`` and ``stray``; header records and blank lines are left out.
 
-    ``stray`` marks a record that is not what the pairing of quotes assumed: a quote in
-    the middle of an unquoted field, or a bare carriage return outside quotes.
+    ``stray`` marks a record that was put together wrongly, because not all of its quotes
+    pair up: outside its quoted fields there is a line break, or a quote that opens a field.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"), "value")
 
-    earlier = (Window.partitionBy("file").orderBy("block")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    inside = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
-    splits = (lines.groupBy(*SPLIT).agg(F.sum(quote_count(F.col("value"))).alias("quotes"))
-              .select(*SPLIT, inside.cast("int").alias("inside")))
-
     # One row per split of the input, however long its lines: small enough to broadcast.
     # A split missing from it would mean that the two scans were cut differently.
     unknown = F.raise_error("file splits differ between two scans of one query")
-    placed = lines.join(F.broadcast(splits), SPLIT, "left").select(
-        *SPLIT, F.coalesce("inside", unknown.cast("int")).alias("inside"), "value")
+    placed = lines.join(F.broadcast(_split_starts(lines)), SPLIT, "left").select(
+        *SPLIT, F.coalesce("begun", "block").alias("begun"),
+        F.coalesce("inside", unknown.cast("int")).alias("inside"), "value")
     pieces = placed.mapInArrow(_pieces, PIECES)
 
     whole = pieces.where(F.col("piece") == WHOLE).select("record", "first")
-    order = Window.partitionBy("file").orderBy("block", "piece")
-    cut = (pieces.where(F.col("piece") != WHOLE)
-           .withColumn("opened", F.count_if(F.col("piece") == TAIL).over(order))
-           .groupBy("file", "opened")
-           .agg(F.array_sort(F.collect_list(F.struct("block", "piece", "record"))).alias("parts"),
-                F.bool_or("first").alias("first"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "piece", "record")))
+    cut = (pieces.where(F.col("piece") != WHOLE).groupBy("file", "begun")
+           .agg(parts.alias("parts"), F.bool_or("first").alias("first"))
            .select(F.array_join("parts.record", "\n").alias("record"), "first"))
 
     record = F.regexp_replace("record", r"\r\z", "")
     rest = unquoted_part(F.col("record"))
+    stray = rest.rlike(OPENING_QUOTE) | rest.contains("\n") | rest.contains("\r")
     return (whole.unionByName(cut).where("not first").select(record.alias("record"))
-            .where(F.trim("record") != "")
-            .select("record", (rest.contains('"') | rest.contains("\r")).alias("stray")))
+            .where(F.trim("record") != "").select("record", stray.alias("stray")))
+
+
+def _split_starts(lines: DataFrame) -> DataFrame:
+    """Per split: whether it starts inside quotes, and the split where that record begins."""
+    earlier = (Window.partitionBy("file").orderBy("block")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    odd_lines = F.sum(quote_count(F.col("value")) % 2)
+    splits = (lines.groupBy(*SPLIT).agg(odd_lines.alias("odd_lines"))
+              .withColumn("inside", F.coalesce(F.sum("odd_lines").over(earlier), F.lit(0)) % 2))
+    # The last record of a split is cut off if the split ends inside quotes, and it begins in
+    # the split, unless no line of the split ever leaves the quotes.
+    ends_inside = (F.col("inside") + F.col("odd_lines")) % 2 == 1
+    begins = ends_inside & ((F.col("inside") == 0) | (F.col("odd_lines") > 0))
+    begun = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(earlier)
+    return splits.select(*SPLIT, F.col("inside").cast("int").alias("inside"),
+                         begun.alias("begun"))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of the splits in one task, which arrive one after the other, in line order."""
     split: _Split | None = None
     for batch in batches:
-        files, blocks, inside = (batch.column(i).to_numpy() for i in range(3))
+        files, blocks, begun, inside = (batch.column(i).to_numpy() for i in range(4))
         changes = (np.diff(files) != 0) | (np.diff(blocks) != 0)
         bounds = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
         for start, end in zip(bounds, bounds[1:]):
@@ -101,8 +115,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if split is None or (split.file, split.block) != (files[start], blocks[start]):
                 if split is not None:
                     yield from split.close()
-                split = _Split(files[start], blocks[start], inside[start])
-            yield from split.take(batch.column(3).slice(start, end - start))
+                split = _Split(files[start], blocks[start], begun[start], inside[start])
+            yield from split.take(batch.column(4).slice(start, end - start))
     if split is not None:
         yield from split.close()
 
@@ -110,8 +124,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Split:
     """The lines of one split: what is open, and whether the file's first record is past."""
 
-    def __init__(self, file: int, block: int, inside: int):
-        self.file, self.block, self.inside = file, block, int(inside)
+    def __init__(self, file: int, block: int, begun: int, inside: int):
+        self.file, self.block, self.begun, self.inside = file, block, begun, int(inside)
         self.open: list[pa.Array] = []  # lines of the record that is not yet complete
         self.open_piece = HEAD if self.inside else TAIL
         self.first = block == 0
@@ -163,5 +177,6 @@ class _Split:
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(rows, self.file), pa.int64()),
              pa.array(np.full(rows, self.block), pa.int64()),
+             pa.array(np.full(rows, self.begun if piece == HEAD else self.block), pa.int64()),
              pa.array(np.full(rows, piece), pa.int32()), pa.array(first), texts.cast(pa.string())],
-            names=["file", "block", "piece", "first", "record"])
+            names=["file", "block", "begun", "piece", "first", "record"])

@@ -14,6 +14,19 @@ from ordermill.sources.staging import require_rows, typed_extract
 TYPES = {"int64": "bigint", "float64": "double", "bool": "boolean", "object": "string"}
 
 
+@pytest.fixture
+def monkeypatch_conf(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def change(key, value):
+        before[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+    yield change
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def write(folder, content, name="x.csv"):
     path = folder / name
     path.write_bytes(content if isinstance(content, bytes) else content.encode())
@@ -75,6 +88,8 @@ SAME_AS_PANDAS = {
     "unnamed_header": "a,,c\n1,2,3\n",
     "stray_quotes": 'a,b\n5" pipe,x\n6" pipe,"y\nz"\n7,8\n',
     "stray_pair": 'a,b\n5" by 6" pipe,x\n"p\nq",z\n',
+    "stray_quotes_on_one_line": 'a,b\n5" pipe,x\n6" by 7" pipe,"y,z"\n7,8"\n',
+    "only_quotes": 'a,b\n"""",""\n"""x""",1\n',
     "blanks_kept": "a,b\n x , y\nz , w \n",
     "backslash": 'a,b\n"x\\",y\n\\N,z\n',
     "no_rows_but_quotes": 'a\n"x"\n',
@@ -138,25 +153,17 @@ def random_csv(seed, rows):
 
 @pytest.mark.parametrize("batch_rows", ["3", "10000"])
 @pytest.mark.parametrize("seed,split_bytes", [(1, 64), (2, 256), (3, 1000), (4, 30)])
-def test_records_over_many_splits(spark, tmp_path, seed, split_bytes, batch_rows):
+def test_records_over_many_splits(spark, tmp_path, monkeypatch_conf, seed, split_bytes,
+                                  batch_rows):
     """Splits much smaller than a record, so records start, pass and end in many splits."""
     content = random_csv(seed, 120)
     path = write(tmp_path, content)
-    settings = {"spark.sql.files.maxPartitionBytes": str(split_bytes),
-                "spark.sql.files.openCostInBytes": "0",
-                "spark.sql.execution.arrow.maxRecordsPerBatch": batch_rows}
-    keep = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        blocks = (spark.read.text(path).select("_metadata.file_block_start").distinct().count())
-        assert blocks > 4
-        found = quoted_lines.records(spark, path)
-        assert found.where("stray").count() == 0
-        check_like_pandas(spark, path, content)
-    finally:
-        for k, v in keep.items():
-            spark.conf.set(k, v)
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
+    monkeypatch_conf("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    assert spark.read.text(path).select("_metadata.file_block_start").distinct().count() > 4
+    assert quoted_lines.records(spark, path).where("stray").count() == 0
+    check_like_pandas(spark, path, content)
 
 
 def test_many_files_in_one_task(spark, tmp_path):
@@ -171,20 +178,28 @@ def test_many_files_in_one_task(spark, tmp_path):
         repr(tuple(map(plain, r))) for r in wanted.astype(object).itertuples(index=False, name=None))
 
 
-def test_reading_modes(spark, tmp_path):
+def test_reading_modes(spark, tmp_path, monkeypatch_conf):
     """Plain files and large files with quoted line breaks are split; the rest is not."""
     def modes(content, one_task_bytes=0):
         path = write(tmp_path, content)
-        return ["mapInArrow" if "MapInArrow" in plan else plan.count("multiLine") and "one task"
-                or "split" for plan in (
-                    e.rows._jdf.queryExecution().toString()
-                    for e in csv_extract.read_extract(spark, path, one_task_bytes))]
-    assert len(modes("a,b\n1,x\n")) == 1
-    assert len(modes('a,b\n1,"x,y"\n')) == 1
+        return [how(e.rows) for e in csv_extract.read_extract(spark, path, one_task_bytes)]
+
+    def how(rows):
+        """Seen from the number of tasks a file is cut into, and from the plan."""
+        if "MapInArrow" in rows._jdf.queryExecution().toString():
+            return "assembled"
+        return "split" if rows.rdd.getNumPartitions() > 1 else "one task"
+
+    for key, value in {"spark.sql.files.maxPartitionBytes": "6",
+                       "spark.sql.files.openCostInBytes": "0"}.items():
+        monkeypatch_conf(key, value)
+    assert modes("a,b\n1,x\n") == ["split"]
+    assert modes('a,b\n1,"x,y"\n') == ["split"]
     quoted = 'a,b\n1,"x\ny"\n'
-    assert modes(quoted)[0] == "mapInArrow" and len(modes(quoted)) == 2
-    assert len(modes(quoted, 1000)) == 1 and "mapInArrow" not in modes(quoted, 1000)
-    assert len(modes('a,b\n1,5" pipe\n')) == 1  # an odd number of quotes
+    assert modes(quoted) == ["assembled", "one task"]
+    assert modes(quoted, 1000) == ["one task"]
+    assert modes('a,b\n1,5" pipe\n') == ["split"]
+    assert modes('a,b\n1,"x\ny"\n2,5" pipe\n') == ["one task"]  # an odd number of quotes
 
 
 def test_require_rows(spark):
