@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import dates
 from ordermill.operators.quality import FACT_ORDERS_SUITE, Suite, between
+from ordermill.operators.skew import hot_keys
 from ordermill.plans import dims, facts
 from ordermill.plans.refresh import run_refresh
 from ordermill.plans.sample_extracts import new_folder, write_extract, write_manifest
@@ -73,14 +74,23 @@ def _stg_row_gate(t: SampleTables) -> DataFrame:
             "passes", (F.col("rows") > 0) & (F.col("columns") > 0))
 
 
-def _ingested(source: Callable[[SampleTables], DataFrame]) -> Query:
+def _ingested(source: Callable[[SampleTables], DataFrame], **options: int) -> Query:
     """Write a table as CSV with Spark, and read it back through the ingest."""
     def run(t: SampleTables) -> DataFrame:
         path = write_extract(source(t), f"{new_folder(t)}/extract.csv")
-        return typed_extract(t.spark, path).table
+        return typed_extract(t.spark, path, **options).table
     return _on(run)
 
 
+def _fact_orders_hot(t: SampleTables) -> DataFrame:
+    """A third of all items belongs to one order."""
+    order = F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_orderkey"))
+    items = t.source("lineitem").withColumn("l_orderkey", order)
+    tables = t.orders(), t.item_rows(items), t.payments(), t.reviews()
+    hot = hot_keys("order_id", *tables, hot_rows=1_000, sample=0.2)
+    return _rounded(facts.fact_orders(*tables, hot=hot))
+
+
 def _refreshed(t: SampleTables) -> tuple[str, list]:
     """Extracts, staging, dimensions and fact, in a database of their own."""
     database = f"ordermill_{uuid.uuid4().hex}"
@@ -113,6 +123,7 @@ def queries() -> dict[str, Query]:
         "ingest_orders": _ingested(SampleTables.orders),
         "ingest_items": _ingested(SampleTables.items),
         "ingest_documents": _ingested(lambda t: t.source("documents")),
+        "ingest_documents_split": _ingested(lambda t: t.source("documents"), one_task_bytes=0),
         "ingest_pages": _ingested(lambda t: t.source("pages")),
         "stg_orders_typed": _on(_stg_orders_typed),
         "stg_type_profile": _on(_stg_type_profile),
@@ -126,6 +137,7 @@ def queries() -> dict[str, Query]:
         "order_reviews": _on(lambda t: _rounded(facts.order_reviews(t.orders(), t.reviews()))),
         "fact_orders": _on(lambda t: _rounded(facts.fact_orders(*t.order_tables()))),
         "fact_orders_exact": _on(lambda t: _rounded(facts.fact_orders_exact(*t.order_tables()))),
+        "fact_orders_hot": _on(_fact_orders_hot),
         "dq_fact_orders": _on(
             lambda t: FACT_ORDERS_SUITE.evaluate(facts.fact_orders(*t.order_tables()))),
         "dq_fact_orders_violations": _on(
@@ -310,6 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_items": """SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id,
                            price, freight_value FROM stg_items""",
         "ingest_documents": "SELECT * FROM documents",
+        "ingest_documents_split": "SELECT * FROM documents",
         "ingest_pages": "SELECT * FROM pages",
         "stg_orders_typed": """SELECT order_id,
             CAST(order_purchase_timestamp AS TIMESTAMP) AS purchase_ts,
@@ -331,6 +344,10 @@ def oracle_sql() -> dict[str, str]:
             "stg_reviews", "round(avg(b.review_score), 6) AS avg_review_score"),
         "fact_orders": JOINED_FACT,
         "fact_orders_exact": EXACT_FACT,
+        "fact_orders_hot": JOINED_FACT.replace("stg_items itm", """(
+            SELECT CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_orderkey END AS order_id,
+                   l_linenumber AS order_item_id, l_extendedprice AS price,
+                   l_quantity AS freight_value FROM lineitem) itm"""),
         "dq_fact_orders": f"WITH fact AS ({JOINED_FACT}) " + " UNION ALL ".join(rules),
         "dq_fact_orders_violations": _violations(),
         "refresh_fact_orders": JOINED_FACT,

@@ -71,7 +71,11 @@ class SampleTables:
             F.col("o_orderdate").cast("string").alias("order_purchase_timestamp"))
 
     def items(self) -> DataFrame:
-        return self.source("lineitem").select(
+        return self.item_rows(self.source("lineitem"))
+
+    @staticmethod
+    def item_rows(lineitem: DataFrame) -> DataFrame:
+        return lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_extendedprice").alias("price"),

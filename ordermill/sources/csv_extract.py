@@ -8,13 +8,14 @@ do not pair up the usual way leave a large file to one task.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import is_cut, quote_count, records
+from .quoted_lines import is_cut, occurrences, quote_count, records, unquoted_part
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
@@ -51,10 +52,26 @@ def column_names(header: list[str | None]) -> list[str]:
     return names
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first record; empty if there is none."""
-    first = (spark.read.options(header=False, multiLine=True, **DIALECT).csv(path)).first()
-    return column_names(list(first)) if first else []
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines, without the carriage return of a CR LF, and the file they are from."""
+    return_less = F.regexp_replace("value", r"\r\z", "")
+    return spark.read.option("lineSep", "\n").text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_size",
+        F.when(F.endswith("value", F.lit("\r")), return_less).otherwise(F.col("value"))
+        .alias("line"))
+
+
+def read_header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
+    """The first line that is not blank, and the column names; nothing if there is none."""
+    line = F.col("line")
+    first = _lines(spark, path).where(F.trim(line) != "").select(line, is_cut(line)).first()
+    if not first:
+        return "", []
+    text, cut = first
+    if cut:  # a header over several lines
+        record = spark.read.options(header=False, multiLine=True, **DIALECT).csv(path).first()
+        return text, column_names(list(record))
+    return text, column_names(next(csv.reader([text])))
 
 
 def read_extract(spark: SparkSession, path: str,
@@ -63,51 +80,52 @@ def read_extract(spark: SparkSession, path: str,
 
     The first one without STRAY rows is right; the last one never has any.
     """
-    names = read_header(spark, path)
+    header, names = read_header(spark, path)
     if not names:
         raise MalformedExtract(f"{path} is empty or malformed")
     schema = ", ".join(f"{field(i)} string" for i in range(len(names))) + f", {EXTRA} string"
     reader = spark.read.schema(schema).options(header=True, **DIALECT)
     never = F.lit(None).cast("string").alias(STRAY)
 
-    lines = _survey_lines(spark, path)
+    lines = _survey_lines(spark, path, header, len(names))
     if not lines["broken"]:
+        if lines["too_long"]:
+            raise MalformedExtract(
+                f"{path}: {lines['too_long']} rows have more fields than the header")
         yield Extract(names, reader.csv(path).select("*", never))
         return
-    # The reader turns a carriage return and line feed inside quotes into a line feed.
-    small = lines["largest"] <= one_task_bytes and not lines["returns"]
+    small = lines["largest"] <= one_task_bytes and not lines["special"]
     if not small and not lines["unbalanced"]:
         fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"}).alias("fields")
+        # An extra field is NULL for the parser if it is empty; the separators show it.
+        extra = F.when(F.col("separators") >= len(names), "extra").alias(EXTRA)
         stray = F.when(F.col("stray"), "stray").alias(STRAY)
-        yield Extract(names, records(spark, path).select(fields, stray).select("fields.*", STRAY))
+        yield Extract(names, records(spark, path).select(fields, extra, stray).select(
+            *[f"fields.{field(i)}" for i in range(len(names))], EXTRA, STRAY))
     yield Extract(names, reader.option("multiLine", True).csv(path).select("*", never))
 
 
-def _survey_lines(spark: SparkSession, path: str) -> Row:
-    """Counts that decide how to read the files.
+def _survey_lines(spark: SparkSession, path: str, header: str, columns: int) -> Row:
+    """Counts that decide how to read the files, from one pass over their lines.
 
-    ``broken`` lines are no whole record by themselves, ``unbalanced`` files have an odd
-    number of quotes, ``returns`` counts the lines with a carriage return, ``largest`` is
-    the size of the largest file. Also makes sure that all files of a folder start from the
-    same header line, because columns are assigned by position.
+    ``broken`` lines are no whole record by themselves; ``too_long`` ones have more fields
+    than the header; ``special`` ones are read differently when a task reads a whole file
+    (CR LF inside quotes becomes LF, a line of blanks becomes a row). ``unbalanced`` files have
+    an odd number of quotes; ``largest`` is the size of the largest file. Also makes sure
+    that all files start from the same header line, because columns go by position.
     """
-    line = F.regexp_replace("value", r"\r\z", "")
-    text = (spark.read.option("lineSep", "\n").text(path)
-            .select("value", "_metadata.file_path", "_metadata.file_size",
-                    F.when(F.endswith("value", F.lit("\r")), line).otherwise(F.col("value"))
-                    .alias("line")))
-    header = text.where(F.trim("line") != "").first()["line"]
-    value, line = F.col("value"), F.col("line")
-    per_file = text.groupBy("file_path").agg(
+    line, value = F.col("line"), F.col("value")
+    blank = (F.trim(line) == "") & (line != "")
+    per_file = _lines(spark, path).groupBy("file_path").agg(
         F.count_if(is_cut(line) | line.contains("\r")).alias("broken"),
+        F.count_if(occurrences(",", unquoted_part(line)) >= columns).alias("too_long"),
+        F.count_if(value.contains("\r") | blank).alias("special"),
         F.sum(quote_count(line)).alias("quotes"),
-        F.count_if(value.contains("\r")).alias("returns"),
         F.count_if(line == header).alias("headers"),
         F.max("file_size").alias("size"))
     found = per_file.agg(
-        F.sum("broken").alias("broken"),
+        *[F.sum(name).alias(name) for name in ("broken", "too_long", "special")],
         F.count_if(F.col("quotes") % 2 == 1).alias("unbalanced"),
-        F.sum("returns").alias("returns"),
         F.count_if(F.col("headers") == 0).alias("headless"),
         F.max("size").alias("largest")).first()
     if found["headless"]:

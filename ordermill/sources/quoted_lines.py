@@ -36,9 +36,9 @@ PIECES = "file bigint, block bigint, begun bigint, piece int, first boolean, rec
 
 
 def unquoted_part(text: Column) -> Column:
-    """What is left of a record when its quoted fields are taken out."""
+    """What is left of a record, separators included, when its quoted fields are emptied."""
     plain = F.replace(text, F.lit('""'), F.lit(""))
-    return F.when(text.contains('"'), F.regexp_replace(plain, QUOTED_FIELD, "")).otherwise(text)
+    return F.when(text.contains('"'), F.regexp_replace(plain, QUOTED_FIELD, "$1")).otherwise(text)
 
 
 def is_cut(line: Column) -> Column:
@@ -50,15 +50,19 @@ def is_cut(line: Column) -> Column:
     return line.contains('"') & unquoted_part(line).rlike(OPENING_QUOTE)
 
 
+def occurrences(character: str, text: Column) -> Column:
+    without = F.octet_length(F.replace(text, F.lit(character), F.lit("")))
+    return F.octet_length(text) - without
+
+
 def quote_count(text: Column) -> Column:
-    without = F.length(F.replace(text, F.lit('"'), F.lit("")))
-    return F.when(text.contains('"'), F.length(text) - without).otherwise(0)
+    return F.when(text.contains('"'), occurrences('"', text)).otherwise(0)
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """Columns ``record`` and ``stray``; header records and blank lines are left out.
+    """Columns ``record``, ``separators`` and ``stray``, without headers and blank lines.
 
-    ``stray`` marks a record that was put together wrongly, because not all of its quotes
+    ``separators`` counts the commas between fields. ``stray`` marks a record that was put together wrongly, because not all of its quotes
     pair up: outside its quoted fields there is a line break, or a quote that opens a field.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
@@ -83,7 +87,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     rest = unquoted_part(F.col("record"))
     stray = rest.rlike(OPENING_QUOTE) | rest.contains("\n") | rest.contains("\r")
     return (whole.unionByName(cut).where("not first").select(record.alias("record"))
-            .where(F.trim("record") != "").select("record", stray.alias("stray")))
+            .where(F.trim("record") != "")
+            .select("record", occurrences(",", rest).alias("separators"), stray.alias("stray")))
 
 
 def _split_starts(lines: DataFrame) -> DataFrame:

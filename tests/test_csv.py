@@ -90,6 +90,10 @@ SAME_AS_PANDAS = {
     "stray_pair": 'a,b\n5" by 6" pipe,x\n"p\nq",z\n',
     "stray_quotes_on_one_line": 'a,b\n5" pipe,x\n6" by 7" pipe,"y,z"\n7,8"\n',
     "only_quotes": 'a,b\n"""",""\n"""x""",1\n',
+    "blank_before_header": "\n  \na,b\n1,2\n3,x\n",
+    "blank_before_header_quoted": '\n\na,b\n1,"2\n3"\n',
+    "separators_in_quotes": 'a,b\n",,,",1\n"x,",",,"\n",""",","\n',
+    "one_column": 'a\n"x,y"\nz\n',
     "blanks_kept": "a,b\n x , y\nz , w \n",
     "backslash": 'a,b\n"x\\",y\n\\N,z\n',
     "no_rows_but_quotes": 'a\n"x"\n',
@@ -115,10 +119,16 @@ def test_missing_file_is_an_error(spark, tmp_path):
 
 
 @pytest.mark.parametrize("content", ["a,b\n1,2\n3,4,5\n", "a,b\n1,2,3\n4,5,6\n",
-                                     'a,b\n1,"x\ny",3\n'])
+                                     'a,b\n1,"x\ny",3\n', "a,b\n1,2\n3,4,\n", "a,b\n1,2,\n",
+                                     'a,b\n"1,2","x,y",\n', 'a,b\n1,"x\ny",\n2,z\n'])
 def test_too_long_row_is_refused(spark, tmp_path, content):
     with pytest.raises(MalformedExtract, match="more fields"):
-        typed_extract(spark, write(tmp_path, content))
+        typed_extract(spark, write(tmp_path, content), one_task_bytes=0)
+
+
+def test_too_long_row_in_a_whole_file(spark, tmp_path):
+    with pytest.raises(MalformedExtract, match="more fields"):
+        typed_extract(spark, write(tmp_path, 'a,b\n1,"x\ny",3\n'))
 
 
 def test_folder_of_files(spark, tmp_path):
