@@ -20,6 +20,7 @@ def build_session(app_name: str = "ordermill", master: str | None = None,
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")  # a refresh runs independent builds at once
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -1,11 +1,14 @@
 """CSV extracts, with pandas' default reader as the oracle."""
 
+import csv
 import io
 import math
 import random
+import re
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ordermill.sources import csv_extract, quoted_lines
 from ordermill.sources.csv_extract import MalformedExtract
@@ -219,3 +222,37 @@ def test_require_rows(spark):
         require_rows(table.where("id > 5"), "t")
     with pytest.raises(MalformedExtract):
         require_rows(table.select(), "t")
+
+
+def ends_inside_quotes(line):
+    """Go through a line character by character, the way a CSV reader does."""
+    state = "start"
+    for c in line:
+        if state == "quoted":
+            state = "quote" if c == '"' else "quoted"
+        elif state == "quote" and c == '"':
+            state = "quoted"
+        elif c == ",":
+            state = "start"
+        elif state == "start" and c == '"':
+            state = "quoted"
+        else:
+            state = "plain"
+    return state == "quoted"
+
+
+def test_no_open_line_is_taken_for_whole(spark):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice('a"",') for _ in range(rng.randint(0, 14))) for _ in range(40_000)]
+    table = spark.createDataFrame([(text,) for text in lines], "line string")
+    found = table.select("line", quoted_lines.is_cut(F.col("line")).alias("cut"),
+                         quoted_lines.occurrences(",", quoted_lines.unquoted_part(F.col("line")))
+                         .alias("separators")).collect()
+    opened = [ends_inside_quotes(r.line) for r in found]
+    assert not [r.line for r, o in zip(found, opened) if o and not r.cut]
+    # Text after a closing quote is the one thing that makes a whole line look cut.
+    wrongly = [r.line for r, o in zip(found, opened) if r.cut and not o]
+    assert all(re.search(r'"[^,"]', line) for line in wrongly)
+    for r, o in zip(found, opened):
+        if not o and not r.cut:
+            assert r.separators + 1 == len(next(csv.reader([r.line]))) or not r.line, r.line

@@ -140,3 +140,22 @@ def test_names_and_inventory(spark, raw):
 
 def test_shared_folder_comes_from_the_session(spark, tmp_path):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shared_folder_of_a_local_session(spark):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        made = shared_dir(spark)
+        assert made == shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+
+
+def test_odd_column_names(spark, database, tmp_path):
+    (tmp_path / "Odd.csv").write_text("a,a,,x y,p.q,r(1)\n1,2,3,4,5,6\n")
+    published = refresh.stage(spark, str(tmp_path), "Odd.csv", database)
+    assert published.name.endswith(".stg_odd")
+    table = spark.table(published.name)
+    assert table.columns == ["a", "a.1", "Unnamed: 2", "x y", "p.q", "r(1)"]
+    assert tuple(table.first()) == (1, 2, 3, 4, 5, 6)
