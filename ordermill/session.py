@@ -33,13 +33,14 @@ def build_session(app_name: str = "ordermill", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The folder for written intermediate data, named by ``spark.checkpoint.dir``.
 
-    Unset, a temporary folder is made and recorded in the session, but only in
-    local mode, where driver and executors are one machine.
+    Unset, a temporary checkpoint folder is made, but only in local mode, where driver and
+    executors are one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ordermill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")

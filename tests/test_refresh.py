@@ -1,6 +1,7 @@
 """Publishing, and the refresh as a whole."""
 
 import uuid
+from types import SimpleNamespace
 
 import pytest
 
@@ -142,14 +143,23 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_shared_folder_of_a_local_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        made = shared_dir(spark)
-        assert made == shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+class OtherSession:
+    """A session in which no folder is named, on this context or on a cluster."""
+
+    def __init__(self, context, master=None):
+        self.conf = {}
+        self.sparkContext = SimpleNamespace(
+            master=master or context.master, getCheckpointDir=lambda: self.folder,
+            setCheckpointDir=lambda folder: setattr(self, "folder", folder + "/"))
+        self.folder = None
+
+
+def test_shared_folder_where_none_is_named(spark):
+    local = OtherSession(spark.sparkContext)
+    made = shared_dir(local)
+    assert made and made == shared_dir(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(OtherSession(spark.sparkContext, "spark://host:7077"))
 
 
 def test_odd_column_names(spark, database, tmp_path):
