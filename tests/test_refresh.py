@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from ordermill.__main__ import main
 from ordermill.operators.quality import QualityError, Suite, between, not_null
 from ordermill.plans import refresh
 from ordermill.session import shared_dir
@@ -102,6 +103,16 @@ def test_failed_rule_leaves_the_old_table(spark, database, raw):
     assert table_rows(spark, f"{database}.fact_orders") == before
 
 
+def test_command_line(spark, database, raw, tmp_path, capsys):
+    assert main([str(raw), database]) == 0
+    out = capsys.readouterr().out
+    assert out.count('"success": true') == 4 and f"published {database}.fact_orders" in out
+    (raw / manifest.REVIEWS).write_text("order_id,review_score\no1,9\n")
+    assert main([str(raw), database]) == 1
+    printed = capsys.readouterr()
+    assert "avg_review_score_between (1 rows)" in printed.err and '"success": false' in printed.out
+
+
 def test_publish_keeps_one_earlier_build(spark, database):
     seen = [publish(spark.range(n), database, "t").build for n in range(1, 5)]
     assert builds(spark, database, "t") == seen[-2:]
