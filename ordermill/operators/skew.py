@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000   # rows of one key from which on it gets its own treatment
 SAMPLE = 0.001         # share of the key column that is counted
-MOST_HOT_KEYS = 1_000  # upper bound on the keys returned, hottest first
+MOST_HOT_KEYS = 10_000  # upper bound on the keys returned, hottest first
 
 
 def hot_keys(key: str, *tables: DataFrame, hot_rows: int = HOT_ROWS,

@@ -256,3 +256,29 @@ def test_no_open_line_is_taken_for_whole(spark):
     for r, o in zip(found, opened):
         if not o and not r.cut:
             assert r.separators + 1 == len(next(csv.reader([r.line]))) or not r.line, r.line
+
+
+# Groups of field texts that pandas types without regard to their order in the column.
+FIELDS = [
+    ["1", "-2", "+3", "007", " 4 ", "900719925474099"],
+    ["1.5", ".5", "5.", "1e3", "-2E-2", " 2.5", "inf", "-Infinity"],
+    ["", "NA", "nan", "null", "None", "#N/A", "-1.#IND"],
+    ["True", "TRUE", "true"],
+    ["False", "FALSE", "false"],
+    ["x", "1d", "2f", "0x1A", "1_000", "t", "yes", "na", "NONE", "1-2", "1e", "e1", "--1", "i",
+     "I", "in", "+", ".", "2017-10-02", "1 2", "Inf1", "Tru", "nAn"],
+]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_types_of_many_columns(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    columns = []
+    for _ in range(150):
+        groups = rng.sample(FIELDS, rng.choice([1, 1, 2, 2, 3]))
+        columns.append([rng.choice(rng.choice(groups)) for _ in range(3)])
+    # A last column without gaps, so that no line is blank.
+    columns.append(["end"] * 3)
+    lines = [",".join(f"c{i}" for i in range(len(columns)))] + [",".join(r) for r in zip(*columns)]
+    content = "\n".join(lines) + "\n"
+    check_like_pandas(spark, write(tmp_path, content), content)
