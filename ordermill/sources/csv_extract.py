@@ -2,8 +2,8 @@
 
 All columns are read as text. Where every record fits on one line, files are split over
 many tasks. Small files with line breaks inside quotes are read by one task each; large
-ones are split as well, and ``quoted_lines`` puts their records together. Only quotes that
-do not pair up the usual way leave a large file to one task.
+ones are split as well, and ``quoted_lines`` puts their records together. Only bare carriage
+returns as line ends leave a large file to one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import is_cut, occurrences, quote_count, records, unquoted_part
+from .quoted_lines import is_cut, occurrences, records, unquoted_part
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
@@ -95,7 +95,7 @@ def read_extract(spark: SparkSession, path: str,
         yield Extract(names, reader.csv(path).select("*", never))
         return
     small = lines["largest"] <= one_task_bytes and not lines["special"]
-    if not small and not lines["unbalanced"]:
+    if not small:
         fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"}).alias("fields")
         # An extra field is NULL for the parser if it is empty; the separators show it.
         extra = F.when(F.col("separators") >= len(names), "extra").alias(EXTRA)
@@ -110,9 +110,9 @@ def _survey_lines(spark: SparkSession, path: str, header: str, columns: int) ->
 
     ``broken`` lines are no whole record by themselves; ``too_long`` ones have more fields
     than the header; ``special`` ones are read differently when a task reads a whole file
-    (CR LF inside quotes becomes LF, a line of blanks becomes a row). ``unbalanced`` files have
-    an odd number of quotes; ``largest`` is the size of the largest file. Also makes sure
-    that all files start from the same header line, because columns go by position.
+    (CR LF inside quotes becomes LF, a line of blanks becomes a row); ``largest`` is the size
+    of the largest file. Also makes sure that all files start from the same header line,
+    because columns go by position.
     """
     line, value = F.col("line"), F.col("value")
     blank = (F.trim(line) == "") & (line != "")
@@ -120,12 +120,10 @@ def _survey_lines(spark: SparkSession, path: str, header: str, columns: int) ->
         F.count_if(is_cut(line) | line.contains("\r")).alias("broken"),
         F.count_if(occurrences(",", unquoted_part(line)) >= columns).alias("too_long"),
         F.count_if(value.contains("\r") | blank).alias("special"),
-        F.sum(quote_count(line)).alias("quotes"),
         F.count_if(line == header).alias("headers"),
         F.max("file_size").alias("size"))
     found = per_file.agg(
         *[F.sum(name).alias(name) for name in ("broken", "too_long", "special")],
-        F.count_if(F.col("quotes") % 2 == 1).alias("unbalanced"),
         F.count_if(F.col("headers") == 0).alias("headless"),
         F.max("size").alias("largest")).first()
     if found["headless"]:

@@ -1,14 +1,16 @@
 """Put together CSV records that run over several lines, without one task per file.
 
-A line starts a record if an even number of quotes stands before it in its file. Two steps
-find that out for every file split, without a shuffle of the text:
+Seen from quotes, a line takes the reader from one of two states, outside or inside a quoted
+field, to one of them. What a line does, a whole split of a file does too, so:
 
-1. one aggregation counts the lines with an odd number of quotes per split; running over the
-   splits of a file, this says which ones start inside quotes, and in which split the
-   record that goes on there was begun;
-2. each task goes through its split in order, as Arrow batches, and joins the lines of a
+1. each task sums up its splits as "from outside it ends …, from inside it ends …"; running over
+   the splits of a file, this says how each one starts, and in which split the record that
+   goes on there was begun;
+2. each task goes through its splits in order, as Arrow batches, and joins the lines of a
    record. Only what is cut off by a split boundary, at most one piece at either end of a
    split, is shuffled, by file and the split where the record was begun.
+
+The text itself is read twice and never shuffled.
 """
 
 from __future__ import annotations
@@ -23,15 +25,20 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# The task function travels with the job; executors need not have this package.
+# The task functions travel with the job; executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A quoted field without quotes inside, at its place between separators.
-QUOTED_FIELD = r'(^|,)"[^"]*+"(?=,|\z)'
+# A quoted field at its place between separators, and whatever follows its closing quote.
+# Doubled quotes are taken out before.
+QUOTED_FIELD = r'(^|,)"[^"]*+"[^,]*+'
 OPENING_QUOTE = r'(^|,)"'
 
+# What a line or a split does: end outside quotes, turn the state around, leave it, end inside.
+OUT, TURN, KEEP, IN = 0, 1, 2, 3
+
 SPLIT = ["file", "block"]  # a split is known by the hash of its path and its offset
 WHOLE, HEAD, TAIL = 0, 1, 2
+SUMMARY = "file bigint, block bigint, effect int, leaves boolean"
 PIECES = "file bigint, block bigint, begun bigint, piece int, first boolean, record string"
 
 
@@ -42,39 +49,40 @@ def unquoted_part(text: Column) -> Column:
 
 
 def is_cut(line: Column) -> Column:
-    """True unless the line is a whole record by itself.
-
-    A quote in the middle of a field is just a character; what counts is one that opens a
-    field and does not come to its end.
-    """
+    """True if the line, read from outside quotes, ends inside them."""
     return line.contains('"') & unquoted_part(line).rlike(OPENING_QUOTE)
 
 
+def effect(line: Column) -> Column:
+    """OUT, TURN, KEEP or IN. To start inside quotes is to start with one more quote."""
+    from_outside, from_inside = is_cut(line), is_cut(F.concat(F.lit('"'), line))
+    return (F.when(~line.contains('"'), KEEP)
+            .otherwise(from_outside.cast("int") + 2 * from_inside.cast("int")))
+
+
 def occurrences(character: str, text: Column) -> Column:
     without = F.octet_length(F.replace(text, F.lit(character), F.lit("")))
     return F.octet_length(text) - without
 
 
-def quote_count(text: Column) -> Column:
-    return F.when(text.contains('"'), occurrences('"', text)).otherwise(0)
-
-
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Columns ``record``, ``separators`` and ``stray``, without headers and blank lines.
 
-    ``separators`` counts the commas between fields. ``stray`` marks a record that was put together wrongly, because not all of its quotes
-    pair up: outside its quoted fields there is a line break, or a quote that opens a field.
+    ``separators`` counts the commas between fields. ``stray`` marks a record that is not one
+    record after all: outside its quoted fields is a bare carriage return, which also ends a
+    line.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), "value")
+        F.col("_metadata.file_block_start").alias("block"),
+        effect(F.col("value")).alias("effect"), "value")
 
     # One row per split of the input, however long its lines: small enough to broadcast.
     # A split missing from it would mean that the two scans were cut differently.
     unknown = F.raise_error("file splits differ between two scans of one query")
     placed = lines.join(F.broadcast(_split_starts(lines)), SPLIT, "left").select(
         *SPLIT, F.coalesce("begun", "block").alias("begun"),
-        F.coalesce("inside", unknown.cast("int")).alias("inside"), "value")
+        F.coalesce("inside", unknown.cast("int")).alias("inside"), "effect", "value")
     pieces = placed.mapInArrow(_pieces, PIECES)
 
     whole = pieces.where(F.col("piece") == WHOLE).select("record", "first")
@@ -85,43 +93,82 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
     record = F.regexp_replace("record", r"\r\z", "")
     rest = unquoted_part(F.col("record"))
-    stray = rest.rlike(OPENING_QUOTE) | rest.contains("\n") | rest.contains("\r")
     return (whole.unionByName(cut).where("not first").select(record.alias("record"))
             .where(F.trim("record") != "")
-            .select("record", occurrences(",", rest).alias("separators"), stray.alias("stray")))
+            .select("record", occurrences(",", rest).alias("separators"),
+                    rest.contains("\r").alias("stray")))
 
 
 def _split_starts(lines: DataFrame) -> DataFrame:
     """Per split: whether it starts inside quotes, and the split where that record begins."""
-    earlier = (Window.partitionBy("file").orderBy("block")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    odd_lines = F.sum(quote_count(F.col("value")) % 2)
-    splits = (lines.groupBy(*SPLIT).agg(odd_lines.alias("odd_lines"))
-              .withColumn("inside", F.coalesce(F.sum("odd_lines").over(earlier), F.lit(0)) % 2))
+    splits = lines.select(*SPLIT, "effect").mapInArrow(_summaries, SUMMARY)
+    by_place = Window.partitionBy("file").orderBy("block")
+    until = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = by_place.rowsBetween(Window.unboundedPreceding, -1)
+
+    # The state is that of the last split which settles it, turned as often as after that.
+    effect = F.col("effect")
+    turns = F.count_if(effect == TURN)
+    settled = F.when(effect.isin(OUT, IN), (effect.bitwiseAND(1) + F.col("turns")) % 2)
+    splits = (splits.withColumn("turns", turns.over(until))
+              .withColumn("settled", settled)
+              .withColumn("inside", (
+                  F.coalesce(F.last("settled", ignorenulls=True).over(earlier), F.lit(0))
+                  + F.coalesce(turns.over(earlier), F.lit(0))) % 2))
+
     # The last record of a split is cut off if the split ends inside quotes, and it begins in
-    # the split, unless no line of the split ever leaves the quotes.
-    ends_inside = (F.col("inside") + F.col("odd_lines")) % 2 == 1
-    begins = ends_inside & ((F.col("inside") == 0) | (F.col("odd_lines") > 0))
+    # the split, unless the split starts inside quotes and no line of it ever leaves them.
+    inside = F.col("inside") == 1
+    ends_inside = F.when(inside, effect.isin(KEEP, IN)).otherwise(effect.isin(TURN, IN))
+    begins = ends_inside & (~inside | F.col("leaves"))
     begun = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(earlier)
-    return splits.select(*SPLIT, F.col("inside").cast("int").alias("inside"),
-                         begun.alias("begun"))
+    return splits.select(*SPLIT, inside.cast("int").alias("inside"), begun.alias("begun"))
+
+
+def _states(start: int, effects: np.ndarray) -> np.ndarray:
+    """The state after each line, 1 for inside quotes."""
+    turns = np.cumsum(effects == TURN)
+    settles = (effects == OUT) | (effects == IN)
+    last = np.maximum.accumulate(np.where(settles, np.arange(len(effects)), -1))
+    settled = (effects[last] & 1) + turns - turns[last]
+    return np.where(last >= 0, settled, start + turns) % 2
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """The lines of each split in a task, which arrive in order, a batch at a time."""
+    for batch in batches:
+        if batch.num_rows:
+            files, blocks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            changes = (np.diff(files) != 0) | (np.diff(blocks) != 0)
+            bounds = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+            for start, end in zip(bounds, bounds[1:]):
+                yield (int(files[start]), int(blocks[start])), batch.slice(start, end - start)
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per split of the task."""
+    splits: dict[tuple[int, int], tuple[int, int, bool]] = {}
+    for split, lines in _runs(batches):
+        effects = lines.column(2).to_numpy()
+        from_outside, from_inside, leaves = splits.get(split, (0, 1, False))
+        after = _states(from_inside, effects)
+        splits[split] = (int(_states(from_outside, effects)[-1]), int(after[-1]),
+                         leaves or not after.all())
+    rows = [(*split, o + 2 * i, leaves) for split, (o, i, leaves) in splits.items()]
+    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("effect", pa.int32()),
+                        ("leaves", pa.bool_())])
+    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of the splits in one task, which arrive one after the other, in line order."""
+    """The records of the splits of the task, whole or in pieces."""
     split: _Split | None = None
-    for batch in batches:
-        files, blocks, begun, inside = (batch.column(i).to_numpy() for i in range(4))
-        changes = (np.diff(files) != 0) | (np.diff(blocks) != 0)
-        bounds = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
-        for start, end in zip(bounds, bounds[1:]):
-            if start == end:
-                continue
-            if split is None or (split.file, split.block) != (files[start], blocks[start]):
-                if split is not None:
-                    yield from split.close()
-                split = _Split(files[start], blocks[start], begun[start], inside[start])
-            yield from split.take(batch.column(4).slice(start, end - start))
+    for place, lines in _runs(batches):
+        if split is None or split.place != place:
+            if split is not None:
+                yield from split.close()
+            split = _Split(place, begun=lines.column(2)[0].as_py(), inside=lines.column(3)[0].as_py())
+        yield from split.take(lines.column(4).to_numpy(), lines.column(5))
     if split is not None:
         yield from split.close()
 
@@ -129,15 +176,14 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Split:
     """The lines of one split: what is open, and whether the file's first record is past."""
 
-    def __init__(self, file: int, block: int, begun: int, inside: int):
-        self.file, self.block, self.begun, self.inside = file, block, begun, int(inside)
+    def __init__(self, place: tuple[int, int], begun: int, inside: int):
+        self.place, self.begun, self.inside = place, begun, inside
         self.open: list[pa.Array] = []  # lines of the record that is not yet complete
-        self.open_piece = HEAD if self.inside else TAIL
-        self.first = block == 0
+        self.open_piece = HEAD if inside else TAIL
+        self.first = place[1] == 0
 
-    def take(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
-        odd = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False) % 2
-        after = (self.inside + np.cumsum(odd)) % 2
+    def take(self, effects: np.ndarray, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        after = _states(self.inside, effects)
         self.inside = int(after[-1])
         ends = np.flatnonzero(after == 0) + 1  # each is the end of a record
         if not len(ends):
@@ -179,9 +225,10 @@ class _Split:
             if len(filled):
                 first[filled[0]] = True
                 self.first = False
+        file, block = self.place
+        begun = self.begun if piece == HEAD else block
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(rows, self.file), pa.int64()),
-             pa.array(np.full(rows, self.block), pa.int64()),
-             pa.array(np.full(rows, self.begun if piece == HEAD else self.block), pa.int64()),
-             pa.array(np.full(rows, piece), pa.int32()), pa.array(first), texts.cast(pa.string())],
+            [pa.array(np.full(rows, file), pa.int64()), pa.array(np.full(rows, block), pa.int64()),
+             pa.array(np.full(rows, begun), pa.int64()), pa.array(np.full(rows, piece), pa.int32()),
+             pa.array(first), texts.cast(pa.string())],
             names=["file", "block", "begun", "piece", "first", "record"])

@@ -4,7 +4,6 @@ import csv
 import io
 import math
 import random
-import re
 
 import pandas as pd
 import pytest
@@ -152,7 +151,7 @@ def test_folder_with_another_column_order_is_refused(spark, tmp_path):
         typed_extract(spark, str(folder))
 
 
-def random_csv(seed, rows):
+def random_csv(seed, rows, stray=False):
     rng = random.Random(seed)
     bits = ["x", " ", ",", '""', "\n", "\n\n", "\r\n", "word", "1"]
     lines = ["id,text,n"]
@@ -160,16 +159,20 @@ def random_csv(seed, rows):
         quoted = rng.random() < 0.6
         size = rng.randint(0, 60 if rng.random() < 0.05 else 8)
         text = '"' + "".join(rng.choice(bits) for _ in range(size)) + '"' if quoted else "plain"
+        if stray and not quoted:
+            text = rng.choice(['5" pipe', 'a"b"c', 'x""', 'p"', '-"""'])
         lines.append(f"{i},{text},{rng.randint(0, 9)}")
     return "\n".join(lines) + "\n"
 
 
 @pytest.mark.parametrize("batch_rows", ["3", "10000"])
+@pytest.mark.parametrize("stray", [False, True])
 @pytest.mark.parametrize("seed,split_bytes", [(1, 64), (2, 256), (3, 1000), (4, 30)])
 def test_records_over_many_splits(spark, tmp_path, monkeypatch_conf, seed, split_bytes,
-                                  batch_rows):
-    """Splits much smaller than a record, so records start, pass and end in many splits."""
-    content = random_csv(seed, 120)
+                                  batch_rows, stray):
+    """Splits much smaller than a record, so records start, pass and end in many splits;
+    with and without quotes in the middle of unquoted fields."""
+    content = random_csv(seed, 120, stray)
     path = write(tmp_path, content)
     monkeypatch_conf("spark.sql.files.maxPartitionBytes", str(split_bytes))
     monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
@@ -212,7 +215,7 @@ def test_reading_modes(spark, tmp_path, monkeypatch_conf):
     assert modes(quoted) == ["assembled", "one task"]
     assert modes(quoted, 1000) == ["one task"]
     assert modes('a,b\n1,5" pipe\n') == ["split"]
-    assert modes('a,b\n1,"x\ny"\n2,5" pipe\n') == ["one task"]  # an odd number of quotes
+    assert modes('a,b\n1,"x\ny"\n2,5" pipe\n') == ["assembled", "one task"]
 
 
 def test_require_rows(spark):
@@ -241,20 +244,17 @@ def ends_inside_quotes(line):
     return state == "quoted"
 
 
-def test_no_open_line_is_taken_for_whole(spark):
+def test_whole_and_cut_lines(spark):
     rng = random.Random(3)
     lines = ["".join(rng.choice('a"",') for _ in range(rng.randint(0, 14))) for _ in range(40_000)]
-    table = spark.createDataFrame([(text,) for text in lines], "line string")
-    found = table.select("line", quoted_lines.is_cut(F.col("line")).alias("cut"),
-                         quoted_lines.occurrences(",", quoted_lines.unquoted_part(F.col("line")))
-                         .alias("separators")).collect()
-    opened = [ends_inside_quotes(r.line) for r in found]
-    assert not [r.line for r, o in zip(found, opened) if o and not r.cut]
-    # Text after a closing quote is the one thing that makes a whole line look cut.
-    wrongly = [r.line for r, o in zip(found, opened) if r.cut and not o]
-    assert all(re.search(r'"[^,"]', line) for line in wrongly)
-    for r, o in zip(found, opened):
-        if not o and not r.cut:
+    line = F.col("line")
+    found = spark.createDataFrame([(text,) for text in lines], "line string").select(
+        line, quoted_lines.effect(line).alias("effect"),
+        quoted_lines.occurrences(",", quoted_lines.unquoted_part(line)).alias("separators"))
+    for r in found.collect():
+        cut, inside = ends_inside_quotes(r.line), ends_inside_quotes('"' + r.line)
+        assert r.effect == cut + 2 * inside, r.line
+        if not cut:
             assert r.separators + 1 == len(next(csv.reader([r.line]))) or not r.line, r.line
 
 
