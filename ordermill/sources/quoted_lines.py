@@ -83,18 +83,18 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     placed = lines.join(F.broadcast(_split_starts(lines)), SPLIT, "left").select(
         *SPLIT, F.coalesce("begun", "block").alias("begun"),
         F.coalesce("inside", unknown.cast("int")).alias("inside"), "effect", "value")
-    pieces = placed.mapInArrow(_pieces, PIECES)
 
-    whole = pieces.where(F.col("piece") == WHOLE).select("record", "first")
+    whole = placed.mapInArrow(lambda batches: _pieces(batches, cut=False), PIECES)
     parts = F.array_sort(F.collect_list(F.struct("block", "piece", "record")))
-    cut = (pieces.where(F.col("piece") != WHOLE).groupBy("file", "begun")
+    cut = (placed.mapInArrow(lambda batches: _pieces(batches, cut=True), PIECES)
+           .groupBy("file", "begun")
            .agg(parts.alias("parts"), F.bool_or("first").alias("first"))
            .select(F.array_join("parts.record", "\n").alias("record"), "first"))
 
     record = F.regexp_replace("record", r"\r\z", "")
     rest = unquoted_part(F.col("record"))
-    return (whole.unionByName(cut).where("not first").select(record.alias("record"))
-            .where(F.trim("record") != "")
+    return (whole.select("record", "first").unionByName(cut).where("not first")
+            .select(record.alias("record")).where(F.trim("record") != "")
             .select("record", occurrences(",", rest).alias("separators"),
                     rest.contains("\r").alias("stray")))
 
@@ -160,14 +160,14 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of the splits of the task, whole or in pieces."""
+def _pieces(batches: Iterator[pa.RecordBatch], cut: bool) -> Iterator[pa.RecordBatch]:
+    """The whole records of the splits of the task, or the pieces of those that are cut off."""
     split: _Split | None = None
     for place, lines in _runs(batches):
         if split is None or split.place != place:
             if split is not None:
                 yield from split.close()
-            split = _Split(place, begun=lines.column(2)[0].as_py(), inside=lines.column(3)[0].as_py())
+            split = _Split(place, lines.column(2)[0].as_py(), lines.column(3)[0].as_py(), cut)
         yield from split.take(lines.column(4).to_numpy(), lines.column(5))
     if split is not None:
         yield from split.close()
@@ -176,8 +176,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Split:
     """The lines of one split: what is open, and whether the file's first record is past."""
 
-    def __init__(self, place: tuple[int, int], begun: int, inside: int):
-        self.place, self.begun, self.inside = place, begun, inside
+    def __init__(self, place: tuple[int, int], begun: int, inside: int, cut: bool):
+        self.place, self.begun, self.inside, self.cut = place, begun, inside, cut
         self.open: list[pa.Array] = []  # lines of the record that is not yet complete
         self.open_piece = HEAD if inside else TAIL
         self.first = place[1] == 0
@@ -193,12 +193,11 @@ class _Split:
         if self.open or self.open_piece == HEAD:
             done = ends[0]
             self.open.append(lines.slice(0, done))
-            yield self._opened()
+            yield from self._opened(HEAD if self.open_piece == HEAD else WHOLE)
             ends = ends[1:]
         if len(ends):
             offsets = pa.array(np.concatenate([[done], ends]), pa.int32())
-            yield self._batch(WHOLE, pc.binary_join(
-                pa.ListArray.from_arrays(offsets, lines), "\n"))
+            yield from self._joined(WHOLE, offsets, lines)
             done = ends[-1]
         if done < len(lines):
             self.open.append(lines.slice(done))
@@ -206,14 +205,20 @@ class _Split:
     def close(self) -> Iterator[pa.RecordBatch]:
         """What is still open goes on in the next split, or ends with the file."""
         if self.open:
-            yield self._opened(cut=True)
+            yield from self._opened(self.open_piece)
 
-    def _opened(self, cut: bool = False) -> pa.RecordBatch:
+    def _opened(self, piece: int) -> Iterator[pa.RecordBatch]:
         lines = pa.chunked_array(self.open).combine_chunks()
-        text = pc.binary_join(pa.ListArray.from_arrays([0, len(lines)], lines), "\n")
-        piece = self.open_piece if cut or self.open_piece == HEAD else WHOLE
         self.open, self.open_piece = [], TAIL
-        return self._batch(piece, text)
+        yield from self._joined(piece, pa.array([0, len(lines)], pa.int32()), lines)
+
+    def _joined(self, piece: int, offsets: pa.Array, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        """The lines between offsets as records, if they are of the wanted sort."""
+        if self.first or (piece != WHOLE) == self.cut:
+            records = self._batch(piece, pc.binary_join(
+                pa.ListArray.from_arrays(offsets, lines), "\n"))
+            if (piece != WHOLE) == self.cut:
+                yield records
 
     def _batch(self, piece: int, texts: pa.Array) -> pa.RecordBatch:
         rows = len(texts)
