@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import is_cut, occurrences, records, unquoted_part
+from .quoted_lines import is_blank, is_cut, occurrences, records, unquoted_part
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
@@ -64,7 +64,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 def read_header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     """The first line that is not blank, and the column names; nothing if there is none."""
     line = F.col("line")
-    first = _lines(spark, path).where(F.trim(line) != "").select(line, is_cut(line)).first()
+    first = _lines(spark, path).where(~is_blank(line)).select(line, is_cut(line)).first()
     if not first:
         return "", []
     text, cut = first
@@ -115,7 +115,7 @@ def _survey_lines(spark: SparkSession, path: str, header: str, columns: int) ->
     because columns go by position.
     """
     line, value = F.col("line"), F.col("value")
-    blank = (F.trim(line) == "") & (line != "")
+    blank = is_blank(line) & (line != "")
     per_file = _lines(spark, path).groupBy("file_path").agg(
         F.count_if(is_cut(line) | line.contains("\r")).alias("broken"),
         F.count_if(occurrences(",", unquoted_part(line)) >= columns).alias("too_long"),

@@ -32,6 +32,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Doubled quotes are taken out before.
 QUOTED_FIELD = r'(^|,)"[^"]*+"[^,]*+'
 OPENING_QUOTE = r'(^|,)"'
+BLANKS = " \t"
 
 # What a line or a split does: end outside quotes, turn the state around, leave it, end inside.
 OUT, TURN, KEEP, IN = 0, 1, 2, 3
@@ -53,6 +54,11 @@ def is_cut(line: Column) -> Column:
     return line.contains('"') & unquoted_part(line).rlike(OPENING_QUOTE)
 
 
+def is_blank(line: Column) -> Column:
+    """Nothing but blanks and tabs: such a line is skipped."""
+    return F.trim(line, F.lit(BLANKS)) == ""
+
+
 def effect(line: Column) -> Column:
     """OUT, TURN, KEEP or IN. To start inside quotes is to start with one more quote."""
     from_outside, from_inside = is_cut(line), is_cut(F.concat(F.lit('"'), line))
@@ -94,7 +100,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_replace("record", r"\r\z", "")
     rest = unquoted_part(F.col("record"))
     return (whole.select("record", "first").unionByName(cut).where("not first")
-            .select(record.alias("record")).where(F.trim("record") != "")
+            .select(record.alias("record")).where(~is_blank(F.col("record")))
             .select("record", occurrences(",", rest).alias("separators"),
                     rest.contains("\r").alias("stray")))
 
@@ -225,7 +231,7 @@ class _Split:
         first = np.zeros(rows, dtype=bool)
         if self.first and piece != HEAD:
             # The file's first record is its header; blank lines may stand before it.
-            filled = np.flatnonzero(pc.not_equal(pc.utf8_trim_whitespace(texts), "")
+            filled = np.flatnonzero(pc.not_equal(pc.utf8_trim(texts, BLANKS + "\r"), "")
                                     .to_numpy(zero_copy_only=False))
             if len(filled):
                 first[filled[0]] = True

@@ -94,6 +94,8 @@ SAME_AS_PANDAS = {
     "only_quotes": 'a,b\n"""",""\n"""x""",1\n',
     "blank_before_header": "\n  \na,b\n1,2\n3,x\n",
     "blank_before_header_quoted": '\n\na,b\n1,"2\n3"\n',
+    "tabs_on_a_line": 'a,b\n\t\n1,"x\ny"\n \t \n2,z\n',
+    "tabs_on_a_plain_line": "\t\na,b\n\t\n1,x\n \t \n2,z\n",
     "separators_in_quotes": 'a,b\n",,,",1\n"x,",",,"\n",""",","\n',
     "one_column": 'a\n"x,y"\nz\n',
     "blanks_kept": "a,b\n x , y\nz , w \n",
