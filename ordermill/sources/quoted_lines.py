@@ -88,11 +88,12 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     unknown = F.raise_error("file splits differ between two scans of one query")
     placed = lines.join(F.broadcast(_split_starts(lines)), SPLIT, "left").select(
         *SPLIT, F.coalesce("begun", "block").alias("begun"),
-        F.coalesce("inside", unknown.cast("int")).alias("inside"), "effect", "value")
+        F.coalesce("inside", unknown.cast("int")).alias("inside"), "effect", "value", "cut")
 
-    whole = placed.mapInArrow(lambda batches: _pieces(batches, cut=False), PIECES)
+    whole = placed.drop("cut").mapInArrow(lambda batches: _pieces(batches, cut=False), PIECES)
     parts = F.array_sort(F.collect_list(F.struct("block", "piece", "record")))
-    cut = (placed.mapInArrow(lambda batches: _pieces(batches, cut=True), PIECES)
+    cut = (placed.where("cut").drop("cut")
+           .mapInArrow(lambda batches: _pieces(batches, cut=True), PIECES)
            .groupBy("file", "begun")
            .agg(parts.alias("parts"), F.bool_or("first").alias("first"))
            .select(F.array_join("parts.record", "\n").alias("record"), "first"))
@@ -106,7 +107,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_starts(lines: DataFrame) -> DataFrame:
-    """Per split: whether it starts inside quotes, and the split where that record begins."""
+    """Per split: whether it starts inside quotes, the split where that record begins, and
+    whether a record is cut off at one of its ends."""
     splits = lines.select(*SPLIT, "effect").mapInArrow(_summaries, SUMMARY)
     by_place = Window.partitionBy("file").orderBy("block")
     until = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -128,7 +130,8 @@ def _split_starts(lines: DataFrame) -> DataFrame:
     ends_inside = F.when(inside, effect.isin(KEEP, IN)).otherwise(effect.isin(TURN, IN))
     begins = ends_inside & (~inside | F.col("leaves"))
     begun = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(earlier)
-    return splits.select(*SPLIT, inside.cast("int").alias("inside"), begun.alias("begun"))
+    return splits.select(*SPLIT, inside.cast("int").alias("inside"), begun.alias("begun"),
+                         (inside | ends_inside).alias("cut"))
 
 
 def _states(start: int, effects: np.ndarray) -> np.ndarray:
