@@ -22,6 +22,14 @@ from ordermill.sources.manifest import list_extracts, staging_name
 from ordermill.sources.publish import ensure_database
 from ordermill.sources.staging import typed_extract
 
+try:
+    import corpus_pipeline
+    import ordermill.llm.queries as llm
+except ModuleNotFoundError as absent:  # the rest works without them
+    if absent.name not in ("corpus_pipeline", "ordermill.llm", "ordermill.llm.queries"):
+        raise
+    llm = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TIGHT_SUITE = Suite("tight", [between("total_items", 1, 6), between("avg_review_score", 0, 4)])
@@ -116,6 +124,13 @@ def _refresh_row_counts(t: SampleTables) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """All queries: those of the order tables, and those of the text operators if present."""
+    if llm is None:
+        return order_queries()
+    return {**order_queries(), **llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def order_queries() -> dict[str, Query]:
     return {
         "raw_inventory": lambda spark, folder: list_extracts(spark, folder, ".parquet").select(
             "file_name", "staging_table"),
@@ -297,6 +312,13 @@ def _row_counts() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return order_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**order_sql(), **llm.oracle_sql(), **pipeline}
+
+
+def order_sql() -> dict[str, str]:
     names = ", ".join(f"'{t}'" for t in TABLES)
     items = """count(DISTINCT b.order_item_id) AS total_items,
                round(sum(b.price + b.freight_value), 2) AS total_order_value"""

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.order_queries(), contract.order_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
