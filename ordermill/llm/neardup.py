@@ -12,8 +12,9 @@
    sets. Confirmed links are contracted to components.
 5. Buckets that hold more than one component go through further rounds. At last, members outside of
    a bucket's largest component are compared with all members of other components, blocks of
-   sketches at a time: pairs are told from their sketches within the task, only those that may
-   be links leave it, and only in the first band they share.
+   sketches at a time. These are finer, the 512 smallest hashes of a set: exact for sets up to
+   that size. Pairs are told within the task, so only those that are links, or may be in
+   large sets, leave it, and only in the first band they share.
 
 A link of similarity 0.8 is missed by all 42 bands with a probability of about 3e-6, and by the
 estimate (three standard errors of margin) with one of about 1e-3 if no other link joins the two.
@@ -47,8 +48,9 @@ BUCKETS = 256      # registers of a sketch
 ROWS, BANDS = 6, 42
 MANTISSA = 10      # bits of a register after the leading one
 ROUNDS = 3         # rounds of random partners before the rest is compared in blocks
-PER_MEMBER = (4, 32, None)  # partners per member, block and band that leave a block
-BLOCK = 1024       # sketches compared at a time
+PARTNERS = (2, None)  # partners of an outsider in a component and block, round by round
+FINE = 512         # smallest hashes in a fine sketch
+BLOCK = 512        # sketches compared at a time
 
 ROW = ["doc_id", "text_1", "text_2"]  # what tells documents apart: the id and the text's hash
 SKETCH = ("doc_id long, text_1 long, text_2 long, n long, set_1 long, set_2 long, "
@@ -197,7 +199,7 @@ def _plausible(similar: int):
 
 
 def _sets(size: int):
-    """(set_1, set_2, shingles) of each text."""
+    """(set_1, set_2, shingles, fine) of each text."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(SPACED)
         for batch in batches:
@@ -208,16 +210,49 @@ def _sets(size: int):
                 flat = np.concatenate(values).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(column, pa.int64()) for column in zip(*map(set_hash, values))),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                    names=["set_1", "set_2", "shingles"])
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
+                     pa.array([(v[:FINE] >> np.uint64(32)).astype(np.uint32).tobytes()
+                               for v in values], pa.binary())],
+                    names=["set_1", "set_2", "shingles", "fine"])
     return sets
 
 
+class Fine:
+    """Fine sketches of one side of a block: the smallest shingle hashes, all of a small set."""
+
+    def __init__(self, sketches: pa.Array, n: np.ndarray):
+        self.parts = [np.frombuffer(x, np.uint32) for x in sketches.to_pylist()]
+        # up to this hash the sketch is complete
+        self.upto = np.array([p[-1] if size > FINE else 0xFFFFFFFF
+                              for p, size in zip(self.parts, n)], np.uint32)
+
+    def may_link(self, i: int, other: Fine, places: np.ndarray, similar: int) -> np.ndarray:
+        """Which sets of ``other`` at ``places`` may be similar enough to set ``i``.
+
+        Both sets are compared up to the hash to which both sketches are complete. That is
+        exact for small sets, and a uniform sample of the union for others.
+        """
+        own, theirs = self.parts[i], [other.parts[j] for j in places]
+        flat = np.concatenate(theirs)
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in theirs])[:-1]])
+        at = np.searchsorted(own, flat)
+        at[at == len(own)] = 0
+        common = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
+        upto = np.minimum(self.upto[i], other.upto[places])
+        within = flat <= np.repeat(upto, [len(t) for t in theirs])
+        union = (np.searchsorted(own, upto, "right")
+                 + np.add.reduceat(within.astype(np.int64), starts) - common)
+        s = similar / 100
+        margin = np.where(upto < 0xFFFFFFFF, 3 * np.sqrt(s * (1 - s) / np.maximum(union, 1)), 1e-9)
+        return common >= (s - margin) * union
+
+
 def _block_pairs(similar: int, most: int | None):
-    """Pairs that may be links, from rows of (band, outsiders, members) blocks of sketches.
+    """Pairs that may be links, from rows of (band, outsiders, members): blocks of sketches.
 
-    A pair is told in the first band it shares only. ``most`` bounds the partners that one
-    outsider gets from one block in this round; a later round without bound has the rest.
+    A pair is told in the first band it shares only, if both its sketches agree well enough.
+    ``most`` bounds the partners that an outsider gets from one component and block; one link to
+    a component is enough, and a later round without the bound has the rest.
     """
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         estimate = Estimate()
@@ -229,7 +264,8 @@ def _block_pairs(similar: int, most: int | None):
                 root_l, root_r = (x.field("root").to_numpy() for x in (left, right))
                 n_l, n_r = (x.field("n").to_numpy() for x in (left, right))
                 table_l, table_r = (_table(x.field("sketch")) for x in (left, right))
-                found_a, found_b = [], []
+                fine_l, fine_r = Fine(left.field("fine"), n_l), Fine(right.field("fine"), n_r)
+                found = []
                 for at in range(0, len(node_l), 16):
                     part = slice(at, at + 16)
                     same = table_l[part, None, :] == table_r[None, :, :]
@@ -243,19 +279,27 @@ def _block_pairs(similar: int, most: int | None):
                     good &= root_l[part, None] != root_r[None, :]
                     good &= np.minimum(n, m) * 100 >= np.maximum(n, m) * similar
                     good &= score >= Estimate.least(n, m, similar)
-                    if most and good.shape[1] > most:
-                        score = np.where(good, score, -1)
-                        bound = np.partition(score, -most, axis=1)[:, -most][:, None]
-                        good &= score >= bound
-                    x, y = np.nonzero(good)
-                    found_a.append(np.minimum(node_l[part][x], node_r[y]))
-                    found_b.append(np.maximum(node_l[part][x], node_r[y]))
+                    for x in range(len(good)):
+                        places = np.flatnonzero(good[x])
+                        if len(places):
+                            places = places[fine_l.may_link(at + x, fine_r, places, similar)]
+                        if most and len(places):
+                            places = _best(places, score[x], root_r, most)
+                        found += [(node_l[at + x], y) for y in node_r[places].tolist()]
+                pairs = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))],
-                    names=["a", "b"])
+                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
     return compare
 
 
+def _best(places: np.ndarray, score: np.ndarray, root: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` places of each root, the best ones."""
+    order = places[np.lexsort((-score[places], root[places]))]
+    first = np.flatnonzero(np.diff(root[order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return order[rank < most]
+
+
 class NearDuplicates:
     """One run over a table of documents; its intermediate tables are written."""
 
@@ -295,10 +339,12 @@ class NearDuplicates:
         key = ["set_1", "set_2"]
         self.sets = self._keep(
             texts.select("text").where("text is not null")
-            .mapInArrow(_sets(self.words), "set_1 long, set_2 long, shingles array<long>")
+            .mapInArrow(_sets(self.words),
+                        "set_1 long, set_2 long, shingles array<long>, fine binary")
             .join(self.candidates.select(*key, "node"), key)
-            .groupBy(*key, "node").agg(F.first("shingles").alias("shingles"))
-            .select("node", "shingles"), "sets")
+            .groupBy(*key, "node").agg(F.first("shingles").alias("shingles"),
+                                       F.first("fine").alias("fine"))
+            .select("node", "shingles", "fine"), "sets")
         self.labels = self._keep(nodes.select("node", F.col("node").alias("root")), "labels")
 
     def _links(self, pairs: DataFrame) -> DataFrame:
@@ -313,7 +359,8 @@ class NearDuplicates:
                     .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"))
         plausible = self._keep(sketched.mapInArrow(
             _plausible(self.similar), "a long, b long"), "plausible")
-        both = plausible.join(of("b", self.sets), "b").join(of("a", self.sets), "a")
+        sets = self.sets.select("node", "shingles")
+        both = plausible.join(of("b", sets), "b").join(of("a", sets), "a")
         common = F.size(F.array_intersect("shingles_a", "shingles_b"))
         union = F.size("shingles_a") + F.size("shingles_b") - F.col("common")
         return self._keep(both.withColumn("common", common)
@@ -379,11 +426,12 @@ class NearDuplicates:
             F.max_by("root", F.struct("size", -F.col("root"))).alias("main"),
             F.sum("size").alias("members"), F.max("size").alias("in_main")), "main")
         rows = (mixed.join(main, "key")
-                .join(self.candidates.select("node", "n", "sketch"), "node"))
+                .join(self.candidates.select("node", "n", "sketch"), "node")
+                .join(self.sets.select("node", "fine"), "node"))
 
         def blocks(part: DataFrame, name: str, size: Column) -> DataFrame:
             of = F.pmod(F.xxhash64("node"), F.ceil(size / BLOCK))
-            entry = F.struct("node", "root", "n", "sketch")
+            entry = F.struct("node", "root", "n", "sketch", "fine")
             return (part.groupBy("key", "band", of.alias(name))
                     .agg(F.collect_list(entry).alias(f"{name}_rows")))
         left = blocks(rows.where("root <> main"), "outsider",
@@ -397,7 +445,7 @@ class NearDuplicates:
         self._prepare()
         tested = None
         rooted = self.members.withColumn("root", F.col("node"))
-        steps = ["first", *range(ROUNDS), *PER_MEMBER]
+        steps = ["first", *range(ROUNDS), *PARTNERS]
         for place, step in enumerate(steps):
             if place:
                 rooted = self._mixed()
