@@ -6,24 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import decontaminate, neardup
+from ordermill.llm import decontaminate, mixing, neardup, quality, sharding
 from ordermill.llm.scratch import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go, and documents that the rules reject."""
+    return quality.clean(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, on shingles of five words and a similarity of 0.8."""
     return neardup.one_of_each_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.without_contaminated(docs, benchmark)
 
 
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mixed(docs, mixing.quality_weights(labels))
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The written shards: the documents with shard and slot, which replace columns so named."""
+    kept = [f"row.`{c}`" for c in docs.columns if c not in ("shard", "slot")]
+    return sharding.sharded(docs).select("shard", "slot", *kept)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("mixing_sources", mixing_sources),
+    ("shards", shards),
 ]
 
 # The order inside a shard is that of a seeded shuffle, which SQL cannot express.

@@ -1,0 +1,71 @@
+"""Benchmark passages: spans, blocks, and the prefix filter against brute force."""
+
+import random
+import re
+
+import pytest
+
+from ordermill.llm import decontaminate
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+
+
+def brute_force(texts, items, window=10):
+    grams = {}
+    for item, text in items:
+        w = words(text)
+        size = min(window, len(w))
+        for i in range(len(w) - size + 1) if size else ():
+            grams.setdefault(tuple(w[i:i + size]), set()).add(str(item))
+    out = []
+    for i, text in enumerate(texts):
+        w, hit, found = words(text), set(), set()
+        for size in {len(g) for g in grams}:
+            for k in range(len(w) - size + 1):
+                if tuple(w[k:k + size]) in grams:
+                    hit.update(range(k, k + size))
+                    found |= grams[tuple(w[k:k + size])]
+        out.append((i, len(w), len(hit), sorted(found)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def case():
+    r = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(60)] + ["é", "ß7"]  # few words: many near misses
+    items = [(i, " ".join(r.choices(vocabulary, k=r.choice([1, 2, 5, 9, 10, 11, 25])))) for i in range(40)]
+    items += [(40, items[7][1]), (41, items[3][1].upper() + "!"), (42, ""), (43, "-- !!")]
+    texts = []
+    for _ in range(150):
+        w = r.choices(vocabulary, k=r.randint(0, 80))
+        for _ in range(r.randint(0, 3)):
+            k = r.randint(0, len(w))
+            part = words(r.choice(items)[1])
+            cut = r.randint(0, max(0, len(part) - 8))
+            w[k:k] = part[cut:]
+        texts.append(r.choice([" ", ", ", "\n"]).join(w))
+    return texts, items
+
+
+@pytest.mark.parametrize("block_windows", [500_000, 60])
+def test_same_as_brute_force(spark, case, block_windows):
+    texts, items = case
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.judge(docs, bench, block_windows=block_windows).collect()
+    got = sorted((r["row"]["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found)
+    assert got == brute_force(texts, items)
+    for r in found:  # merged spans, in order
+        assert all(e < s for e, s in zip(r["ends"], r["starts"][1:]))
+
+
+def test_clean_documents_stay(spark, case):
+    texts, items = case
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = sorted(r["doc_id"] for r in decontaminate.without_contaminated(docs, bench).collect())
+    assert kept == [i for i, _, hit, _ in brute_force(texts, items) if not hit]

@@ -1,0 +1,48 @@
+"""The queries that SQL can express, against DuckDB on the same whole tables."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+from ordermill.llm import queries
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+QUERIES, SQL = queries.queries(), queries.oracle_sql()
+TABLES = ("documents", "pages", "benchmark", "labels")
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
+    yield connection
+    connection.close()
+
+
+def test_ten_operators():
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+
+
+@pytest.mark.parametrize("key", SQL)
+def test_same_as_sql(spark, duck, key):
+    table = QUERIES[key](spark, FOLDER)
+    result = duck.execute(SQL[key])
+    wanted = {d[0]: str(d[1]) for d in result.description}
+    assert {c: TYPES[t] for c, t in table.dtypes} == wanted
+    columns = sorted(wanted)
+    got = [tuple(r) for r in table.select(*columns).collect()]
+    place = [list(wanted).index(c) for c in columns]
+    expected = [tuple(r[i] for i in place) for r in result.fetchall()]
+
+    def order(row):
+        return tuple((v is not None, v) for v in row)
+    assert len(got) == len(expected) > 0
+    for a, b in zip(sorted(got, key=order), sorted(expected, key=order)):
+        assert all(x == y or (isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12))
+                   for x, y in zip(a, b)), (a, b)

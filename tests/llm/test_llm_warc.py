@@ -1,0 +1,71 @@
+"""Archives: exact round trip, and files that stand by themselves."""
+
+import io
+import struct
+
+import pytest
+import zstandard
+
+from ordermill.llm import queries, warc
+
+
+def archive(records):
+    stream = io.BytesIO()
+    writer = warc.ArchiveWriter(stream)
+    for record in records:
+        writer.add(record)
+    writer.close()
+    return stream.getvalue()
+
+
+@pytest.mark.parametrize("count, size", [(1, 5), (3, 0), (15, 100), (16, 8), (200, 700), (30, 400_000)])
+def test_round_trip(count, size):
+    records = [(f"record {i} " + "text of a page " * (size // 15)).encode() for i in range(count)]
+    data = archive(records)
+    magic, length = struct.unpack("<II", data[:8])
+    assert magic == 0x184D2A5D and length > 0
+    for chunk in (1, 1000, 1 << 20) if len(data) < 5_000 else (1000, 1 << 20):
+        assert list(warc.read_archive(io.BytesIO(data), chunk)) == records
+
+
+def test_every_record_is_a_frame_and_the_dictionary_helps():
+    records = [(f"<html><head><title>{i}</title></head><body class='main page'>{i * 7919 % 1000}"
+                "</body></html>").encode() * 2 for i in range(3_000)]
+    data = archive(records)
+    plain = sum(len(zstandard.compress(r)) for r in records)
+    assert len(data) < plain / 2
+    skipped = data[8 + struct.unpack("<I", data[4:8])[0]:]
+    assert skipped[:4] == struct.pack("<I", 0xFD2FB528)
+    assert skipped.count(struct.pack("<I", 0xFD2FB528)) >= len(records)
+
+
+def test_damage_is_noticed():
+    data = archive([b"some record"] * 20)
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(warc.read_archive(io.BytesIO(data[:-5])))
+    record = warc.record_bytes(1, "u", b"payload", "0" * 64, None)
+    with pytest.raises(ValueError):
+        warc.parse_record(record)
+
+
+def test_payloads_come_back(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = warc.read_archives(*warc.write_archives(pages)).collect()
+    html = {r["page_id"]: (r["html"], r["url"]) for r in pages.collect()}
+    assert len(found) == len(html)
+    for r in found:
+        if r["record_type"] == "response":
+            assert r["payload"].decode() == html[r["page_id"]][0]
+        assert r["target"] == html[r["page_id"]][1]
+
+
+def test_revisits_refer_to_the_first_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    copies = pages.withColumn("page_id", pages.page_id + 1000).unionByName(pages)
+    copies.write.mode("overwrite").parquet(
+        path := f"{spark.conf.get('spark.checkpoint.dir')}/copied/pages.parquet")
+    found = queries.op1_warc(spark, path.removesuffix("/pages.parquet")).collect()
+    assert len(found) == 2 * pages.count()
+    for r in found:
+        if r["page_id"] >= 1000 and r["payload_bytes"] >= 100:
+            assert r["record_type"] == "revisit" and r["refers_to"] <= r["page_id"] - 1000
