@@ -9,11 +9,11 @@ NEAR_DUPLICATES = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 shingles AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
         WHEN len(w) = 1 THEN [w[1]]
-        ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 links AS (
     SELECT x.doc_id AS a, y.doc_id AS b FROM shingles x JOIN shingles y USING (s)
@@ -28,13 +28,12 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) USING (doc_id)
 """
 
-WORDS_OF = r"""list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"""
+WORDS_OF = r"""list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 
 MIX_SOURCES = rf"""
 WITH weighed AS (
-    SELECT doc_id, CASE avg_quality WHEN NULL THEN 1.0 ELSE avg_quality END AS quality FROM (
-        SELECT doc_id, avg(CASE WHEN quality = 1 THEN 2.0::DOUBLE ELSE 0.5 END) AS avg_quality
-        FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id)),
+    SELECT doc_id, avg(CASE WHEN quality = 1 THEN 2.0::DOUBLE ELSE 0.5 END) AS quality
+    FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
 docs AS (
     SELECT d.doc_id, source, len({WORDS_OF}) AS size,
         -ln((('0x' || left(md5(concat_ws('|', 'mix-1', coalesce(CAST(d.doc_id AS VARCHAR), ''),
@@ -49,13 +48,14 @@ sources AS (
 ordered AS (
     SELECT *, sum(source_size) OVER () AS all_sizes, sum(weight) OVER () AS all_weights,
         coalesce(sum(2 * source_size) OVER before, 0) AS bounded,
-        coalesce(sum(weight) OVER before, 0) AS bounded_weight
+        coalesce(sum(weight) OVER before, 0) AS bounded_weight, count(*) OVER before AS place
     FROM sources WINDOW before AS (ORDER BY 2.0 * source_size / weight, source NULLS LAST
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 levels AS (
     SELECT *, (1.5::DOUBLE * all_sizes - bounded) / (all_weights - bounded_weight) AS level
     FROM ordered),
-final AS (SELECT min(level) AS level FROM levels WHERE level * weight <= 2 * source_size),
+final AS (SELECT arg_min(level, place) AS level FROM levels
+          WHERE level * weight <= 2 * source_size),
 targets AS (
     SELECT source, source_size, least(weight * final.level, 2.0::DOUBLE * source_size) AS target
     FROM sources, final),
@@ -79,7 +79,7 @@ FROM placed
 DECONTAMINATE = r"""
 WITH item_words AS (
     SELECT CAST(item_id AS VARCHAR) AS item, w FROM (SELECT item_id, list_filter(
-        string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+        string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
         FROM (SELECT item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
             'abcdefghijklmnopqrstuvwxyz') AS lower_ascii FROM benchmark WHERE text IS NOT NULL))
     WHERE len(w) > 0 AND item_id IS NOT NULL),
@@ -91,7 +91,7 @@ sizes AS (SELECT DISTINCT size FROM windows),
 docs AS (
     SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 stretches AS (
     SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS words
     FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)),
@@ -111,7 +111,7 @@ QUALITY_RULES = rf"""
 WITH docs AS (
     SELECT doc_id, source, coalesce(text, '') AS t, {WORDS_OF} AS w,
         list_filter(string_split(coalesce(text, ''), chr(10)),
-                    x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                    lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents),
 stretches AS (
     SELECT doc_id, i, array_to_string(list_slice(w, i, i + 4), ' ') AS words
@@ -132,7 +132,7 @@ hosts AS (SELECT source, count(*) AS documents FROM texts GROUP BY source),
 each AS (
     SELECT source, t, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
-        len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), w -> w <> '')) AS words
+        len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
     FROM (SELECT source, t, unnest(lines) AS line FROM texts)),
 counted AS (SELECT source, line, count(DISTINCT t) AS n FROM each GROUP BY source, line),
 boilerplate AS (
@@ -192,7 +192,7 @@ parsed AS (
 cut AS (SELECT *, string_split(regexp_replace(path, '^/', ''), '/') AS segs FROM parsed),
 rows AS (
     SELECT page_id, host, path, list_concat(
-        list_transform(list_slice(segs, 1, {u.DEPTH}), seg -> {form}),
+        list_transform(list_slice(segs, 1, {u.DEPTH}), lambda seg: {form}),
         CASE WHEN len(segs) > {u.DEPTH} THEN ['{{rest}}'] ELSE [] END) AS form FROM cut),
 marks AS (
     SELECT doc_id AS page_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad
