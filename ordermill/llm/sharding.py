@@ -28,7 +28,7 @@ from .scratch import Scratch
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARDS = 40
-BUCKET_BYTES = 48 * 1024 * 1024  # text that one task holds in memory
+BUCKET_BYTES = 24 * 1024 * 1024  # text that one task holds in memory, three times over
 RECORD_BYTES = 16                # counted for each record besides its text
 SEED = 8
 ROWS_OUT = 2000                  # rows of a batch that leaves a task
@@ -60,18 +60,18 @@ def _shuffled(starts: dict[int, int], rows: int, shards: int, seed: int):
         bucket = list(batches)
         if not bucket:
             return
-        table = pa.Table.from_batches(bucket)
+        number = bucket[0].column(1)[0].as_py()
+        place = np.concatenate([b.column(2).to_numpy() for b in bucket])
+        records = pa.concat_arrays([b.column(0) for b in bucket])
         del bucket
-        number = table.column("bucket")[0].as_py()
-        by_hash = np.argsort(table.column("place").to_numpy(), kind="stable")
+        by_hash = np.argsort(place, kind="stable")
         order = by_hash[fisher_yates(len(by_hash), seed, number)]
         for at in range(0, len(order), ROWS_OUT):
             part = order[at:at + ROWS_OUT]
             position = starts[number] + np.arange(at, at + len(part))
             shard, slot = cut(position, rows, shards)
-            out = table.select(["row"]).take(pa.array(part)).combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [out.column("row").combine_chunks(), pa.array(shard.astype(np.int32)),
+                [records.take(pa.array(part)), pa.array(shard.astype(np.int32)),
                  pa.array(slot.astype(np.int64))], names=["row", "shard", "slot"])
     return shuffle
 
