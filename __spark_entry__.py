@@ -10,17 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions import dates
-from ordermill.operators.quality import FACT_ORDERS_SUITE, Suite, between
-from ordermill.operators.skew import hot_keys
+from ordermill.operators.quality import FACT_ORDERS_SUITE, QualityError, Suite, between
 from ordermill.plans import dims, facts
 from ordermill.plans.refresh import run_refresh
 from ordermill.plans.sample_extracts import new_folder, write_extract, write_manifest
 from ordermill.plans.sample_tables import CATEGORY_LABELS, SampleTables
-from ordermill.session import shared_dir
-from ordermill.sources.column_types import KINDS, kind_counts
-from ordermill.sources.manifest import list_extracts, staging_name
-from ordermill.sources.publish import ensure_database
-from ordermill.sources.staging import typed_extract
+from ordermill.scratch import Scratch
+from ordermill.sources.column_types import KINDS, MISSING_TOKENS, kind_counts
+from ordermill.sources.manifest import staging_name
+from ordermill.sources.publish import Published, ensure_database, publish
+from ordermill.sources.staging import passes_gate, typed_extract
 
 try:
     import corpus_pipeline
@@ -76,17 +75,15 @@ def _stg_type_profile(t: SampleTables) -> DataFrame:
 
 def _stg_row_gate(t: SampleTables) -> DataFrame:
     return reduce(DataFrame.unionAll, [
-        d.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows"),
-              F.lit(len(d.columns)).cast("bigint").alias("columns"))
-        for n, d in _profiled(t).items()]).withColumn(
-            "passes", (F.col("rows") > 0) & (F.col("columns") > 0))
+        passes_gate(d).select(F.lit(n).alias("table_name"), "*")
+        for n, d in _profiled(t).items()])
 
 
-def _ingested(source: Callable[[SampleTables], DataFrame], **options: int) -> Query:
+def _ingested(source: Callable[[SampleTables], DataFrame]) -> Query:
     """Write a table as CSV with Spark, and read it back through the ingest."""
     def run(t: SampleTables) -> DataFrame:
         path = write_extract(source(t), f"{new_folder(t)}/extract.csv")
-        return typed_extract(t.spark, path, **options).table
+        return typed_extract(t.spark, path).table
     return _on(run)
 
 
@@ -94,16 +91,23 @@ def _fact_orders_hot(t: SampleTables) -> DataFrame:
     """A third of all items belongs to one order."""
     order = F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_orderkey"))
     items = t.source("lineitem").withColumn("l_orderkey", order)
-    tables = t.orders(), t.item_rows(items), t.payments(), t.reviews()
-    hot = hot_keys("order_id", *tables, hot_rows=1_000, sample=0.2)
-    return _rounded(facts.fact_orders(*tables, hot=hot))
+    return _rounded(facts.fact_orders(t.orders(), t.item_rows(items), t.payments(), t.reviews()))
 
 
-def _refreshed(t: SampleTables) -> tuple[str, list]:
-    """Extracts, staging, dimensions and fact, in a database of their own."""
-    database = f"ordermill_{uuid.uuid4().hex}"
-    ensure_database(t.spark, database, f"{shared_dir(t.spark)}/{database}")
-    return database, run_refresh(t.spark, write_manifest(t), database)
+_REFRESHED: dict[tuple[str, str], tuple[str, list[Published]]] = {}
+
+
+def _refreshed(t: SampleTables) -> tuple[str, list[Published]]:
+    """Extracts, staging, dimensions and fact, in a database of their own.
+
+    One refresh serves all queries of a session on the same folder; its files go when the driver ends.
+    """
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _REFRESHED:
+        database = f"ordermill_{uuid.uuid4().hex}"
+        ensure_database(t.spark, database, Scratch(t.spark, "database").path(database))
+        _REFRESHED[key] = database, run_refresh(t.spark, write_manifest(t), database)
+    return _REFRESHED[key]
 
 
 def _refresh_fact_orders(t: SampleTables) -> DataFrame:
@@ -123,6 +127,22 @@ def _refresh_row_counts(t: SampleTables) -> DataFrame:
                                   F.count(F.lit(1)).alias("rows")) for p in published])
 
 
+def _refresh_refused(t: SampleTables) -> DataFrame:
+    """A build that breaks its rules: the report, and the rows that are still published."""
+    database, _ = _refreshed(t)
+    fact = t.spark.table(f"{database}.fact_orders")
+    try:
+        publish(fact.where("total_items > 0"), database, "fact_orders", TIGHT_SUITE)
+    except QualityError as error:
+        report = error.report
+    return t.spark.table(f"{database}.fact_orders").agg(
+        F.count(F.lit(1)).alias("published_rows")).select("published_rows", F.inline(F.array(*[
+            F.struct(F.lit(line["rule"]).alias("rule"),
+                     F.lit(line["element_count"]).cast("bigint").alias("element_count"),
+                     F.lit(line["unexpected_count"]).cast("bigint").alias("unexpected_count"),
+                     F.lit(line["success"]).alias("success")) for line in report])))
+
+
 def queries() -> dict[str, Query]:
     """All queries: those of the order tables, and those of the text operators if present."""
     if llm is None:
@@ -132,13 +152,10 @@ def queries() -> dict[str, Query]:
 
 def order_queries() -> dict[str, Query]:
     return {
-        "raw_inventory": lambda spark, folder: list_extracts(spark, folder, ".parquet").select(
-            "file_name", "staging_table"),
         "ingest_customers": _ingested(SampleTables.customers),
         "ingest_orders": _ingested(SampleTables.orders),
         "ingest_items": _ingested(SampleTables.items),
         "ingest_documents": _ingested(lambda t: t.source("documents")),
-        "ingest_documents_split": _ingested(lambda t: t.source("documents"), one_task_bytes=0),
         "ingest_pages": _ingested(lambda t: t.source("pages")),
         "stg_orders_typed": _on(_stg_orders_typed),
         "stg_type_profile": _on(_stg_type_profile),
@@ -160,6 +177,7 @@ def order_queries() -> dict[str, Query]:
         "refresh_fact_orders": _on(_refresh_fact_orders),
         "refresh_dim_products": _on(_refresh_dim_products),
         "refresh_row_counts": _on(_refresh_row_counts),
+        "refresh_refused": _on(_refresh_refused),
     }
 
 
@@ -197,19 +215,30 @@ STAGING = {
 }
 ORDER_KEYS = "ord.order_id, ord.customer_id, ord.order_status, ord.order_purchase_timestamp"
 
-# Every item of an order meets every payment and every review of it.
-JOINED_FACT = f"""
-    SELECT ord.order_id, ord.customer_id, ord.order_status,
-           CAST(min(ord.order_purchase_timestamp) AS DATE) AS order_date,
-           count(DISTINCT itm.order_item_id) AS total_items,
-           round(sum(itm.price + itm.freight_value), 2) AS total_order_value,
-           round(sum(pay.payment_value), 2) AS total_payment_value,
-           round(avg(CAST(rev.review_score AS DOUBLE)), 6) AS avg_review_score
-    FROM stg_orders ord
-    LEFT JOIN stg_items itm USING (order_id)
-    LEFT JOIN stg_payments pay USING (order_id)
-    LEFT JOIN stg_reviews rev USING (order_id)
-    GROUP BY {ORDER_KEYS}"""
+# Every item of an order meets every payment and every review of it, so a branch total counts as
+# often as the order and the rows of the other branches are there.
+BRANCHES = """
+    ord AS (SELECT order_id, customer_id, order_status, order_purchase_timestamp AS at,
+                   count(*)::DOUBLE AS copies FROM stg_orders GROUP BY ALL),
+    itm AS (SELECT order_id, count(DISTINCT order_item_id) AS n, sum(price + freight_value) AS v,
+                   count(*)::DOUBLE AS k FROM {items} GROUP BY ALL),
+    pay AS (SELECT order_id, sum(payment_value) AS v, count(*)::DOUBLE AS k
+            FROM stg_payments GROUP BY ALL),
+    rev AS (SELECT order_id, avg(CAST(review_score AS DOUBLE)) AS v, count(*)::DOUBLE AS k
+            FROM stg_reviews GROUP BY ALL)"""
+
+
+def _fact(items: str = "stg_items") -> str:
+    return f"""WITH {BRANCHES.format(items=items)}
+    SELECT ord.order_id, customer_id, order_status, CAST(at AS DATE) AS order_date,
+           coalesce(n, 0) AS total_items,
+           round(itm.v * copies * coalesce(pay.k, 1) * coalesce(rev.k, 1), 2) AS total_order_value,
+           round(pay.v * copies * coalesce(itm.k, 1) * coalesce(rev.k, 1), 2)
+               AS total_payment_value,
+           round(rev.v, 6) AS avg_review_score
+    FROM ord LEFT JOIN itm ON itm.order_id = ord.order_id
+    LEFT JOIN pay ON pay.order_id = ord.order_id LEFT JOIN rev ON rev.order_id = ord.order_id"""
+
 
 EXACT_FACT = """
     WITH itm AS (SELECT order_id, count(DISTINCT order_item_id) AS n,
@@ -258,23 +287,26 @@ STAGING_COLUMNS = {
 }
 
 
+# How the SQL tells values apart: NULL or one of the texts that mean "missing", and patterns.
+MISSING_SQL = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
+NUMBER_SQL = (r"\s*[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
+              r"|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*")
+
+
 def _kinds(table: str, column: str) -> str:
     text = f"CAST({column} AS VARCHAR)"
-    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS rows,
-        CAST(count_if(kind = 'missing') AS BIGINT) AS missing_values,
-        CAST(count_if(kind = 'boolean') AS BIGINT) AS boolean_values,
-        CAST(count_if(kind = 'integer') AS BIGINT) AS integer_values,
-        CAST(count_if(kind = 'wide') AS BIGINT) AS wide_integer_values,
-        CAST(count_if(kind = 'decimal') AS BIGINT) AS decimal_values,
-        CAST(count_if(kind = 'text') AS BIGINT) AS text_values
+    counts = ", ".join(f"CAST(count_if(kind = '{k}') AS BIGINT) AS {k}_values" for k in KINDS)
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS rows, {counts}
         FROM (SELECT CASE
-            WHEN {text} IS NULL OR lower({text}) IN ('', 'na', 'nan', 'null', 'none', 'n/a')
-                THEN 'missing'
-            WHEN lower({text}) IN ('true', 'false') THEN 'boolean'
-            WHEN regexp_full_match({text}, '[+-]?[0-9]+') THEN
-                CASE WHEN try_cast({text} AS BIGINT) IS NULL THEN 'wide' ELSE 'integer' END
-            WHEN regexp_full_match({text}, '[+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?')
-                THEN 'decimal'
+            WHEN {text} IS NULL OR {text} IN ({MISSING_SQL}) THEN 'missing'
+            WHEN {text} IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false') THEN 'boolean'
+            WHEN regexp_full_match({text}, '\\s*[+-]?[0-9]+\\s*') THEN CASE
+                WHEN try_cast(trim({text}) AS BIGINT) IS NOT NULL THEN 'integer'
+                WHEN try_cast(trim({text}) AS UBIGINT) IS NOT NULL THEN 'wide_integer'
+                ELSE 'huge_integer' END
+            WHEN regexp_full_match({text}, '{NUMBER_SQL}') THEN CASE
+                WHEN isinf(try_cast({text} AS DOUBLE)) AND NOT contains(lower({text}), 'inf')
+                    THEN 'text' ELSE 'decimal' END
             ELSE 'text' END AS kind FROM stg_{table})"""
 
 
@@ -291,12 +323,23 @@ def _rule(name: str, column: str, low: str, high: str, broken: str, judged: str)
 def _violations() -> str:
     def broken(rule: str, condition: str) -> str:
         return f"SELECT *, '{rule}' AS rule FROM fact WHERE {condition}"
-    return (f"WITH fact AS ({JOINED_FACT}) "
+    return (f"WITH fact AS ({_fact()}) "
             + broken("total_items_between", "total_items < 1 OR total_items > 6")
             + " UNION ALL "
             + broken("avg_review_score_between", "avg_review_score < 0 OR avg_review_score > 4"))
 
 
+def _refused() -> str:
+    def line(rule: str, condition: str) -> str:
+        broken = f"count_if({condition})"
+        return f"""SELECT (SELECT count(*) FROM fact) AS published_rows, '{rule}' AS rule,
+            count(*) AS element_count, CAST({broken} AS BIGINT) AS unexpected_count,
+            {broken} = 0 AS success FROM fact WHERE total_items > 0"""
+    return (f"WITH fact AS ({_fact()}) "
+            + line("total_items_between", "total_items < 1 OR total_items > 6") + " UNION ALL "
+            + line("avg_review_score_between", "avg_review_score < 0 OR avg_review_score > 4"))
+
+
 def _row_counts() -> str:
     counts = {staging_name(f"olist_{name}_dataset.csv"): f"stg_{source}" for name, source in [
         ("customers", "customers"), ("geolocation", "places"), ("order_items", "items"),
@@ -319,7 +362,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def order_sql() -> dict[str, str]:
-    names = ", ".join(f"'{t}'" for t in TABLES)
     items = """count(DISTINCT b.order_item_id) AS total_items,
                round(sum(b.price + b.freight_value), 2) AS total_order_value"""
     measures = ", ".join(dims.PRODUCT_MEASURES)
@@ -344,7 +386,6 @@ def order_sql() -> dict[str, str]:
         "ingest_items": """SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id,
                            price, freight_value FROM stg_items""",
         "ingest_documents": "SELECT * FROM documents",
-        "ingest_documents_split": "SELECT * FROM documents",
         "ingest_pages": "SELECT * FROM pages",
         "stg_orders_typed": """SELECT order_id,
             CAST(order_purchase_timestamp AS TIMESTAMP) AS purchase_ts,
@@ -364,20 +405,18 @@ def order_sql() -> dict[str, str]:
             "stg_payments", "round(sum(b.payment_value), 2) AS total_payment_value"),
         "order_reviews": _one_branch(
             "stg_reviews", "round(avg(b.review_score), 6) AS avg_review_score"),
-        "fact_orders": JOINED_FACT,
+        "fact_orders": _fact(),
         "fact_orders_exact": EXACT_FACT,
-        "fact_orders_hot": JOINED_FACT.replace("stg_items itm", """(
+        "fact_orders_hot": _fact("""(
             SELECT CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_orderkey END AS order_id,
                    l_linenumber AS order_item_id, l_extendedprice AS price,
-                   l_quantity AS freight_value FROM lineitem) itm"""),
-        "dq_fact_orders": f"WITH fact AS ({JOINED_FACT}) " + " UNION ALL ".join(rules),
+                   l_quantity AS freight_value FROM lineitem)"""),
+        "dq_fact_orders": f"WITH fact AS ({_fact()}) " + " UNION ALL ".join(rules),
         "dq_fact_orders_violations": _violations(),
-        "refresh_fact_orders": JOINED_FACT,
+        "refresh_fact_orders": _fact(),
         "refresh_dim_products": f"""SELECT product_id, product_category_name,
             product_category_name_english, {whole_numbers} FROM ({products})""",
         "refresh_row_counts": _row_counts(),
+        "refresh_refused": _refused(),
     }
-    listing = f"""SELECT DISTINCT table_name || '.parquet' AS file_name,
-                  'stg_' || table_name AS staging_table
-                  FROM information_schema.tables WHERE table_name IN ({names})"""
-    return {"raw_inventory": listing, **{key: _staged(body) for key, body in sql.items()}}
+    return {key: _staged(body) for key, body in sql.items()}

@@ -2,9 +2,12 @@
 
 Joining the branches row by row would multiply them: a key with 1,000 rows on each of
 three branches becomes 1e9 rows. Here all branches are reduced to one row per key *before*
-the join (eager aggregation). They are stacked into one table, so that one shuffle and one
-aggregation serve them all, and one join attaches the result. Each branch also gives
-its row count, from which a caller can work out what the multiplied form adds up to.
+the join (eager aggregation). They are stacked into one table, so that one aggregation serves
+them all, and one join attaches the result. Each branch also gives its row count, from
+which a caller can work out what the multiplied form adds up to.
+
+Everything is combined before it is shuffled, so no task gets the rows of a hot key: a distinct
+count is shuffled by key and value first, and by key only when one row per value and task is left.
 """
 
 from __future__ import annotations
@@ -16,8 +19,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import is_hot, is_ordinary
-
 COPIES = "copies"
 
 
@@ -33,31 +34,18 @@ class Branch:
     totals: Sequence[Column]
 
 
-def with_branch_totals(parents: DataFrame, key: str, branches: Sequence[Branch],
-                       hot: list) -> DataFrame:
+def with_branch_totals(parents: DataFrame, key: str,
+                       branches: Sequence[Branch]) -> DataFrame:
     """Distinct parent rows, their number of copies, and all branch totals.
 
-    Ordinary keys: parents and branches are shuffled once each, on ``key``; the
-    aggregation, the join and the final grouping share that partitioning. Keys in
-    ``hot``, and NULL keys: copies and branch rows are combined before they are shuffled,
-    and the totals, at most one row per hot key, are broadcast, so no task ever holds a
-    hot key's rows.
+    A NULL key matches nothing, so such parents do not reach the join.
     """
     columns = parents.columns
     copies = F.count(F.lit(1)).alias(COPIES)
     details = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                     [branch.rows for branch in branches])
-    totals = [total for branch in branches for total in branch.totals]
-
-    # Left alone, a distinct count is shuffled by key and value, and then again by key.
-    # An ordinary key has few rows, so one shuffle by key can serve both steps.
-    ordinary_totals = (details.where(is_ordinary(key, hot)).repartition(key)
-                       .groupBy(key).agg(*totals))
-    joined = parents.where(is_ordinary(key, hot)).join(ordinary_totals, key, "left")
-    names = [c for c in ordinary_totals.columns if c != key]
-    ordinary = joined.groupBy(*columns).agg(copies, *[F.first(c).alias(c) for c in names])
-
-    hot_totals = details.where(is_hot(key, hot)).groupBy(key).agg(*totals)
-    aside = (parents.where(F.col(key).isNull() | is_hot(key, hot)).groupBy(*columns).agg(copies)
-             .join(F.broadcast(hot_totals), key, "left"))
-    return ordinary.unionByName(aside.select(*ordinary.columns))
+                     [branch.rows.where(F.col(key).isNotNull()) for branch in branches])
+    totals = details.groupBy(key).agg(*[t for branch in branches for t in branch.totals])
+    matched = (parents.where(F.col(key).isNotNull()).groupBy(*columns).agg(copies)
+               .join(totals, key, "left"))
+    alone = parents.where(F.col(key).isNull()).groupBy(*columns).agg(copies)
+    return matched.unionByName(alone, allowMissingColumns=True)

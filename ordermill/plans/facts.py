@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import purchase_date
 from ..operators.branch_totals import COPIES, Branch, with_branch_totals
-from ..operators.skew import hot_keys
 
 KEY = "order_id"
 ORDER_COLUMNS = [KEY, "customer_id", "order_status", "order_purchase_timestamp"]
@@ -41,15 +40,10 @@ def review_branch(reviews: DataFrame) -> Branch:
     ])
 
 
-def _hot_orders(hot: list | None, orders: DataFrame, *branches: Branch) -> list:
-    return hot_keys(KEY, orders, *[b.rows for b in branches]) if hot is None else hot
-
-
 def _order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                  reviews: DataFrame, hot: list | None) -> DataFrame:
+                  reviews: DataFrame) -> DataFrame:
     branches = [item_branch(items), payment_branch(payments), review_branch(reviews)]
-    return with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, branches,
-                              _hot_orders(hot, orders, *branches))
+    return with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, branches)
 
 
 def _fact_columns(totals: DataFrame, order_value: Column, paid: Column) -> DataFrame:
@@ -64,12 +58,23 @@ def _fact_columns(totals: DataFrame, order_value: Column, paid: Column) -> DataF
 
 
 def _repeats(rows: str) -> Column:
-    """How often a left join on this branch repeats the other side's rows."""
-    return F.greatest(F.coalesce(rows, F.lit(0)), F.lit(1))
+    """How often a left join on this branch repeats the other side's rows.
+
+    As a double: the product of three counts may be beyond 64 bits.
+    """
+    return F.greatest(F.coalesce(rows, F.lit(0)), F.lit(1)).cast("double")
+
+
+def repeated_value(value: str, *others: str) -> Column:
+    """A branch total times the order's copies and the rows of the other branches."""
+    product = F.col(value) * F.col(COPIES).cast("double")
+    for rows in others:
+        product = product * _repeats(rows)
+    return product
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                reviews: DataFrame, hot: list | None = None) -> DataFrame:
+                reviews: DataFrame) -> DataFrame:
     """One row per order, status and purchase time, with join-multiplied totals.
 
     The totals are those of items, payments and reviews left-joined to the order in
@@ -77,39 +82,36 @@ def fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
     over payments each payment once per item and review. Distinct items and the mean
     score are not affected. NULL sums stay NULL.
     """
-    totals = _order_totals(orders, items, payments, reviews, hot)
-    per_item = F.col(COPIES) * _repeats("payment_rows") * _repeats("review_rows")
-    per_payment = F.col(COPIES) * _repeats("item_rows") * _repeats("review_rows")
-    return _fact_columns(totals, F.col("order_value") * per_item, F.col("paid") * per_payment)
+    return _fact_columns(_order_totals(orders, items, payments, reviews),
+                         repeated_value("order_value", "payment_rows", "review_rows"),
+                         repeated_value("paid", "item_rows", "review_rows"))
 
 
 def fact_orders_exact(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                      reviews: DataFrame, hot: list | None = None) -> DataFrame:
+                      reviews: DataFrame) -> DataFrame:
     """The same rows with every item and payment counted once."""
-    totals = _order_totals(orders, items, payments, reviews, hot)
-    return _fact_columns(totals, F.col("order_value"), F.col("paid"))
+    return _fact_columns(_order_totals(orders, items, payments, reviews),
+                         F.col("order_value"), F.col("paid"))
+
+
+def _one_branch(orders: DataFrame, branch: Branch) -> DataFrame:
+    return with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, [branch])
 
 
-def order_items(orders: DataFrame, items: DataFrame, hot: list | None = None) -> DataFrame:
+def order_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Orders left-joined to their items alone: distinct items and their value."""
-    branch = item_branch(items)
-    totals = with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, [branch],
-                                _hot_orders(hot, orders, branch))
-    return totals.select(KEY, F.coalesce("items", F.lit(0)).alias("total_items"),
-                         (F.col("order_value") * F.col(COPIES)).alias("total_order_value"))
+    return _one_branch(orders, item_branch(items)).select(
+        KEY, F.coalesce("items", F.lit(0)).alias("total_items"),
+        repeated_value("order_value").alias("total_order_value"))
 
 
-def order_payments(orders: DataFrame, payments: DataFrame, hot: list | None = None) -> DataFrame:
+def order_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders left-joined to their payments alone."""
-    branch = payment_branch(payments)
-    totals = with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, [branch],
-                                _hot_orders(hot, orders, branch))
-    return totals.select(KEY, (F.col("paid") * F.col(COPIES)).alias("total_payment_value"))
+    return _one_branch(orders, payment_branch(payments)).select(
+        KEY, repeated_value("paid").alias("total_payment_value"))
 
 
-def order_reviews(orders: DataFrame, reviews: DataFrame, hot: list | None = None) -> DataFrame:
+def order_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     """Orders left-joined to their reviews alone."""
-    branch = review_branch(reviews)
-    totals = with_branch_totals(orders.select(*ORDER_COLUMNS), KEY, [branch],
-                                _hot_orders(hot, orders, branch))
-    return totals.select(KEY, F.col("mean_score").alias("avg_review_score"))
+    return _one_branch(orders, review_branch(reviews)).select(
+        KEY, F.col("mean_score").alias("avg_review_score"))

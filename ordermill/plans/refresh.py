@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import FACT_ORDERS_SUITE
 from ..sources import manifest
+from ..sources.csv_extract import MalformedExtract
 from ..sources.publish import Published, publish
 from ..sources.staging import typed_extract
 from . import dims, facts
@@ -27,9 +28,18 @@ def stage(spark: SparkSession, raw_uri: str, file_name: str, database: str) -> P
 
 def stage_all(spark: SparkSession, raw_uri: str, database: str,
               files: Iterable[str] = manifest.MANIFEST) -> list[Published]:
-    """The staging chains of all files; they do not depend on each other."""
+    """The staging chains of all files; they do not depend on each other.
+
+    A file that is not in the folder's listing, or is empty, is an error before any work is done.
+    """
+    wanted = list(files)
+    listed = {r["file_name"] for r in manifest.list_extracts(spark, raw_uri)
+              .select("file_name").collect()}
+    absent = [f for f in wanted if f not in listed]
+    if absent:
+        raise MalformedExtract(f"{raw_uri}: empty or missing: {', '.join(absent)}")
     return _side_by_side(spark, [
-        lambda f=f: stage(spark, raw_uri, f, database) for f in files])
+        lambda f=f: stage(spark, raw_uri, f, database) for f in wanted])
 
 
 def build_all(spark: SparkSession, database: str) -> list[Published]:

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from ..session import shared_dir
+from ..scratch import Scratch
 from ..sources import manifest
 from ..sources.csv_extract import DIALECT
 from .sample_tables import SampleTables
 
 
 def new_folder(tables: SampleTables) -> str:
-    """A fresh folder name in the shared folder of the cluster."""
-    return f"{shared_dir(tables.spark)}/ordermill-{uuid.uuid4().hex}"
+    """A fresh folder in the shared folder of the cluster, removed when the driver ends."""
+    return Scratch(tables.spark, "extracts").folder
 
 
 def write_extract(table: DataFrame, path: str) -> str:

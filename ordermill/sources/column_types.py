@@ -28,9 +28,9 @@ DIGITS = r"\A\s*+[+-]?+[0-9]++\s*+\z"
 NUMBER = (r"\A\s*+[+-]?+(?:(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+"
           r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?+)\s*+\z")
 
-# What a value can be; a wide integer does not fit 64 bits.
-KINDS = ["missing", "boolean", "integer", "wide_integer", "decimal", "text"]
-MISSING, BOOLEAN, INTEGER, WIDE_INTEGER, DECIMAL, TEXT = range(len(KINDS))
+# What a value can be. A wide integer fits 64 bits without a sign only, a huge one not at all.
+KINDS = ["missing", "boolean", "integer", "wide_integer", "huge_integer", "decimal", "text"]
+MISSING, BOOLEAN, INTEGER, WIDE_INTEGER, HUGE_INTEGER, DECIMAL, TEXT = range(len(KINDS))
 
 
 def without_missing(text: Column) -> Column:
@@ -46,11 +46,15 @@ def value_kind(text: Column) -> Column:
     maybe_number = (first <= ord("9")) | first.isin(ord("i"), ord("I"))
     digits = (F.length(text) > 18) & text.rlike(DIGITS)
     fits = F.trim(text).try_cast("bigint").isNotNull()
+    exact = F.trim(text).try_cast("decimal(38,0)")
+    limit = F.lit(str(2 ** 64)).cast("decimal(38,0)")
+    unsigned = F.coalesce((exact >= 0) & (exact < limit), F.lit(False))
     may_overflow = text.contains("e") | text.contains("E") | (F.length(text) > 300)
     overflows = may_overflow & (F.abs(text.try_cast("double")) == float("inf"))
     number = (F.when(text.rlike(SHORT_DIGITS), INTEGER)
               .when(text.rlike(NUMBER),
-                    F.when(digits, F.when(fits, INTEGER).otherwise(WIDE_INTEGER))
+                    F.when(digits, F.when(fits, INTEGER).when(unsigned, WIDE_INTEGER)
+                           .otherwise(HUGE_INTEGER))
                     .when(overflows, TEXT).otherwise(DECIMAL))
               .otherwise(TEXT))
     return (F.when(text.isNull() | text.isin(MISSING_TOKENS), MISSING)
@@ -59,33 +63,43 @@ def value_kind(text: Column) -> Column:
             .otherwise(TEXT))
 
 
+def kind_counters(kind: str) -> list[Column]:
+    """Counts of a column of kinds, named ``<column>_<kind>``."""
+    return [F.count_if(F.col(kind) == position).alias(f"{kind}_{name}")
+            for position, name in enumerate(KINDS)]
+
+
 def kind_counts(texts: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column: its rows, its fields that are there, and the count of each kind.
+    """One row per column: ``column_name``, ``rows``, and the count of each kind.
 
-    One pass. Every task sends one line of counts per column, and the plan does not grow
-    with the number of columns.
+    One pass; a task sends on one row. The kind of a value is worked out once.
     """
-    values = texts.unpivot([], columns, "column_name", "value")
-    return (values.select("column_name", "value", value_kind(F.col("value")).alias("kind"))
-            .groupBy("column_name")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("fields"),
-                 *[F.count_if(F.col("kind") == position).alias(kind)
-                   for position, kind in enumerate(KINDS)]))
+    places = [f"c{i}" for i in range(len(columns))]
+    kinds = texts.select(*[value_kind(F.col(f"`{c}`")).alias(p) for c, p in zip(columns, places)])
+    counted = kinds.agg(F.count(F.lit(1)).alias("rows"),
+                        *[n for p in places for n in kind_counters(p)])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), "rows",
+                 *[F.col(f"{p}_{kind}").alias(kind) for kind in KINDS])
+        for c, p in zip(columns, places)])))
 
 
 def column_type(counts: Mapping[str, int]) -> str:
-    """The type of a column with these kind counts."""
+    """The type of a column with these kind counts.
+
+    Integers beyond 64 bits would lose digits as doubles, so with them decimals are text as well.
+    """
     def only(*kinds: str) -> bool:
         return sum(counts[k] for k in kinds) == present
     missing = counts["missing"]
-    present = counts["rows"] - missing
+    present = sum(counts[k] for k in KINDS) - missing
     if not present:
         return "double"
     if only("boolean"):
         return "boolean"
     if only("integer"):
         return "double" if missing else "bigint"
-    if only("integer", "wide_integer"):
+    if only("integer", "wide_integer", "huge_integer"):
         return "string"
     return "double" if only("integer", "wide_integer", "decimal") else "string"
 

@@ -1,26 +1,27 @@
 """Read a CSV extract: a file, or a folder of files with the same header.
 
-All columns are read as text. Where every record fits on one line, files are split over
-many tasks. Small files with line breaks inside quotes are read by one task each; large
-ones are split as well, and ``quoted_lines`` puts their records together. Only bare carriage
-returns as line ends leave a large file to one task.
+All columns are read as text, and files of any size are split over many tasks. Where every record is
+one line, Spark's CSV reader takes the splits as they are; where line breaks stand inside
+quotes, ``quoted_lines`` puts the records together. Which of the two it is depends on what the
+lines hold, not on their number, and both accept the same rows.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .quoted_lines import is_blank, is_cut, occurrences, records, unquoted_part
+from ..scratch import Scratch
+from .column_types import kind_counters, value_kind
+from .quoted_lines import (after_quotes, is_blank, is_cut, occurrences, records, split_starts,
+                           unclosed_files, unquoted_part)
 
 DIALECT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 EXTRA = "extra_field"  # holds what stands beyond the last column of the header
-STRAY = "stray"        # not NULL: the record was put together on a wrong assumption
-ONE_TASK_BYTES = 256 * 1024 * 1024  # size up to which one task reads a whole file
+HEADER_LINES = 1_000   # lines at the top of a file in which its header must be complete
 
 
 class MalformedExtract(ValueError):
@@ -29,10 +30,16 @@ class MalformedExtract(ValueError):
 
 @dataclass(frozen=True)
 class Extract:
-    """Column names, and the rows as text columns ``c0``, ``c1``, … , EXTRA, STRAY."""
+    """Column names, the rows as text columns ``c0``, ``c1``, … , and the counts of one pass.
+
+    ``kinds`` has, for each column, how many values are of each kind; ``records`` is the number
+    of rows.
+    """
 
     names: list[str]
     rows: DataFrame
+    kinds: list[dict[str, int]]
+    records: int
 
 
 def field(position: int) -> str:
@@ -40,23 +47,29 @@ def field(position: int) -> str:
 
 
 def column_names(header: list[str | None]) -> list[str]:
-    """Header fields as unique names: ``a, a`` gives ``a, a.1``, no text ``Unnamed: 0``."""
+    """Header fields as unique names: ``a, a`` gives ``a, a.1``, no text ``Unnamed: 0``.
+
+    Names that differ in case only count as equal, as they do in a catalog.
+    """
     names: list[str] = []
+    taken: set[str] = set()
     for position, text in enumerate(header):
         base = text or f"Unnamed: {position}"
         name, repeat = base, 0
-        while name in names:
+        while name.lower() in taken:
             repeat += 1
             name = f"{base}.{repeat}"
         names.append(name)
+        taken.add(name.lower())
     return names
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines, without the carriage return of a CR LF, and the file they are from."""
+    """Lines, without the carriage return of a CR LF, and where they are from."""
     return_less = F.regexp_replace("value", r"\r\z", "")
     return spark.read.option("lineSep", "\n").text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_size",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.when(F.endswith("value", F.lit("\r")), return_less).otherwise(F.col("value"))
         .alias("line"))
 
@@ -68,64 +81,109 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, list[str]]:
     if not first:
         return "", []
     text, cut = first
-    if cut:  # a header over several lines
-        record = spark.read.options(header=False, multiLine=True, **DIALECT).csv(path).first()
-        return text, column_names(list(record))
-    return text, column_names(next(csv.reader([text])))
+    top = [text]
+    if cut:  # a header over several lines; one that is never closed is refused later
+        lines = [r["line"] for r in _lines(spark, path).select("line").limit(HEADER_LINES).collect()]
+        top = lines[lines.index(text):]
+    try:
+        return text, column_names(next(csv.reader([f"{t}\n" for t in top])))
+    except csv.Error:
+        raise MalformedExtract(f"{path}: carriage returns as line ends") from None
 
 
-def read_extract(spark: SparkSession, path: str,
-                 one_task_bytes: int = ONE_TASK_BYTES) -> Iterator[Extract]:
-    """Ways to read the extract, best first.
+def read_extract(spark: SparkSession, path: str) -> Extract:
+    """The rows, decided by one pass over the lines, which counts the kinds of values as well.
 
-    The first one without STRAY rows is right; the last one never has any.
+    Refused: an extra field, even an empty one; a file with another first line; a quote that is never
+    closed; and a carriage return as a line end.
     """
     header, names = read_header(spark, path)
     if not names:
         raise MalformedExtract(f"{path} is empty or malformed")
-    schema = ", ".join(f"{field(i)} string" for i in range(len(names))) + f", {EXTRA} string"
-    reader = spark.read.schema(schema).options(header=True, **DIALECT)
-    never = F.lit(None).cast("string").alias(STRAY)
-
-    lines = _survey_lines(spark, path, header, len(names))
-    if not lines["broken"]:
-        if lines["too_long"]:
-            raise MalformedExtract(
-                f"{path}: {lines['too_long']} rows have more fields than the header")
-        yield Extract(names, reader.csv(path).select("*", never))
-        return
-    small = lines["largest"] <= one_task_bytes and not lines["special"]
-    if not small:
-        fields = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"}).alias("fields")
-        # An extra field is NULL for the parser if it is empty; the separators show it.
-        extra = F.when(F.col("separators") >= len(names), "extra").alias(EXTRA)
-        stray = F.when(F.col("stray"), "stray").alias(STRAY)
-        yield Extract(names, records(spark, path).select(fields, extra, stray).select(
-            *[f"fields.{field(i)}" for i in range(len(names))], EXTRA, STRAY))
-    yield Extract(names, reader.option("multiLine", True).csv(path).select("*", never))
-
-
-def _survey_lines(spark: SparkSession, path: str, header: str, columns: int) -> Row:
-    """Counts that decide how to read the files, from one pass over their lines.
-
-    ``broken`` lines are no whole record by themselves; ``too_long`` ones have more fields
-    than the header; ``special`` ones are read differently when a task reads a whole file
-    (CR LF inside quotes becomes LF, a line of blanks becomes a row); ``largest`` is the size
-    of the largest file. Also makes sure that all files start from the same header line,
-    because columns go by position.
+    columns = [field(i) for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in columns) + f", {EXTRA} string"
+
+    found = _survey(_lines(spark, path), header, columns, schema)
+    if found["other"]:
+        raise MalformedExtract(f"{path}: {found['other']} files have another header")
+    if not found["broken"]:
+        _refuse_too_long(path, found["too_long"])
+        rows = spark.read.schema(schema).options(header=True, **DIALECT).csv(path)
+        # The header lines were counted like rows: each file has exactly one.
+        headers = _counts(spark.createDataFrame([(header,)], "record string"), columns, schema)
+        kinds = [{k: n - found["files"] * head[k] for k, n in found["kinds"][i].items()}
+                 for i, head in enumerate(headers["kinds"])]
+        return Extract(names, rows.select(*columns), kinds, found["rows"] - found["files"])
+
+    scratch = Scratch(spark, "splits")
+    starts = scratch.table(split_starts(spark, path), "starts")
+    unclosed = unclosed_files(starts)
+    if unclosed:
+        raise MalformedExtract(f"{path}: {unclosed} files end inside quotes")
+    assembled = records(spark, path, starts)
+    counted = _counts(assembled, columns, schema)
+    if counted["returns"]:
+        raise MalformedExtract(f"{path}: carriage returns as line ends")
+    _refuse_too_long(path, counted["too_long"])
+    return Extract(names, _parsed(assembled, schema).select(*[f"fields.{c}" for c in columns]),
+                   counted["kinds"], counted["rows"])
+
+
+def _refuse_too_long(path: str, rows: int) -> None:
+    if rows:
+        raise MalformedExtract(f"{path}: {rows} rows have more fields than the header")
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """Adds ``fields``, the fields of each record."""
+    parsed = F.from_csv("record", schema, {**DIALECT, "multiLine": "true"})
+    return lines.select("*", parsed.alias("fields"))
+
+
+def _counters(columns: list[str]) -> list[Column]:
+    """Of records and their fields: rows, too long ones, stray returns, and kinds of values."""
+    rest = unquoted_part(F.col("record"))
+    return [F.count(F.lit(1)).alias("rows"),
+            F.count_if(occurrences(",", rest) >= len(columns)).alias("too_long"),
+            F.count_if(after_quotes(F.col("record")).contains("\r")).alias("returns"),
+            *[n for c in columns for n in kind_counters(c)]]
+
+
+def _with_kinds(parsed: DataFrame, columns: list[str]) -> DataFrame:
+    """The kind of each field, worked out once per value."""
+    return parsed.select(*[c for c in parsed.columns if c != "fields"],
+                         *[value_kind(F.col(f"fields.{c}")).alias(c) for c in columns])
+
+
+def _collected(counted: DataFrame, columns: list[str]) -> dict:
+    row = counted.first().asDict()
+    kinds = [{name.removeprefix(f"{c}_"): row.pop(name)
+              for name in [n for n in row if n.startswith(f"{c}_")]} for c in columns]
+    return {**row, "kinds": kinds}
+
+
+def _counts(lines: DataFrame, columns: list[str], schema: str) -> dict:
+    kinds = _with_kinds(_parsed(lines, schema), columns)
+    return _collected(kinds.agg(*_counters(columns)), columns)
+
+
+def _survey(lines: DataFrame, header: str, columns: list[str], schema: str) -> dict:
+    """One pass over the lines, each taken for a record.
+
+    ``broken`` lines are no whole record by themselves; if there is one, the counts of kinds mean
+    nothing. ``other`` files have a first line that is not the header: columns go by position.
     """
-    line, value = F.col("line"), F.col("value")
-    blank = is_blank(line) & (line != "")
-    per_file = _lines(spark, path).groupBy("file_path").agg(
-        F.count_if(is_cut(line) | line.contains("\r")).alias("broken"),
-        F.count_if(occurrences(",", unquoted_part(line)) >= columns).alias("too_long"),
-        F.count_if(value.contains("\r") | blank).alias("special"),
-        F.count_if(line == header).alias("headers"),
-        F.max("file_size").alias("size"))
-    found = per_file.agg(
-        *[F.sum(name).alias(name) for name in ("broken", "too_long", "special")],
-        F.count_if(F.col("headers") == 0).alias("headless"),
-        F.max("size").alias("largest")).first()
-    if found["headless"]:
-        raise MalformedExtract(f"{path}: {found['headless']} files have another header")
-    return found
+    line = F.col("line")
+    filled = lines.where(~is_blank(line)).select(
+        "file", line.alias("record"), (is_cut(line) | line.contains("\r")).alias("broken"),
+        F.struct("block", F.monotonically_increasing_id()).alias("place"))
+    kinds = _with_kinds(_parsed(filled, schema), columns)
+    counters = _counters(columns)
+    names = [n for n in kinds.limit(0).agg(*counters).columns]
+    # A split is read in order by one task, so the smallest place is the first line of the file.
+    per_file = kinds.groupBy("file").agg(
+        F.count_if("broken").alias("broken"), F.min_by("record", "place").alias("first"), *counters)
+    return _collected(per_file.agg(
+        F.count(F.lit(1)).alias("files"), F.sum("broken").alias("broken"),
+        F.count_if(~F.col("first").eqNullSafe(F.lit(header))).alias("other"),
+        *[F.sum(n).alias(n) for n in names]), columns)

@@ -26,14 +26,19 @@ def staging_name(file_name: str) -> str:
 
 
 def list_extracts(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
-    """Files of a folder that end in ``suffix``: one level deep, case-sensitive.
+    """Extracts of a folder that end in ``suffix``, case-sensitive: files, and folders of files.
 
     Only the listing is read, never the content. A file of zero bytes is not listed.
     """
-    name = F.element_at(F.split("path", "/"), -1)
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)
-               .select("path", "length", "modificationTime"))
-    stem = F.lower(F.replace(name, F.lit(suffix), F.lit("")))
-    return listing.select(name.alias("file_name"),
-                          F.concat(F.lit("stg_"), stem).alias("staging_table"),
-                          "path", "length", "modificationTime")
+    base = folder.rstrip("/")
+    steps = F.split("path", "/")
+    parent = F.element_at(steps, -2)
+    inside = parent != base.rsplit("/", 1)[-1]  # a file of an extract that is a folder
+    listing = spark.read.format("binaryFile").load(f"{base}/*{suffix}").select(
+        F.when(inside, parent).otherwise(F.element_at(steps, -1)).alias("file_name"),
+        F.when(inside, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
+        .alias("path"), "length", "modificationTime")
+    stem = F.lower(F.replace("file_name", F.lit(suffix), F.lit("")))
+    return listing.groupBy("file_name", "path").agg(
+        F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime")
+    ).withColumn("staging_table", F.concat(F.lit("stg_"), stem))

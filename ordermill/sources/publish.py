@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..operators.quality import Suite
+from ..operators.quality import QualityError, Suite
 
 
 @dataclass(frozen=True)
@@ -38,8 +38,9 @@ def publish(table: DataFrame, database: str, name: str, suite: Suite | None = No
     """Write, validate, then publish.
 
     The rules are counted while the rows are written, so validation reads nothing. If a
-    rule fails, QualityError is raised, the published rows stay as they were, and the
-    refused build stays in the catalog until the next good one.
+    rule fails, QualityError is raised, the published rows stay as they were, and the refused
+    build is dropped. The build published before stays, for readers that are still on it; the one
+    before that is dropped. No other build is touched: another publisher may be writing it.
     """
     spark = table.sparkSession
     build = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
@@ -48,24 +49,28 @@ def publish(table: DataFrame, database: str, name: str, suite: Suite | None = No
     if suite:
         rows = suite.observe(table, observation)
     rows.write.format("parquet").saveAsTable(f"`{database}`.`{build}`")
-    report = suite.require(suite.report(observation.get)) if suite else []
-    previous = _published_build(spark, database, name)
+    try:
+        report = suite.require(suite.report(observation.get)) if suite else []
+    except QualityError:
+        _drop(spark, database, build)
+        raise
+    current, before = _published_builds(spark, database, name)
     spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` "
-              f"TBLPROPERTIES ('build' = '{build}') AS SELECT * FROM `{database}`.`{build}`")
-    _drop_old_builds(spark, database, name, build, previous)
+              f"TBLPROPERTIES ('build' = '{build}', 'previous_build' = '{current}') "
+              f"AS SELECT * FROM `{database}`.`{build}`")
+    if before:
+        _drop(spark, database, before)
     return Published(f"{database}.{name}", build, report)
 
 
-def _published_build(spark: SparkSession, database: str, name: str) -> str | None:
+def _published_builds(spark: SparkSession, database: str, name: str) -> tuple[str, str]:
+    """The build that is published now, and the one before; empty where there is none."""
     if not spark.catalog.tableExists(f"`{database}`.`{name}`"):
-        return None
-    found = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{name}` ('build')").first()
-    return found["value"]
+        return "", ""
+    found = {r["key"]: r["value"]
+             for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{name}`").collect()}
+    return found.get("build", ""), found.get("previous_build", "")
 
 
-def _drop_old_builds(spark: SparkSession, database: str, name: str, build: str,
-                     previous: str | None) -> None:
-    """Keep the build published before, for readers that are still on it; drop the rest."""
-    for old in builds(spark, database, name):
-        if old < build and old != previous:
-            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
+def _drop(spark: SparkSession, database: str, build: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{build}`")

@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .column_types import column_type, kind_counts, typed
-from .csv_extract import (EXTRA, ONE_TASK_BYTES, STRAY, Extract, MalformedExtract, field,
-                          read_extract)
+from .column_types import column_type, typed
+from .csv_extract import MalformedExtract, field, read_extract
 
 
 @dataclass(frozen=True)
@@ -21,37 +20,36 @@ class TypedExtract:
     columns: int
 
 
-def _profile(extract: Extract) -> dict[str, dict]:
-    """Counts by column, from one pass; one row per column comes to the driver."""
-    columns = [field(i) for i in range(len(extract.names))] + [EXTRA, STRAY]
-    return {row["column_name"]: row.asDict()
-            for row in kind_counts(extract.rows, columns).collect()}
-
-
-def typed_extract(spark: SparkSession, path: str,
-                  one_task_bytes: int = ONE_TASK_BYTES) -> TypedExtract:
+def typed_extract(spark: SparkSession, path: str) -> TypedExtract:
     """Read, decide the column types, and refuse an extract that is empty or malformed.
 
-    One pass decides types, counts the rows and finds rows that are too long; the
-    returned table is a second, lazy pass.
+    The counts come from the pass that decides how to read; the returned table is a lazy pass of its
+    own.
     """
-    for extract in read_extract(spark, path, one_task_bytes):
-        profile = _profile(extract)
-        if not profile:
-            raise MalformedExtract(f"{path} is empty or malformed")
-        if not profile[STRAY]["fields"]:
-            break
-    too_long = profile[EXTRA]["fields"]
-    if too_long:
-        raise MalformedExtract(f"{path}: {too_long} rows have more fields than the header")
+    extract = read_extract(spark, path)
+    columns = [F.col(field(i)) for i in range(len(extract.names))]
     table = extract.rows.select(*[
-        typed(F.col(field(i)), column_type(profile[field(i)])).alias(name)
-        for i, name in enumerate(extract.names)])
-    return TypedExtract(table, profile[EXTRA]["rows"], len(extract.names))
+        typed(column, column_type(kinds)).alias(name)
+        for column, kinds, name in zip(columns, extract.kinds, extract.names)])
+    require_counts(extract.records, len(extract.names), path)
+    return TypedExtract(table, extract.records, len(extract.names))
 
 
-def require_rows(table: DataFrame, name: str) -> DataFrame:
-    """The table itself, or an error if it has no rows or no columns."""
-    if not table.columns or table.isEmpty():
+def require_counts(rows: int, columns: int, name: str) -> None:
+    """The non-empty gate: an error if there are no rows or no columns."""
+    if not rows or not columns:
         raise MalformedExtract(f"{name} is empty or malformed")
+
+
+def passes_gate(table: DataFrame) -> DataFrame:
+    """``rows``, ``columns``, and whether the table passes the gate, as one row."""
+    return table.agg(F.count(F.lit(1)).alias("rows"),
+                     F.lit(len(table.columns)).cast("bigint").alias("columns")).withColumn(
+        "passes", (F.col("rows") > 0) & (F.col("columns") > 0))
+
+
+def require_rows(table: DataFrame, name: str) -> DataFrame:
+    """The table itself, or an error if it does not pass the gate."""
+    found = passes_gate(table).first()
+    require_counts(found["rows"], found["columns"], name)
     return table

@@ -47,9 +47,9 @@ def plain(value):
     return value
 
 
-def check_like_pandas(spark, path, content, one_task_bytes=0):
+def check_like_pandas(spark, path, content):
     expected = pd.read_csv(io.BytesIO(content if isinstance(content, bytes) else content.encode()))
-    got = typed_extract(spark, path, one_task_bytes)
+    got = typed_extract(spark, path)
     assert got.table.columns == list(expected.columns)
     assert [t for _, t in got.table.dtypes] == [table_type(c) for _, c in expected.items()]
     rows = [tuple(r) for r in got.table.collect()]
@@ -82,6 +82,9 @@ SAME_AS_PANDAS = {
     "tabs_around_numbers": "a,b\n\t12,1.5\t\n3\t,\t2\n",
     "edges_of_64_bits": "a\n9223372036854775807\n-9223372036854775808\n",
     "just_wide": "a\n-9223372036854775809\n1\n",
+    "huge_integers_and_decimals": "a,b\n123456789012345678901,x\n1.5,y\n",
+    "unsigned_integers_and_decimals": "a,b\n18446744073709551615,x\n1.5,y\n",
+    "huge_integers_and_missing": "a,b\n123456789012345678901,x\n,y\n",
     "overflowing_decimals": "a,b\n1e400,1e-400\n-1e400,2\n",
     "not_numbers": "a,b\n0x1A,1_000\n0x2B,2_000\n",
     "timestamps": "a,b\n2017-10-02 10:56:33,2017-10-02\n2018-01-01 00:00:00,2018-01-01\n",
@@ -96,6 +99,7 @@ SAME_AS_PANDAS = {
     "blank_before_header_quoted": '\n\na,b\n1,"2\n3"\n',
     "tabs_on_a_line": 'a,b\n\t\n1,"x\ny"\n \t \n2,z\n',
     "tabs_on_a_plain_line": "\t\na,b\n\t\n1,x\n \t \n2,z\n",
+    "returns_in_quotes": 'a,b\n1,"x\r\ny"\n2,"p\rq\nr"\n',
     "separators_in_quotes": 'a,b\n",,,",1\n"x,",",,"\n",""",","\n',
     "one_column": 'a\n"x,y"\nz\n',
     "blanks_kept": "a,b\n x , y\nz , w \n",
@@ -104,11 +108,13 @@ SAME_AS_PANDAS = {
 }
 
 
-@pytest.mark.parametrize("one_task_bytes", [0, csv_extract.ONE_TASK_BYTES])
+@pytest.mark.parametrize("split_bytes", ["13", "134217728"])
 @pytest.mark.parametrize("case", SAME_AS_PANDAS)
-def test_same_as_pandas(spark, tmp_path, case, one_task_bytes):
+def test_same_as_pandas(spark, tmp_path, monkeypatch_conf, case, split_bytes):
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    monkeypatch_conf("spark.sql.files.openCostInBytes", split_bytes)
     content = SAME_AS_PANDAS[case]
-    check_like_pandas(spark, write(tmp_path, content), content, one_task_bytes)
+    check_like_pandas(spark, write(tmp_path, content), content)
 
 
 @pytest.mark.parametrize("content", ["a,b\n", "", "\n", "a,b"])
@@ -127,12 +133,33 @@ def test_missing_file_is_an_error(spark, tmp_path):
                                      'a,b\n"1,2","x,y",\n', 'a,b\n1,"x\ny",\n2,z\n'])
 def test_too_long_row_is_refused(spark, tmp_path, content):
     with pytest.raises(MalformedExtract, match="more fields"):
-        typed_extract(spark, write(tmp_path, content), one_task_bytes=0)
+        typed_extract(spark, write(tmp_path, content))
 
 
-def test_too_long_row_in_a_whole_file(spark, tmp_path):
+@pytest.mark.parametrize("content", ['a,b\n1,"x\ny"\nz,2,\n', "a,b\n1,x\nz,2,\n"])
+def test_empty_extra_field_is_refused_with_and_without_line_breaks(spark, tmp_path, content):
     with pytest.raises(MalformedExtract, match="more fields"):
-        typed_extract(spark, write(tmp_path, 'a,b\n1,"x\ny",3\n'))
+        typed_extract(spark, write(tmp_path, content))
+
+
+@pytest.mark.parametrize("split_bytes", ["7", "100", "134217728"])
+@pytest.mark.parametrize("content", [
+    'a,b\n1,"x\n' + "2,y\n" * 50, 'a,b\n1,x\n2,"y', '"a,b\n1,2\n', 'a,b\n"p\nq",1\n3,"\n'])
+def test_unclosed_quote_is_refused(spark, tmp_path, monkeypatch_conf, content, split_bytes):
+    """pandas: EOF inside string."""
+    with pytest.raises(pd.errors.ParserError):
+        pd.read_csv(io.StringIO(content))
+        raise pd.errors.ParserError("a header that is never closed")
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    monkeypatch_conf("spark.sql.files.openCostInBytes", split_bytes)
+    with pytest.raises(MalformedExtract, match="inside quotes|empty"):
+        typed_extract(spark, write(tmp_path, content))
+
+
+@pytest.mark.parametrize("content", ["a,b\nz,2\rx,1\n", "a,b\rz,2\rx,1\r", 'a,b\n1,"x\ny"\rz,2\n'])
+def test_bare_carriage_return_as_line_end_is_refused(spark, tmp_path, content):
+    with pytest.raises(MalformedExtract, match="carriage returns"):
+        typed_extract(spark, write(tmp_path, content))
 
 
 def test_folder_of_files(spark, tmp_path):
@@ -148,7 +175,7 @@ def test_folder_with_another_column_order_is_refused(spark, tmp_path):
     folder = tmp_path / "x.csv"
     folder.mkdir()
     write(folder, "a,b\n1,x\n", "part-0.csv")
-    write(folder, "b,a\ny,2\n", "part-1.csv")
+    write(folder, "b,a\ny,2\na,b\n", "part-1.csv")  # the header is there, but not in front
     with pytest.raises(MalformedExtract, match="another header"):
         typed_extract(spark, str(folder))
 
@@ -167,9 +194,8 @@ def random_csv(seed, rows, stray=False):
     return "\n".join(lines) + "\n"
 
 
-@pytest.mark.parametrize("batch_rows", ["3", "10000"])
-@pytest.mark.parametrize("stray", [False, True])
-@pytest.mark.parametrize("seed,split_bytes", [(1, 64), (2, 256), (3, 1000), (4, 30)])
+@pytest.mark.parametrize("batch_rows,stray,seed,split_bytes", [
+    ("3", False, 1, 100), ("10000", True, 2, 256), ("3", True, 3, 1000), ("10000", False, 4, 60)])
 def test_records_over_many_splits(spark, tmp_path, monkeypatch_conf, seed, split_bytes,
                                   batch_rows, stray):
     """Splits much smaller than a record, so records start, pass and end in many splits;
@@ -180,7 +206,6 @@ def test_records_over_many_splits(spark, tmp_path, monkeypatch_conf, seed, split
     monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
     monkeypatch_conf("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     assert spark.read.text(path).select("_metadata.file_block_start").distinct().count() > 4
-    assert quoted_lines.records(spark, path).where("stray").count() == 0
     check_like_pandas(spark, path, content)
 
 
@@ -190,34 +215,41 @@ def test_many_files_in_one_task(spark, tmp_path):
     parts = [random_csv(seed, 20) for seed in range(12)]
     for i, part in enumerate(parts):
         write(folder, part, f"part-{i}.csv")
-    got = typed_extract(spark, str(folder), one_task_bytes=0).table
+    got = typed_extract(spark, str(folder)).table
     wanted = pd.concat([pd.read_csv(io.StringIO(part, newline="")) for part in parts])
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
         repr(tuple(map(plain, r))) for r in wanted.astype(object).itertuples(index=False, name=None))
 
 
 def test_reading_modes(spark, tmp_path, monkeypatch_conf):
-    """Plain files and large files with quoted line breaks are split; the rest is not."""
-    def modes(content, one_task_bytes=0):
-        path = write(tmp_path, content)
-        return [how(e.rows) for e in csv_extract.read_extract(spark, path, one_task_bytes)]
-
-    def how(rows):
-        """Seen from the number of tasks a file is cut into, and from the plan."""
-        if "MapInArrow" in rows._jdf.queryExecution().toString():
-            return "assembled"
-        return "split" if rows.rdd.getNumPartitions() > 1 else "one task"
+    """What the lines hold decides who puts records together; both ways are split."""
+    def mode(content):
+        rows = csv_extract.read_extract(spark, write(tmp_path, content)).rows
+        assert rows.rdd.getNumPartitions() > 1
+        return "MapInArrow" in rows._jdf.queryExecution().toString()
 
     for key, value in {"spark.sql.files.maxPartitionBytes": "6",
                        "spark.sql.files.openCostInBytes": "0"}.items():
         monkeypatch_conf(key, value)
-    assert modes("a,b\n1,x\n") == ["split"]
-    assert modes('a,b\n1,"x,y"\n') == ["split"]
-    quoted = 'a,b\n1,"x\ny"\n'
-    assert modes(quoted) == ["assembled", "one task"]
-    assert modes(quoted, 1000) == ["one task"]
-    assert modes('a,b\n1,5" pipe\n') == ["split"]
-    assert modes('a,b\n1,"x\ny"\n2,5" pipe\n') == ["assembled", "one task"]
+    assert not mode("a,b\n1,x\n")
+    assert not mode('a,b\n1,"x,y"\n')
+    assert not mode('a,b\n1,5" pipe\n')
+    assert mode('a,b\n1,"x\ny"\n')
+    assert mode('a,b\n1,"x\ny"\n2,5" pipe\n')
+
+
+def test_plain_file_is_read_twice(spark, tmp_path):
+    """One scan of the text for all counts, and one for the table."""
+    path = write(tmp_path, "a,b\n1,x\n2,y\n")
+    lines = csv_extract._lines(spark, path)
+    assert str(lines._jdf.queryExecution().executedPlan().toString()).count("Scan text") == 1
+    table = typed_extract(spark, path).table
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan csv") == 1 and "Scan text" not in plan
+
+
+def test_names_that_differ_in_case_only():
+    assert csv_extract.column_names(["A", "a", "a.1", None]) == ["A", "a.1", "a.1.1", "Unnamed: 3"]
 
 
 def test_require_rows(spark):

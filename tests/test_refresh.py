@@ -120,10 +120,32 @@ def test_publish_keeps_one_earlier_build(spark, database):
     with pytest.raises(QualityError):
         publish(spark.range(9), database, "t", Suite("s", [between("id", max_value=5)]))
     assert spark.table(f"{database}.t").count() == 4
+    assert builds(spark, database, "t") == seen[-2:]  # the refused build is gone
     last = publish(spark.range(5), database, "t", Suite("s", [between("id", max_value=5)]))
     assert builds(spark, database, "t") == [seen[-1], last.build]
 
 
+def test_builds_of_another_publisher_stay(spark, database):
+    other = "t__v00000000000000000001_other"
+    spark.range(3).write.saveAsTable(f"{database}.{other}")
+    for n in range(1, 4):
+        publish(spark.range(n), database, "t")
+    assert other in builds(spark, database, "t") and len(builds(spark, database, "t")) == 3
+
+
+def test_file_that_is_not_listed_stops_the_refresh(spark, database, raw):
+    (raw / manifest.SELLERS).unlink()
+    with pytest.raises(MalformedExtract, match=manifest.SELLERS):
+        refresh.run_refresh(spark, str(raw), database)
+    assert not spark.catalog.tableExists(f"{database}.stg_olist_orders_dataset")
+
+
+def test_columns_that_differ_in_case_only(spark, database, tmp_path):
+    (tmp_path / "case.csv").write_text("A,a\n1,2\n")
+    published = refresh.stage(spark, str(tmp_path), "case.csv", database)
+    assert spark.table(published.name).columns == ["A", "a.1"]
+
+
 def test_table_built_from_itself(spark, database):
     publish(spark.range(3), database, "t")
     publish(spark.table(f"{database}.t").selectExpr("id + 1 AS id"), database, "t")
@@ -144,7 +166,13 @@ def test_names_and_inventory(spark, raw):
     (raw / "more").mkdir()
     (raw / "more" / "deep.csv").write_text("x")
     (raw / "zero.csv").write_text("")
+    (raw / "folder.csv").mkdir()
+    (raw / "folder.csv" / "part-0.csv").write_text("x")
+    (raw / "folder.csv" / "part-1.csv").write_text("yz")
     found = manifest.list_extracts(spark, str(raw)).collect()
+    [folder] = [r for r in found if r.file_name == "folder.csv"]
+    assert folder.length == 3 and folder.path.endswith("/folder.csv")
+    found.remove(folder)
     assert {r.file_name: r.staging_table for r in found} == {
         name: manifest.staging_name(name) for name in manifest.MANIFEST}
     assert all(r.length == len(CSV[r.file_name].encode()) for r in found)
