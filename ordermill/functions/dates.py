@@ -15,9 +15,10 @@ NAME_WIDTH = 9  # fixed value: month and weekday names are blank-padded to this
 def purchase_timestamp(text: Column) -> Column:
     """Text to a timestamp without zone; NULL stays NULL, bad text fails the job.
 
-    The failure is spelled out, so it does not depend on the session's ANSI mode.
+    The failure is spelled out, so it does not depend on the session's ANSI mode. A year, or a
+    year and a month, is bad text: a date has eight characters at least.
     """
-    parsed = text.try_cast("timestamp_ntz")
+    parsed = F.when(F.length(F.trim(text)) >= 8, text.try_cast("timestamp_ntz"))
     bad = F.raise_error(F.concat(F.lit("not a timestamp: "), text))
     return F.coalesce(parsed, F.when(text.isNotNull(), bad))
 

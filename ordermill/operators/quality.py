@@ -131,6 +131,7 @@ class Suite:
         return self.require([row.asDict() for row in self.evaluate(table).collect()])
 
 
+# The four rules and their bounds.
 FACT_ORDERS_SUITE = Suite("fact_orders_suite", [
     not_null("order_id"),
     between("total_items", min_value=0),

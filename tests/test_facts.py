@@ -96,6 +96,12 @@ def test_null_keys_match_nothing(spark):
         (None, 0, None, None, None), ("c", 0, None, None, None)]
 
 
+@pytest.mark.parametrize("text", ["2017", "2017-10"])
+def test_part_of_a_date_is_an_error(spark, text):
+    with pytest.raises(Exception, match=f"not a timestamp: {text}"):
+        facts.fact_orders(*frames(spark, [("o1", "c", "s", text)])).collect()
+
+
 def test_bad_timestamp_is_an_error(spark):
     for ansi in ("true", "false"):
         spark.conf.set("spark.sql.ansi.enabled", ansi)
