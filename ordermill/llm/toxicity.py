@@ -1,9 +1,10 @@
 """Toxic passages: maximum-scoring segments over token log-odds.
 
-1. Words are hashed to 2**20 buckets. A bucket's score is the log-odds of toxic against other
-   documents with an informative Dirichlet prior, whose shape is the bucket's share of all words
-   of the corpus. Scores that are not significant (z below 3) count as 0. Every word costs
-   ``GAP``, so the expected score of plain text is negative.
+1. Words are hashed to 2**20 buckets; a bucket is counted once per document. Its score is the log-odds
+   of toxic against other documents with an informative Dirichlet prior, which has the shape of
+   the bucket's share of the whole corpus and the weight of all that is counted. Scores that
+   are not significant (z below 3) count as 0. Every word costs ``GAP``, so the expected score
+   of plain text is negative.
 2. One scan finds all maximal scoring segments of a document (Ruzzo and Tompa), in time linear in
    its words.
 3. In plain text the number of segments of score S or more is about K * n * exp(-lambda * S) for n
@@ -12,13 +13,13 @@
    ``SIGNIFICANT`` are passages. Their -log E, the best and the sum, go through a logistic
    curve that is fitted on documents that were not counted in step 1.
 
-Word counts for the prior are taken over all documents. Labels are learned from a bounded sample: the
+Counts for the prior are taken over all documents. Labels are learned from a bounded sample: the
 ``PER_CLASS`` labelled documents of either class with the smallest hash, with their whole texts;
 the curve's weights restore the classes' proportions. A score depends on the text alone.
 
 Defined results: a NULL, empty or wordless text has no passage and gets the score of such texts. If a
 class has no labelled document, every score is 0. Of several rows with one id one is learned from, that
-with the smallest text hash; several labels of one id count as toxic if one is. Other columns are not
+with the smallest text hash, and of equal texts one; several labels of one id count as toxic if one is. Other columns are not
 read.
 """
 
@@ -31,7 +32,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
@@ -40,12 +41,12 @@ from .words import ALPHANUMERIC, WordHasher
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 20
-PRIOR = 0.1          # weight of the prior, as a share of the words counted
+PRIOR = 1.0          # weight of the prior, as a share of what is counted
 LEAST_Z = 3.0        # significance from which on a bucket's log-odds count
 GAP = 0.25           # cost of every word
 MOST_SCORE = 8.0
 PER_CLASS = 20_000   # labelled documents of each class that are learned from
-CURVE = 4            # every fourth of them is left for the curve
+CURVE = 4            # a fourth of them, by hash, is left for the curve
 SIGNIFICANT = 0.05   # expected segments by chance below which a segment is a passage
 MOST_EVIDENCE = 100.0
 
@@ -148,13 +149,18 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, bucket, n) of rows (class, text); one row per class, bucket and task."""
+    """(class, bucket, n) of rows (class, text): texts that have a word of the bucket.
+
+    One row per class, bucket and task. A word counts once per text: its repeats are no evidence of
+    their own.
+    """
     hasher, totals = WordHasher(ALPHANUMERIC), {}
     for batch in batches:
         classes = batch.column(0).to_numpy(zero_copy_only=False)
         for words in hasher.slices(batch.column(1)):
-            of = classes[words.first:words.first + words.texts()][words.owner()]
-            bucket = buckets(words.hashes)
+            each = np.unique((words.owner() << BITS) | buckets(words.hashes))
+            of = classes[words.first:words.first + words.texts()][each >> BITS]
+            bucket = each & ((1 << BITS) - 1)
             for name in np.unique(of).tolist():
                 total = totals.setdefault(name, np.zeros(1 << BITS, np.int64))
                 total += np.bincount(bucket[of == name], minlength=1 << BITS)
@@ -211,19 +217,18 @@ def _sample(documents: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[
            .agg(F.max(F.col("toxic").cast("int")).alias("class")).where("class in (0, 1)"))
     one = scratch.table(one, "labels")
     sizes = {r["class"]: r["count"] for r in one.groupBy("class").count().collect()}
-    # Hashes that cannot be among the smallest are left out before, so ranking is as small.
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id"), 11)
-    few = F.lit(False)
-    for kind, n in sizes.items():
+    # Hashes that cannot be among the smallest are left out before, so sorting is as small.
+    placed = one.withColumn("place", F.shiftrightunsigned(F.xxhash64(F.lit(6), "doc_id"), 11))
+    chosen = placed.limit(0)
+    for kind, n in sorted(sizes.items()):
         bound = int(min(1.0, 2 * PER_CLASS / n) * (1 << 53))
-        few = few | ((F.col("class") == kind) & (F.col("place") < bound))
-    rank = F.row_number().over(Window.partitionBy("class").orderBy("place", "doc_id"))
-    chosen = (one.withColumn("place", place).where(few).withColumn("rank", rank)
-              .where(F.col("rank") <= PER_CLASS)
-              .select("doc_id", "class", (F.col("rank") % CURVE == 0).alias("for_curve")))
+        chosen = chosen.unionByName(placed.where((F.col("class") == kind) & (F.col("place") < bound))
+                                    .orderBy("place", "doc_id").limit(PER_CLASS))
+    chosen = chosen.select("doc_id", "class", (F.col("place") % CURVE == 0).alias("for_curve"))
     texts = (documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
              .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "class", "for_curve")
-             .agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+             .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+             .dropDuplicates(["class", "text"]))
     return scratch.table(texts.select("class", "for_curve", "text"), "sample"), sizes
 
 

@@ -118,6 +118,8 @@ class TemplateTree:
             rows = self.forms.select("*", child)
             children = self._keep(rows.where("child is not null").groupBy(
                 "host", "template", "child").agg(*sums), "children")
+            if children.isEmpty():
+                break
             parents = self._keep(children.groupBy("host", "template").agg(
                 *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "bad")]), "parents")
             own = children.join(parents, ["host", "template"]).where(self._differs())
