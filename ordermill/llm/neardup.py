@@ -47,7 +47,7 @@ SIMILAR = 80       # percent of the union that two linked sets share at least
 BUCKETS = 256      # registers of a sketch
 ROWS, BANDS = 6, 42
 MANTISSA = 10      # bits of a register after the leading one
-ROUNDS = 3         # rounds of random partners before the rest is compared in blocks
+ROUNDS = 1         # rounds of random partners before the rest is compared in blocks
 PARTNERS = (2, None)  # partners of an outsider in a component and block, round by round
 FINE = 512         # smallest hashes in a fine sketch
 BLOCK = 512        # sketches compared at a time
@@ -260,6 +260,8 @@ def _block_pairs(similar: int, most: int | None):
             for i in range(batch.num_rows):
                 band = batch.column(0)[i].as_py()
                 left, right = (batch.column(c)[i].values for c in (1, 2))
+                if not len(left) or not len(right):
+                    continue
                 node_l, node_r = (x.field("node").to_numpy() for x in (left, right))
                 root_l, root_r = (x.field("root").to_numpy() for x in (left, right))
                 n_l, n_r = (x.field("n").to_numpy() for x in (left, right))
@@ -310,14 +312,16 @@ class NearDuplicates:
         self.step = 0
         self.texts = documents.select(F.col(doc_id).cast("long").alias("doc_id"),
                                       *text_key(F.col(text)), F.col(text).alias("text"))
-        self.sketches = self.scratch.table(
+        sketches = self.scratch.table(
             self.texts.mapInArrow(_sketches(words), SKETCH), "sketches")
         # One row per distinct set. Its node id is fixed by being written.
         self.classes = self.scratch.table(
-            self.sketches.where("n > 0").groupBy("set_1", "set_2")
+            sketches.where("n > 0").groupBy("set_1", "set_2")
             .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"),
                  F.first("sketch").alias("sketch"))
             .withColumn("node", F.monotonically_increasing_id()), "classes")
+        self.rows = self.scratch.table(sketches.drop("sketch"), "rows")
+        self.scratch.drop("sketches")
 
     def _keep(self, rows: DataFrame, name: str) -> DataFrame:
         self.step += 1
@@ -332,6 +336,8 @@ class NearDuplicates:
         self.members = self._keep(bands.join(shared, "key"), "members")
         nodes = self._keep(self.members.select("node").distinct(), "nodes")
         self.candidates = self._keep(self.classes.join(nodes, "node", "left_semi"), "candidates")
+        self.classes = self.scratch.table(self.classes.drop("n", "sketch"), "all_classes")
+        self.scratch.drop("classes")
         # Rows with the id of a class may have other texts; the hash of the set tells them apart.
         ids = self.candidates.select(F.col("least").alias("doc_id")).distinct()
         texts = self.texts.alias("t").join(
@@ -407,8 +413,10 @@ class NearDuplicates:
                 # a pair alone was tested in the first round
                 .where("low <> high and size > 2").select("key"))
         keys = self._keep(keys, "mixed_keys")
-        self.members = self._keep(self.members.join(keys, "key", "left_semi"), "members")
-        return self._keep(self.members.join(self.labels, "node"), "mixed")
+        mixed = self._keep(self.members.join(keys, "key", "left_semi").join(self.labels, "node"),
+                           "mixed")
+        self.members = mixed.drop("root")
+        return mixed
 
     def _partners(self, rooted: DataFrame, order: Column) -> DataFrame:
         """Every member of a band key with the key's first member by ``order``."""
@@ -425,19 +433,26 @@ class NearDuplicates:
         main = self._keep(sizes.groupBy("key").agg(
             F.max_by("root", F.struct("size", -F.col("root"))).alias("main"),
             F.sum("size").alias("members"), F.max("size").alias("in_main")), "main")
-        rows = (mixed.join(main, "key")
-                .join(self.candidates.select("node", "n", "sketch"), "node")
-                .join(self.sets.select("node", "fine"), "node"))
-
-        def blocks(part: DataFrame, name: str, size: Column) -> DataFrame:
-            of = F.pmod(F.xxhash64("node"), F.ceil(size / BLOCK))
-            entry = F.struct("node", "root", "n", "sketch", "fine")
-            return (part.groupBy("key", "band", of.alias(name))
-                    .agg(F.collect_list(entry).alias(f"{name}_rows")))
-        left = blocks(rows.where("root <> main"), "outsider",
-                      F.col("members") - F.col("in_main"))
-        right = blocks(rows, "member", F.col("members"))
-        return (left.join(right.drop("band"), "key").select("band", "outsider_rows", "member_rows")
+        outside = F.ceil((F.col("members") - F.col("in_main")) / BLOCK)  # blocks of a key
+        inside = F.ceil(F.col("members") / BLOCK)
+        rows = mixed.join(main, "key")
+
+        def placed(part: DataFrame, own: str, blocks: Column, other: str, times: Column):
+            """A row for each block of the other side that the node's block is to meet."""
+            return part.select(
+                "key", "band", "node", "root", F.lit(own == "outsiders").alias("outsider"),
+                F.pmod(F.xxhash64("node"), blocks).alias(own),
+                F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias(other))
+        pairs = placed(rows.where("root <> main"), "outsiders", outside, "others", inside).unionByName(
+            placed(rows, "others", inside, "outsiders", outside))
+        # Sketches join last, so they are shuffled once.
+        rich = pairs.join(self.candidates.select("node", "n", "sketch"), "node").join(
+            self.sets.select("node", "fine"), "node")
+        entry = F.struct("node", "root", "n", "sketch", "fine")
+        return (rich.groupBy("key", "band", "outsiders", "others")
+                .agg(F.collect_list(F.when(F.col("outsider"), entry)).alias("outsider_rows"),
+                     F.collect_list(F.when(~F.col("outsider"), entry)).alias("member_rows"))
+                .select("band", "outsider_rows", "member_rows")
                 .mapInArrow(_block_pairs(self.similar, most), "a long, b long").distinct())
 
     def run(self) -> DataFrame:
@@ -456,12 +471,15 @@ class NearDuplicates:
             elif place <= ROUNDS:
                 pairs = self._partners(rooted, F.xxhash64("node", F.lit(step)))
             else:
-                pairs = self._from_blocks(rooted, step)
+                pairs = told = self._keep(self._from_blocks(rooted, step), "told")
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
             pairs = self._keep(pairs, "pairs")
             tested = pairs if tested is None else tested.unionByName(pairs)
-            self._unite(self._links(pairs))
+            links = self._links(pairs)
+            self._unite(links)
+            if place > ROUNDS and links.count() == told.count():
+                break  # whoever may have a link to a component has one now
         return (self.classes.select("set_1", "set_2", "node", "least")
                 .join(self.labels, "node", "left")
                 .withColumn("root", F.coalesce("root", "node")))
@@ -472,7 +490,7 @@ class NearDuplicates:
         least = self._keep(roots.groupBy("root").agg(F.min("least").alias("component_id")), "least")
         classes = self._keep(roots.join(least, "root")
                              .select("set_1", "set_2", "component_id", "root"), "components")
-        rows = self.sketches.select(*ROW, F.col("n").alias("n_shingles"), "set_1", "set_2")
+        rows = self.rows.select(*ROW, F.col("n").alias("n_shingles"), "set_1", "set_2")
         linked = rows.where("n_shingles > 0").join(classes, ["set_1", "set_2"])
         alone = rows.where("n_shingles = 0").select(
             *ROW, "n_shingles", F.col("doc_id").alias("component_id"),
