@@ -218,7 +218,7 @@ ORDER_KEYS = "ord.order_id, ord.customer_id, ord.order_status, ord.order_purchas
 # Every item of an order meets every payment and every review of it, so a branch total counts as
 # often as the order and the rows of the other branches are there.
 BRANCHES = """
-    ord AS (SELECT order_id, customer_id, order_status, order_purchase_timestamp AS at,
+    ord AS (SELECT order_id, customer_id, order_status, order_purchase_timestamp AS bought_at,
                    count(*)::DOUBLE AS copies FROM stg_orders GROUP BY ALL),
     itm AS (SELECT order_id, count(DISTINCT order_item_id) AS n, sum(price + freight_value) AS v,
                    count(*)::DOUBLE AS k FROM {items} GROUP BY ALL),
@@ -230,7 +230,7 @@ BRANCHES = """
 
 def _fact(items: str = "stg_items") -> str:
     return f"""WITH {BRANCHES.format(items=items)}
-    SELECT ord.order_id, customer_id, order_status, CAST(at AS DATE) AS order_date,
+    SELECT ord.order_id, customer_id, order_status, CAST(bought_at AS DATE) AS order_date,
            coalesce(n, 0) AS total_items,
            round(itm.v * copies * coalesce(pay.k, 1) * coalesce(rev.k, 1), 2) AS total_order_value,
            round(pay.v * copies * coalesce(itm.k, 1) * coalesce(rev.k, 1), 2)
