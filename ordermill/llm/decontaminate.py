@@ -18,7 +18,6 @@ one, so repeated rows each get the same result. Other columns of the input are n
 
 from __future__ import annotations
 
-import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -35,8 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 10                # words of a window
 BLOCK_WINDOWS = 500_000    # windows sent to the tasks at once: about 100 bytes each
-MAPPED = "position long, hashes array<long>"
-FOUND = ("n_words long, starts array<int>, ends array<int>, items array<string>")
+FOUND = "n_words long, starts array<int>, ends array<int>, items array<string>"
 
 
 def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text",
@@ -286,11 +284,6 @@ def judge(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     return found.withColumn("n_hit", hit).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def items_digest(items) -> str:
-    """Lower-case hex SHA-256 of the ids, comma-joined; the same as the SQL expression."""
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark window occurs, with their own columns."""
     return judge(documents, benchmark).where("not contaminated").select("row.*")

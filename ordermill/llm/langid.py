@@ -207,7 +207,8 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # The sample: narrow rows are ranked, each task sends on no more than the best of a language.
     # Hashes that cannot be among the smallest are left out before, so ranking is as small.
-    placed = rows.withColumn("place", F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id", "text"), 11))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id", "text"), 11)
+    placed = rows.withColumn("place", place)
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     bound = F.element_at(F.create_map(*[F.lit(v) for lang, n in sorted(sizes.items()) for v in (
         lang, int(min(1.0, 2 * PER_LANGUAGE / n) * (1 << 53)))]), F.col("lang"))

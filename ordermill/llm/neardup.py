@@ -437,14 +437,15 @@ class NearDuplicates:
         inside = F.ceil(F.col("members") / BLOCK)
         rows = mixed.join(main, "key")
 
-        def placed(part: DataFrame, own: str, blocks: Column, other: str, times: Column):
+        def placed(part: DataFrame, own: str, blocks: Column, other: str,
+                   times: Column) -> DataFrame:
             """A row for each block of the other side that the node's block is to meet."""
             return part.select(
                 "key", "band", "node", "root", F.lit(own == "outsiders").alias("outsider"),
                 F.pmod(F.xxhash64("node"), blocks).alias(own),
                 F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias(other))
-        pairs = placed(rows.where("root <> main"), "outsiders", outside, "others", inside).unionByName(
-            placed(rows, "others", inside, "outsiders", outside))
+        away = placed(rows.where("root <> main"), "outsiders", outside, "others", inside)
+        pairs = away.unionByName(placed(rows, "others", inside, "outsiders", outside))
         # Sketches join last, so they are shuffled once.
         rich = pairs.join(self.candidates.select("node", "n", "sketch"), "node").join(
             self.sets.select("node", "fine"), "node")

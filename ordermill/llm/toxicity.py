@@ -19,8 +19,8 @@ the curve's weights restore the classes' proportions. A score depends on the tex
 
 Defined results: a NULL, empty or wordless text has no passage and gets the score of such texts. If a
 class has no labelled document, every score is 0. Of several rows with one id one is learned from, that
-with the smallest text hash, and of equal texts one; several labels of one id count as toxic if one is. Other columns are not
-read.
+with the smallest text hash, and of equal texts one; several labels of one id count as toxic if one
+is. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -69,7 +69,8 @@ def record_name(page_id: int | None, digest: str) -> str:
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str,
                  refers_to: int | None) -> bytes:
     """A response, or a revisit of the page ``refers_to`` with the response's HTTP header only."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+            f"Content-Length: {len(payload)}\r\n\r\n")
     revisit = refers_to is not None
     block = http.encode() + (b"" if revisit else payload)
     target = " ".join((url or "").split())
@@ -178,14 +179,13 @@ def read_archive(stream: BinaryIO, chunk: int = 1 << 20) -> Iterator[bytes]:
     data = stream.read(chunk)
     while data:
         parts.append(frame.decompress(data))
+        data = b""
         if frame.eof:
             yield b"".join(parts)
             data = frame.unused_data
             frame, parts = decompressor.decompressobj(), []
-            if data:
-                continue
-        data = stream.read(chunk)
-    if any(parts):
+        data = data or stream.read(chunk)
+    if parts:  # bytes of a frame that did not end
         raise ValueError("the last record is cut off")
 
 
