@@ -112,7 +112,7 @@ def test_unrelated_sets_have_no_similarity():
 
 def test_words_are_split_and_lowered_like_the_pattern():
     import pyarrow as pa
-    texts = ["A b c", "", None, "Ärger ÄRGER", "a\x0bb\x1cc\x85d", "x" * 50, "  lead trail  ",
+    texts = ["A b c", "", None, "Ärger ärgeR", "a\x0bb\x1cc\x85d", "x" * 50, "  lead trail  ",
              "nul\x00in word", "many words " * 30]
     expected = [2, 0, 0, 2, 2, 1, 2, 2, 60]
     for size in (1 << 20, 7, 20):
