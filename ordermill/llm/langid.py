@@ -58,7 +58,7 @@ class Features:
         for at in range(0, len(chars), PIECE):
             piece = chars[at:at + PIECE + max(SIZES) - 1]
             found = np.concatenate(list(self._hashed(piece, len(piece) <= PIECE)))
-            if len(found) < FEW:
+            if len(found) < FEW and len(chars) <= PIECE:
                 return np.unique(found, return_counts=True)
             more = np.bincount(found, minlength=1 << BITS)
             total = more if total is None else total + more
