@@ -2,9 +2,10 @@
 
 1. Segments that vary by their form (numbers, long hexadecimal or mixed ids) become wildcards in the
    row; segments beyond ``DEPTH`` are one. Pages are then summed per host and form.
-2. Per host a tree is grown, a level at a time. A child stays a branch of its own only if it has
-   enough of its parent's pages, and if its share of bad labelled pages differs from that of its
-   siblings (two-proportion z-test). Children that are alike are merged into the wildcard.
+2. Per host a tree is grown, a level at a time. A child with ``LEAST_LABELLED`` labelled pages or more
+   stays a branch of its own if its share of bad ones differs from that of its siblings
+   (two-proportion z-test), however few of its parent's pages it has. Children that the test does
+   not tell apart are merged into the wildcard.
 3. A template is rejected if its share of bad pages, smoothed towards its host's and that towards the
    whole table's, is above ``MOST_BAD`` on ``LEAST_LABELLED`` labelled pages or more.
 
@@ -28,7 +29,7 @@ from ..scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEPTH = 6               # levels of the tree
-LEAST_SHARE = 0.01      # share of the parent's pages that a branch of its own needs
+LEAST_SHARE = 0.01      # of the SQL only: share of the parent's pages that a branch needs there
 LEAST_Z = 3.0           # difference of bad shares that keeps branches apart
 SMOOTHING = 5.0         # labelled pages that the prior share counts for
 MOST_BAD = 0.5
@@ -102,8 +103,7 @@ class TemplateTree:
     def __init__(self, pages: DataFrame, scratch: Scratch):
         self.scratch, self.step = scratch, 0
         forms = pages.groupBy("host", "form").agg(
-            F.count(F.lit(1)).alias("pages"), F.count("bad").alias("labelled"),
-            F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
+            F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
         self.forms = self._keep(forms.withColumn("template", F.lit("")), "forms")
 
     def _keep(self, rows: DataFrame, name: str) -> DataFrame:
@@ -112,7 +112,7 @@ class TemplateTree:
 
     def grow(self) -> DataFrame:
         """(host, form, template, labelled, bad) of all forms."""
-        sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
+        sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
         for level in range(DEPTH + 1):
             child = F.get("form", F.lit(level)).alias("child")
             rows = self.forms.select("*", child)
@@ -121,11 +121,11 @@ class TemplateTree:
             if children.isEmpty():
                 break
             parents = self._keep(children.groupBy("host", "template").agg(
-                *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "bad")]), "parents")
+                *[F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")]), "parents")
             own = children.join(parents, ["host", "template"]).where(self._differs())
             own = self._keep(own.select("host", "template", "child", F.lit(True).alias("own")), "own")
             grown = rows.join(own, ["host", "template", "child"], "left").select(
-                "host", "form", "pages", "labelled", "bad",
+                "host", "form", "labelled", "bad",
                 F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat(
                     "template", F.lit("/"), F.when(F.col("own"), F.col("child")).otherwise("*")))
                 .alias("template"))
@@ -134,15 +134,14 @@ class TemplateTree:
 
     @staticmethod
     def _differs() -> Column:
-        """Enough pages, and another share of bad ones than the siblings together."""
+        """Enough labelled pages, and another share of bad ones than the siblings together."""
         rest_labelled = F.col("all_labelled") - F.col("labelled")
         rest_bad = F.col("all_bad") - F.col("bad")
         pooled = F.col("all_bad") / F.col("all_labelled")
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_labelled))
         gap = F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest_labelled)
-        tested = (F.col("labelled") > 0) & (rest_labelled > 0) & (F.col("all_bad") > 0)
-        return ((F.col("pages") >= F.col("all_pages") * LEAST_SHARE)
-                & F.when(tested, gap >= error * LEAST_Z).otherwise(False))
+        tested = (F.col("labelled") >= LEAST_LABELLED) & (rest_labelled > 0)
+        return F.when(tested, (gap > 0) & (gap >= error * LEAST_Z)).otherwise(False)
 
     def rejected(self) -> DataFrame:
         """(host, form) of the rejected templates."""

@@ -1,0 +1,26 @@
+"""Branches of the URL filter's tree that the given tables do not have."""
+
+from ordermill.llm import urlfilter
+
+
+def verdicts(spark, pages):
+    """``pages``: (url, bad or None). The verdicts in the same order."""
+    rows = [(i, url, bad) for i, (url, bad) in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    found = urlfilter.judge(table.select("page_id", "url"), table.select("page_id", "bad"))
+    one = {r["page_id"]: r["verdict"] for r in found.collect()}
+    return [one[i] for i in range(len(rows))]
+
+
+def test_a_small_section_is_judged_by_its_own_labels(spark):
+    for bad in (1, 0):  # a bad section of a clean host, and a clean one of a bad host
+        pages = [(f"http://host.test/part{i % 200}/{i}", 1 - bad) for i in range(1_200)]
+        pages += [(f"http://host.test/small/{i}", bad if i < 8 else None) for i in range(10)]
+        found = verdicts(spark, pages)
+        assert set(found[1_200:]) == {"block" if bad else "allow"}
+        assert set(found[:1_200]) == {"allow" if bad else "block"}
+
+
+def test_equal_shares_are_not_told_apart(spark):
+    pages = [(f"http://host.test/{s}/{i}", 1) for s, n in (("a", 300), ("b", 3)) for i in range(n)]
+    assert set(verdicts(spark, pages)) == {"block"}
