@@ -1,11 +1,13 @@
 """URL filter: rules first, then a tree of path templates that is pruned by labelled pages.
 
 1. Segments that vary by their form (numbers, long hexadecimal or mixed ids) become wildcards in the
-   row; segments beyond ``DEPTH`` are one. Pages are then summed per host and form.
-2. Per host a tree is grown, a level at a time. A child with ``LEAST_LABELLED`` labelled pages or more
+   row. Pages are then summed per host and form.
+2. Per host a tree is grown, a level at a time and as deep as the paths go. A child with ``LEAST_LABELLED`` labelled pages or more
    stays a branch of its own if its share of bad ones differs from that of its siblings
    (two-proportion z-test), however few of its parent's pages it has. Children that the test does
-   not tell apart are merged into the wildcard.
+   not tell apart are merged into the wildcard. Levels that the labelled pages of a template share
+   are passed in one step, and a template that no further test can part is done; its pages are
+   told apart by the length of their paths only.
 3. A template is rejected if its share of bad pages, smoothed towards its host's and that towards the
    whole table's, is above ``MOST_BAD`` on ``LEAST_LABELLED`` labelled pages or more.
 
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 6               # levels of the tree
+DEPTH = 6               # of the SQL only: levels of the tree that are written out there
 LEAST_SHARE = 0.01      # of the SQL only: share of the parent's pages that a branch needs there
 LEAST_Z = 3.0           # difference of bad shares that keeps branches apart
 SMOOTHING = 5.0         # labelled pages that the prior share counts for
@@ -88,9 +90,14 @@ def form(path: Column) -> Column:
     def of(segment: Column) -> Column:
         # no more than one form fits, and its name starts with no digit
         return reduce(lambda text, f: F.regexp_replace(text, *f), FORMS, segment)
-    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
-    head = F.transform(F.slice(segments, 1, DEPTH), of)
-    return F.when(F.size(segments) > DEPTH, F.concat(head, F.array(F.lit("{rest}")))).otherwise(head)
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), of)
+
+
+def shared_levels(low: str, high: str) -> Column:
+    """How many segments two different forms have in common at their start."""
+    pairs = F.arrays_zip(low, high)
+    equal = F.transform(pairs, lambda z: z[low].eqNullSafe(z[high]))
+    return (F.array_position(equal, False) - 1).cast("int")
 
 
 def _share(bad: Column, labelled: Column, prior: Column) -> Column:
@@ -104,7 +111,8 @@ class TemplateTree:
         self.scratch, self.step = scratch, 0
         forms = pages.groupBy("host", "form").agg(
             F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
-        self.forms = self._keep(forms.withColumn("template", F.lit("")), "forms")
+        self.forms = self._keep(forms.select(
+            "*", F.lit("").alias("template"), F.lit(0).alias("level")), "forms")
 
     def _keep(self, rows: DataFrame, name: str) -> DataFrame:
         self.step += 1
@@ -113,24 +121,37 @@ class TemplateTree:
     def grow(self) -> DataFrame:
         """(host, form, template, labelled, bad) of all forms."""
         sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
-        for level in range(DEPTH + 1):
-            child = F.get("form", F.lit(level)).alias("child")
-            rows = self.forms.select("*", child)
-            children = self._keep(rows.where("child is not null").groupBy(
-                "host", "template", "child").agg(*sums), "children")
-            if children.isEmpty():
-                break
+        left, done = self.forms, []
+        while not left.isEmpty():
+            labelled = left.where((F.col("labelled") > 0) & (F.size("form") > F.col("level")))
+            ahead = F.expr("slice(form, level + 1, size(form))")
+            # what the least and the greatest of the forms share, all of them do
+            parts = self._keep(labelled.groupBy("host", "template", "level").agg(
+                *sums, F.min(ahead).alias("low"), F.max(ahead).alias("high"))
+                .where((F.col("labelled") > LEAST_LABELLED) & (F.col("bad") > 0)
+                       & (F.col("bad") < F.col("labelled")) & (F.col("low") != F.col("high")))
+                .select("host", "template",
+                        (F.col("level") + shared_levels("low", "high")).alias("at")), "parts")
+            child = F.get("form", F.col("at")).alias("child")
+            children = self._keep(labelled.join(parts, ["host", "template"]).select("*", child)
+                                  .where("child is not null")
+                                  .groupBy("host", "template", "child").agg(*sums), "children")
             parents = self._keep(children.groupBy("host", "template").agg(
                 *[F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")]), "parents")
             own = children.join(parents, ["host", "template"]).where(self._differs())
             own = self._keep(own.select("host", "template", "child", F.lit(True).alias("own")), "own")
-            grown = rows.join(own, ["host", "template", "child"], "left").select(
+            rows = left.join(parts, ["host", "template"], "left").select("*", child)
+            # a path holds no "?", so a template that is done is like no other
+            passed = F.concat("template", F.expr("repeat('/*', at - level)"), F.lit("/"))
+            grown = self._keep(rows.join(own, ["host", "template", "child"], "left").select(
                 "host", "form", "labelled", "bad",
-                F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat(
-                    "template", F.lit("/"), F.when(F.col("own"), F.col("child")).otherwise("*")))
-                .alias("template"))
-            self.forms = self._keep(grown, "forms")
-        return self.forms
+                F.when(F.col("child").isNull(), F.concat("template", F.lit("?"), F.size("form")))
+                .otherwise(F.concat(passed, F.when(F.col("own"), F.col("child")).otherwise("*")))
+                .alias("template"),
+                F.when(F.col("child").isNotNull(), F.col("at") + 1).alias("level")), "forms")
+            done.append(grown.where("level is null").drop("level"))
+            left = grown.where("level is not null")
+        return reduce(DataFrame.unionByName, done, self.forms.drop("level").limit(0))
 
     @staticmethod
     def _differs() -> Column:

@@ -1,6 +1,13 @@
 """Branches of the URL filter's tree that the given tables do not have."""
 
+import math
+import random
+from collections import defaultdict
+
+import pytest
+
 from ordermill.llm import urlfilter
+from ordermill.scratch import Scratch
 
 
 def verdicts(spark, pages):
@@ -24,3 +31,60 @@ def test_a_small_section_is_judged_by_its_own_labels(spark):
 def test_equal_shares_are_not_told_apart(spark):
     pages = [(f"http://host.test/{s}/{i}", 1) for s, n in (("a", 300), ("b", 3)) for i in range(n)]
     assert set(verdicts(spark, pages)) == {"block"}
+
+
+@pytest.mark.parametrize("levels", [6, 2_000])
+def test_sections_part_at_any_depth(spark, levels):
+    top = "http://host.test" + "/area" * levels
+    pages = [(f"{top}/{s}/{i}", bad) for s, bad in (("good", 0), ("bad", 1)) for i in range(30)]
+    found = verdicts(spark, [*pages, (f"{top}/good/30", None), (f"{top}/bad/30", None)])
+    assert found == ["allow"] * 30 + ["block"] * 30 + ["allow", "block"]
+
+
+def plain_tree(pages):
+    """Template of each form of one host, a level at a time without shortcuts."""
+    of = dict.fromkeys({form for form, _ in pages}, ())
+    for level in range(max(map(len, of))):
+        sums = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+        for form, bad in pages:
+            if len(form) > level and bad is not None:
+                sums[of[form]][form[level]][0] += 1
+                sums[of[form]][form[level]][1] += bad
+        new = {}
+        for form, template in of.items():
+            new[form] = template
+            if len(form) > level:
+                n, bad = sums[template][form[level]]
+                rest = sum(s[0] for s in sums[template].values()) - n
+                rest_bad = sum(s[1] for s in sums[template].values()) - bad
+                own = False
+                if n >= urlfilter.LEAST_LABELLED and rest:
+                    pooled, gap = (bad + rest_bad) / (n + rest), abs(bad / n - rest_bad / rest)
+                    error = math.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest))
+                    own = gap > 0 and gap >= urlfilter.LEAST_Z * error
+                new[form] = (*template, form[level] if own else "*")
+        of = new
+    return of
+
+
+def test_same_templates_as_a_plain_tree(spark):
+    draw, pages = random.Random(4), []
+    for host in range(6):
+        for _ in range(1_500):
+            form = tuple(draw.choices("ab", k=draw.choice((1, 2, 5, 9, 10))))
+            if host % 2:
+                form = ("x", "y", "z", *form)
+            share = 0.9 if form[-2:] == ("b", "b") or form[:2] == ("a", "b") else 0.1
+            pages.append((str(host), form, draw.choice((None, int(draw.random() < share)))))
+    table = spark.createDataFrame(pages, "host string, form array<string>, bad int")
+    grown = urlfilter.TemplateTree(table, Scratch(spark, "test")).grow().collect()
+    assert len(grown) == len({p[:2] for p in pages})
+    for host in {p[0] for p in pages}:
+        wanted, got = defaultdict(set), defaultdict(set)
+        for form, template in plain_tree([p[1:] for p in pages if p[0] == host]).items():
+            wanted[template].add(form)
+        for row in grown:
+            if row["host"] == host:
+                got[row["template"]].add(tuple(row["form"]))
+        assert len(wanted) > 10 and sorted(map(sorted, wanted.values())) == sorted(
+            map(sorted, got.values()))
