@@ -12,8 +12,9 @@ to the tasks, so its size is bounded, and no text is shuffled. One block is one
 the documents, or two with the count of its words.
 
 Defined results: a NULL text, an empty one, or one without words is never hit. A NULL item has no
-windows. Items with equal ids count as one item, a NULL id as none. Rows are judged one by
-one, so repeated rows each get the same result. Other columns of the input are not read.
+windows. Items with equal ids count as one item. Windows of a NULL id are hit like any others, but
+are not listed or counted as an item. Rows are judged one by one, so repeated rows each get the
+same result. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def item_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
                             names=["item", "window"])
 
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    return (rows.where("item is not null and text is not null")
+    return (rows.where("text is not null")
             .mapInArrow(cut, "item string, window array<long>").distinct())
 
 
@@ -194,7 +195,7 @@ def _search(block: Block, wide: bool):
                     begin = starts[of] - words.bounds[t]
                     row = words.first + int(t)
                     spans[0][row], spans[1][row] = _merged(begin, begin + sizes[of])
-                    spans[2][row] = sorted({i for k in of for i in ids[k]})
+                    spans[2][row] = sorted({i for k in of for i in ids[k]} - {None})
             out = pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_words), pa.array(spans[0], pa.list_(pa.int32())),
                  pa.array(spans[1], pa.list_(pa.int32())), pa.array(spans[2], pa.list_(pa.string()))],

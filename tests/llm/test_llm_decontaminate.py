@@ -69,3 +69,14 @@ def test_clean_documents_stay(spark, case):
     bench = spark.createDataFrame(items, "item_id long, text string")
     kept = sorted(r["doc_id"] for r in decontaminate.without_contaminated(docs, bench).collect())
     assert kept == [i for i, _, hit, _ in brute_force(texts, items) if not hit]
+
+
+@pytest.mark.parametrize("block_windows", [500_000, 1])
+def test_items_without_an_id_are_found_and_not_listed(spark, block_windows):
+    docs = spark.createDataFrame([(1, "so one two three"), (2, "four five"), (3, "one four")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")],
+                                  "item_id long, text string")
+    found = decontaminate.judge(docs, bench, block_windows=block_windows).collect()
+    assert sorted((r["row"]["doc_id"], r["n_hit"], r["items"], r["contaminated"])
+                  for r in found) == [(1, 3, [], True), (2, 2, ["7"], True), (3, 0, [], False)]
