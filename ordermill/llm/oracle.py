@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import urlfilter
+from . import secrets, urlfilter
 
 # Near-duplicates by brute force: shingles, all pairs that share one, links, reachability.
 NEAR_DUPLICATES = r"""
@@ -232,3 +232,73 @@ judged AS (
 SELECT page_id, host, path, {_rules("name")} AS rule, coalesce({_rules("verdict")},
     CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict
 FROM rows JOIN {last} USING (host, form) JOIN judged USING (host, template)"""
+
+
+def secret_scan() -> str:
+    """Matches are numbered, and their places are running sums of what lies between and in them."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def matches(name: str, table: str, column: str, kind: secrets.Kind) -> str:
+        pattern = quoted(kind.pattern)
+        return f"""{name} AS (
+            SELECT rid, {column} AS searched, regexp_extract_all({column}, {pattern}, 0) AS m,
+                regexp_extract_all({column}, {pattern}, {kind.group}) AS v,
+                string_split_regex({column}, {pattern}) AS g FROM {table})"""
+
+    def good(kind: secrets.Kind, value: str) -> str:
+        if kind is not secrets.KEY:
+            return f"len({value}) >= {kind.least}"
+        return (f"(len({value}) >= {kind.least}"
+                f" AND len(regexp_replace({value}, '[^0-9]', '', 'g')) >= {secrets.LEAST_DIGITS}"
+                f" AND len(regexp_replace({value}, '[^A-Za-z]', '', 'g')) >= {secrets.LEAST_LETTERS}"
+                f" AND len(list_distinct(string_split({value}, ''))) >= {secrets.LEAST_DIFFERENT})")
+
+    def places(name: str, number: int, kind: secrets.Kind) -> str:
+        return f"""
+            SELECT rid, {number} AS kind, ends - len(m) AS start, ends AS stop, md5(v) AS hash FROM (
+                SELECT rid, m, v, sum(len(g) + len(m)) OVER (PARTITION BY rid ORDER BY i) AS ends
+                FROM (SELECT rid, i, m[i] AS m, v[i] AS v, g[i] AS g
+                      FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM {name})))
+            WHERE {good(kind, "v")}"""
+
+    steps, left = [], "docs"
+    for kind in secrets.BASE_KINDS:
+        steps.append(matches(f"found_{kind.name}", "docs", "text", kind))
+        steps.append(matches(f"again_{kind.name}", left, "text", kind))
+        left = f"left_{kind.name}"
+        steps.append(f"""{left} AS (
+            SELECT rid, array_to_string(list_transform(range(1, len(g) + 1), lambda i: g[i] ||
+                CASE WHEN i > len(m) THEN '' WHEN {good(kind, "v[i]")} THEN repeat(' ', len(m[i]))
+                ELSE m[i] END), '') AS text FROM again_{kind.name})""")
+    steps.append(matches("found_key", left, "text", secrets.KEY))
+    kinds = (*secrets.BASE_KINDS, secrets.KEY)
+    each = " UNION ALL ".join(places(f"found_{k.name}", i, k) for i, k in enumerate(kinds))
+    names = "[" + ", ".join(quoted(k.name) for k in kinds) + "]"
+    text = f"{names}[kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT)"
+    counts = ", ".join(f"count(*) FILTER (kind = {i}) AS n_{k.name}"
+                       for i, k in enumerate(secrets.BASE_KINDS))
+    last = len(secrets.BASE_KINDS)
+    return f"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+{", ".join(steps)},
+found AS MATERIALIZED ({each}),
+owned AS (
+    SELECT hash, count(DISTINCT coalesce(source, chr(0))) AS owners,
+        count(DISTINCT (coalesce(source, chr(0)), coalesce(CAST(doc_id AS VARCHAR), ''))) AS repositories
+    FROM found JOIN docs USING (rid) GROUP BY hash),
+judged AS (
+    SELECT rid, kind, start, stop,
+        owners <= {secrets.MOST_OWNERS} AND repositories <= {secrets.MOST_REPOSITORIES} AS live
+    FROM found JOIN owned USING (hash)),
+lists AS (
+    SELECT rid, {counts},
+        coalesce(string_agg({text}, ',' ORDER BY start, kind) FILTER (kind < {last}), '') AS base,
+        string_agg({text}, ',' ORDER BY start, kind) AS spans, count(*) FILTER (live) AS n_live
+    FROM judged WHERE live OR kind < {last} GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k.name}, 0) AS n_{k.name}" for k in secrets.BASE_KINDS)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+    coalesce(n_live, 0) AS n_live
+FROM docs LEFT JOIN lists USING (rid)
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, langid, mixing, neardup, oracle, quality, sharding, tokencount,
-               toxicity, urlfilter, warc)
+from . import (decontaminate, langid, mixing, neardup, oracle, prefixtrie, quality, secrets,
+               sharding, tokencount, toxicity, urlfilter, warc, whitening)
 
 TOKENIZERS = "/opt/tokenizers"  # the folder of the vocabulary files
 
@@ -88,6 +88,30 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(_table(spark, folder, "pages"), bad)
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents"))
+
+    def of_kind(name: str):
+        return F.size(F.filter("findings", lambda f: f["kind"] == name)).cast("long")
+    base = secrets.span_list(F.col("findings"), base_only=True).cast("binary")
+    return found.select(
+        "doc_id", *[of_kind(k.name).alias(f"n_{k.name}") for k in secrets.BASE_KINDS],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.span_list(F.col("findings")).alias("spans"),
+        F.size(F.filter("findings", lambda f: f["live"])).cast("long").alias("n_live"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """``deviation`` is NULL where it has more than 64 bits."""
+    return whitening.whiten(_table(spark, folder, "embeddings")).select(
+        "vec_id", "component", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"),
+        "whitened", "explained", "identity_error")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.trie(_table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -100,11 +124,14 @@ def queries() -> dict[str, Query]:
         "op8_shards": op8_shards,
         "op9_quality_rules": op9_quality_rules,
         "op10_url_filter": op10_url_filter,
+        "op11_secrets": op11_secrets,
+        "op12_whitening": op12_whitening,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """Not for 3, 4, 6 (models, tokenizer) and 8 (CRC-32, seeded shuffle)."""
+    """Not for 3, 4, 6 (models, tokenizer), 8 (seeded shuffle), 12 (eigenvectors) and 13 (CRC-32)."""
     return {
         "op1_warc": oracle.WARC,
         "op2_near_duplicates": oracle.NEAR_DUPLICATES,
@@ -112,4 +139,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontaminate": oracle.DECONTAMINATE,
         "op9_quality_rules": oracle.QUALITY_RULES,
         "op10_url_filter": oracle.url_filter(),
+        "op11_secrets": oracle.secret_scan(),
     }
