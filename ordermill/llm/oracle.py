@@ -302,3 +302,48 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k.name}, 0) AS n_{k.name}" for k in secr
     coalesce(n_live, 0) AS n_live
 FROM docs LEFT JOIN lists USING (rid)
 """
+
+
+# Prefixes as texts, all nodes, and sums over the subtrees by the prefixes of each node's first member.
+PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS first,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 9 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+    SELECT c.conv_id, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.first AND t.place <= c.h
+    UNION ALL
+    SELECT conv_id, place, role, text FROM convs JOIN turns USING (conv_id) WHERE place > h),
+numbered AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS depth
+    FROM rebuilt),
+prefixes AS MATERIALIZED (
+    SELECT conv_id, depth, strlen(text) AS bytes, sha256(CAST(list({'r': role, 't': text})
+        OVER (PARTITION BY conv_id ORDER BY depth) AS VARCHAR)) AS node FROM numbered
+    UNION ALL SELECT conv_id, 0, 0, 'root' FROM convs),
+links AS (
+    SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS above,
+        lead(node) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS last FROM prefixes),
+nodes AS MATERIALIZED (
+    SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(above) AS above,
+        count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved, bool_and(last) AS leaf,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), ''))
+            AS ends_sha256
+    FROM links GROUP BY node),
+below AS (SELECT above AS node, count(*) AS n_children FROM nodes GROUP BY above),
+subtrees AS (
+    SELECT p.node, sum(CAST(leaf AS BIGINT)) AS n_leaves, sum(saved) AS saved_tokens
+    FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes u ON u.node = n.above LEFT JOIN below b ON b.node = n.node
+JOIN subtrees s ON s.node = n.node
+"""

@@ -131,7 +131,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Not for 3, 4, 6 (models, tokenizer), 8 (seeded shuffle), 12 (eigenvectors) and 13 (CRC-32)."""
+    """Not for 3, 4, 6 (models, tokenizer), 8 (seeded shuffle) and 12 (eigenvectors)."""
     return {
         "op1_warc": oracle.WARC,
         "op2_near_duplicates": oracle.NEAR_DUPLICATES,
@@ -140,4 +140,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_quality_rules": oracle.QUALITY_RULES,
         "op10_url_filter": oracle.url_filter(),
         "op11_secrets": oracle.secret_scan(),
+        "op13_prefix_trie": oracle.PREFIX_TRIE,
     }

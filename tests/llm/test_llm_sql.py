@@ -10,7 +10,7 @@ from ordermill.llm import queries
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, SQL = queries.queries(), queries.oracle_sql()
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN"}
 
