@@ -38,34 +38,38 @@ def without_missing(text: Column) -> Column:
     return F.when(~text.isin(MISSING_TOKENS), text)
 
 
-def value_kind(text: Column) -> Column:
-    """The position in KINDS."""
-    # Numbers start with a blank, a sign, a dot, a digit or the i of inf. This spares
-    # most texts the patterns.
-    first = F.ascii(text)
-    maybe_number = (first <= ord("9")) | first.isin(ord("i"), ord("I"))
-    digits = (F.length(text) > 18) & text.rlike(DIGITS)
-    fits = F.trim(text).try_cast("bigint").isNotNull()
-    exact = F.trim(text).try_cast("decimal(38,0)")
-    limit = F.lit(str(2 ** 64)).cast("decimal(38,0)")
-    unsigned = F.coalesce((exact >= 0) & (exact < limit), F.lit(False))
-    may_overflow = text.contains("e") | text.contains("E") | (F.length(text) > 300)
-    overflows = may_overflow & (F.abs(text.try_cast("double")) == float("inf"))
-    number = (F.when(text.rlike(SHORT_DIGITS), INTEGER)
-              .when(text.rlike(NUMBER),
-                    F.when(digits, F.when(fits, INTEGER).when(unsigned, WIDE_INTEGER)
-                           .otherwise(HUGE_INTEGER))
-                    .when(overflows, TEXT).otherwise(DECIMAL))
-              .otherwise(TEXT))
-    return (F.when(text.isNull() | text.isin(MISSING_TOKENS), MISSING)
-            .when(maybe_number, number)
-            .when(text.isin(TRUE_TOKENS + FALSE_TOKENS), BOOLEAN)
-            .otherwise(TEXT))
+def _texts(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+# Numbers start with a blank, a sign, a dot, a digit or the i of inf. This spares most texts the patterns.
+VALUE_KIND = f"""CASE
+    WHEN {{0}} IS NULL OR {{0}} IN ({_texts(MISSING_TOKENS)}) THEN {MISSING}
+    WHEN ascii({{0}}) <= ascii('9') OR ascii({{0}}) IN (ascii('i'), ascii('I')) THEN CASE
+        WHEN {{0}} RLIKE r'{SHORT_DIGITS}' THEN {INTEGER}
+        WHEN {{0}} RLIKE r'{NUMBER}' THEN CASE
+            WHEN length({{0}}) > 18 AND {{0}} RLIKE r'{DIGITS}' THEN CASE
+                WHEN try_cast(trim({{0}}) AS bigint) IS NOT NULL THEN {INTEGER}
+                WHEN try_cast(trim({{0}}) AS decimal(38,0)) >= 0
+                    AND try_cast(trim({{0}}) AS decimal(38,0)) < {2 ** 64}BD THEN {WIDE_INTEGER}
+                ELSE {HUGE_INTEGER} END
+            WHEN (contains({{0}}, 'e') OR contains({{0}}, 'E') OR length({{0}}) > 300)
+                AND abs(try_cast({{0}} AS double)) = double('inf') THEN {TEXT}
+            ELSE {DECIMAL} END
+        ELSE {TEXT} END
+    WHEN {{0}} IN ({_texts(TRUE_TOKENS + FALSE_TOKENS)}) THEN {BOOLEAN}
+    ELSE {TEXT} END"""
+
+
+def value_kind(text: str) -> Column:
+    """The position in KINDS of a column's value. One expression: built call by call, it would cost
+    more than counting a small table."""
+    return F.expr(VALUE_KIND.replace("{0}", text))
 
 
 def kind_counters(kind: str) -> list[Column]:
     """Counts of a column of kinds, named ``<column>_<kind>``."""
-    return [F.count_if(F.col(kind) == position).alias(f"{kind}_{name}")
+    return [F.expr(f"count_if({kind} = {position})").alias(f"{kind}_{name}")
             for position, name in enumerate(KINDS)]
 
 
@@ -75,7 +79,7 @@ def kind_counts(texts: DataFrame, columns: list[str]) -> DataFrame:
     One pass; a task sends on one row. The kind of a value is worked out once.
     """
     places = [f"c{i}" for i in range(len(columns))]
-    kinds = texts.select(*[value_kind(F.col(f"`{c}`")).alias(p) for c, p in zip(columns, places)])
+    kinds = texts.select(*[value_kind(f"`{c}`").alias(p) for c, p in zip(columns, places)])
     counted = kinds.agg(F.count(F.lit(1)).alias("rows"),
                         *[n for p in places for n in kind_counters(p)])
     return counted.select(F.inline(F.array(*[

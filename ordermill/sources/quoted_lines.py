@@ -1,16 +1,19 @@
 """Put together CSV records that run over several lines, without one task per file.
 
 Seen from quotes, a line takes the reader from one of two states, outside or inside a quoted
-field, to one of them. What a line does, a whole split of a file does too, so:
-
-1. each task sums up its splits as "from outside it ends …, from inside it ends …"; running over
-   the splits of a file, this says how each one starts, and in which split the record that
-   goes on there was begun;
-2. each task goes through its splits in order, as Arrow batches, and joins the lines of a
-   record. Only what is cut off by a split boundary, at most one piece at either end of a
-   split, is shuffled, by file and the split where the record was begun.
-
-The text itself is read twice and never shuffled.
+field, to one of them. What a line does, a whole split of a file does too, so each task reads its
+splits from both states at once, as Arrow batches, and joins the lines of a record. Both readings
+agree from the first line on that ends both outside of quotes; that is soon, so most records are put together once.
+Each record has a label, which says in which readings it is one.
+
+With the records a task gives a summary of each split: "from outside it ends …, from inside it ends
+…". Running over the splits of a file, this says how each one starts, hence which reading holds, in
+which split the record that goes on there was begun, and which record of a file is its first, the header.
+One pass over the text can so count what its records hold, for both readings, and one more makes the table.
+
+Only pieces of records that are cut off by a split boundary are moved, at most two for each reading
+of a split. Pieces above ``PIECE_BYTES`` are not, as an unlikely reading may take a whole split for one;
+those that turn out to be real are fetched by another pass.
 """
 
 from __future__ import annotations
@@ -38,9 +41,11 @@ BLANKS = " \t"
 OUT, TURN, KEEP, IN = 0, 1, 2, 3
 
 SPLIT = ["file", "block"]  # a split is known by the hash of its path and its offset
-WHOLE, HEAD, TAIL = 0, 1, 2
-SUMMARY = "file bigint, block bigint, effect int, leaves boolean"
-PIECES = "file bigint, block bigint, begun bigint, piece int, first boolean, record string"
+FROM_OUTSIDE, FROM_INSIDE, EITHER = 0, 1, 2  # labels: the readings in which a record is one
+WHOLE, HEAD, TAIL, SUMMARY = 0, 1, 2, 3      # what a row holds
+READ = "file bigint, block bigint, label int, sort int, first boolean, record string"
+PIECE_BYTES = 1 << 20      # of a cut record, moved before it is known to be one
+MOST_SPLITS = 4_000_000    # states that are broadcast: 25 bytes each
 
 
 def unquoted_part(text: Column) -> Column:
@@ -84,42 +89,27 @@ def _effects(spark: SparkSession, path: str) -> DataFrame:
         effect(F.col("value")).alias("effect"), "value")
 
 
-def records(spark: SparkSession, path: str, starts: DataFrame) -> DataFrame:
-    """Column ``record``, without headers and blank lines. ``starts``: written ``split_starts``.
+def both_readings(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """Records and pieces of them, labelled, and a summary of each split. Blank records are left out.
 
-    In a file that does not end inside quotes the pieces put together are those of one record.
+    ``first`` is the first record of its label and split that is not blank. Without ``whole`` there are
+    no other whole records.
     """
-    # A split missing from the starts would mean that the two scans were cut differently. The hint
-    # keeps the lines of a split in order, which a shuffle would not; one row of some 30 bytes per
-    # split is a four-millionth of the input at 128 MB a split.
-    unknown = F.raise_error("file splits differ between two scans of one extract")
-    placed = _effects(spark, path).join(F.broadcast(starts), SPLIT, "left").select(
-        *SPLIT, F.coalesce("begun", "block").alias("begun"),
-        F.coalesce("inside", unknown.cast("int")).alias("inside"), "effect", "value", "cut")
-
-    whole = placed.drop("cut").mapInArrow(lambda batches: _pieces(batches, cut=False), PIECES)
-    parts = F.array_sort(F.collect_list(F.struct("block", "piece", "record")))
-    cut = (placed.where("cut").drop("cut")
-           .mapInArrow(lambda batches: _pieces(batches, cut=True), PIECES)
-           .groupBy("file", "begun")
-           .agg(parts.alias("parts"), F.bool_or("first").alias("first"))
-           .select(F.array_join("parts.record", "\n").alias("record"), "first"))
-
-    record = F.regexp_replace("record", r"\r\z", "")
-    return (whole.select("record", "first").unionByName(cut).where("not first")
-            .select(record.alias("record")).where(~is_blank(F.col("record"))))
-
-
-def unclosed_files(starts: DataFrame) -> int:
-    """Files whose last split ends inside quotes."""
-    last = starts.groupBy("file").agg(F.max_by("ends_inside", "block").alias("open"))
-    return last.where("open").count()
-
-
-def split_starts(spark: SparkSession, path: str) -> DataFrame:
+    read = _effects(spark, path).mapInArrow(_read, READ)
+    record = F.when(F.col("sort").isin(WHOLE), F.regexp_replace("record", r"\r\z", "")).otherwise(
+        F.col("record"))
+    wanted = F.col("first") | (F.col("sort") != WHOLE)
+    if whole:
+        wanted = wanted | ~is_blank(F.col("record"))
+    return read.withColumn("record", record).where(wanted)
+
+
+def split_starts(summaries: DataFrame) -> DataFrame:
     """Per split: whether it starts inside quotes, the split where that record begins, and
-    whether a record is cut off at one of its ends. One row per split of the input."""
-    splits = _effects(spark, path).select(*SPLIT, "effect").mapInArrow(_summaries, SUMMARY)
+    whether it ends inside quotes. One row per split of the input.
+
+    ``summaries``: the rows of sort SUMMARY.
+    """
     by_place = Window.partitionBy("file").orderBy("block")
     until = by_place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = by_place.rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +118,9 @@ def split_starts(spark: SparkSession, path: str) -> DataFrame:
     effect = F.col("effect")
     turns = F.count_if(effect == TURN)
     settled = F.when(effect.isin(OUT, IN), (effect.bitwiseAND(1) + F.col("turns")) % 2)
-    splits = (splits.withColumn("turns", turns.over(until))
+    splits = (summaries.select(*SPLIT, F.substring("record", 1, 1).cast("int").alias("effect"),
+                               (F.substring("record", 2, 1) == "1").alias("leaves"))
+              .withColumn("turns", turns.over(until))
               .withColumn("settled", settled)
               .withColumn("inside", (
                   F.coalesce(F.last("settled", ignorenulls=True).over(earlier), F.lit(0))
@@ -141,7 +133,87 @@ def split_starts(spark: SparkSession, path: str) -> DataFrame:
     begins = ends_inside & (~inside | F.col("leaves"))
     begun = F.last(F.when(begins, F.col("block")), ignorenulls=True).over(earlier)
     return splits.select(*SPLIT, inside.cast("int").alias("inside"), begun.alias("begun"),
-                         ends_inside.alias("ends_inside"), (inside | ends_inside).alias("cut"))
+                         ends_inside.alias("ends_inside"))
+
+
+def counted(starts: DataFrame) -> tuple[int, int]:
+    """Splits, and files whose last split ends inside quotes."""
+    files = starts.groupBy("file").agg(F.max_by("ends_inside", "block").alias("open"),
+                                       F.count(F.lit(1)).alias("splits"))
+    found = files.agg(F.sum("splits").alias("splits"), F.count_if("open").alias("open")).first()
+    return found["splits"] or 0, found["open"]
+
+
+def true_rows(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """The rows of the reading that holds, with ``begun``."""
+    return (rows.join(starts.select(*SPLIT, "inside", "begun"), SPLIT)
+            .where((F.col("label") == EITHER) | (F.col("label") == F.col("inside"))).drop("inside"))
+
+
+def cut_records(spark: SparkSession, path: str, true: DataFrame) -> DataFrame:
+    """Records that a split boundary cuts, put together: file, begun, record.
+
+    In a file that does not end inside quotes the pieces put together are those of one record.
+    ``true``: written rows of the reading that holds.
+    """
+    pieces = true.where(F.col("sort").isin(HEAD, TAIL)).select(
+        *SPLIT, "label", "sort", "begun", "record")
+    missing = pieces.where("record is null")
+    n = missing.count()
+    if n:
+        # One pass for each MOST_SPLITS of them, whose places are broadcast.
+        groups = -(-n // MOST_SPLITS)
+        found = pieces.where("record is not null")
+        for group in range(groups):
+            wanted = missing.where(F.pmod(F.xxhash64(*SPLIT), F.lit(groups)) == group)
+            places = wanted.select(*SPLIT).distinct()
+            lines = _effects(spark, path).join(F.broadcast(places), SPLIT).select(
+                *SPLIT, "effect", "value")
+            fetched = lines.mapInArrow(lambda batches: _read(batches, None), READ).where(
+                F.col("sort").isin(HEAD, TAIL))
+            found = found.unionByName(wanted.drop("record").join(
+                fetched.select(*SPLIT, "label", "sort", "record"), [*SPLIT, "label", "sort"])
+                .select(*pieces.columns))
+        pieces = found
+    begun = F.when(F.col("sort") == HEAD, F.col("begun")).otherwise(F.col("block"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "record")))
+    return (pieces.groupBy("file", begun.alias("begun")).agg(parts.alias("parts"))
+            .select("file", "begun", F.regexp_replace(
+                F.array_join("parts.record", "\n"), r"\r\z", "").alias("record")))
+
+
+def headers(true: DataFrame, cut: DataFrame) -> DataFrame:
+    """The first record of each file that is not blank: file, block, label and record.
+
+    It is a whole record of its split, first those before both readings agree, or the cut one after
+    them, which has no label.
+    """
+    firsts = true.where("first").select(
+        "file", "block", F.when(F.col("label") == EITHER, 1).otherwise(0).alias("rank"), "label",
+        "record")
+    last = cut.select("file", F.col("begun").alias("block"), F.lit(2).alias("rank"),
+                      F.lit(None).cast("int").alias("label"), "record")
+    first = F.min_by(F.struct("block", "label", "record"), F.struct("block", "rank")).alias("first")
+    return firsts.unionAll(last).groupBy("file").agg(first).select("file", "first.*")
+
+
+def whole_records(spark: SparkSession, path: str, starts: DataFrame, header: DataFrame,
+                  splits: int) -> DataFrame:
+    """Column ``record``: the whole records of the reading that holds, without headers.
+
+    The states of the splits are joined to records, not to lines, so any join is right: up to
+    ``MOST_SPLITS`` of them are broadcast, beyond that Spark decides.
+    """
+    states = starts.select(*SPLIT, "inside").join(
+        header.where("label is not null").select(*SPLIT, F.col("label").alias("header")), SPLIT, "left")
+    # A split missing from the states would mean that the two scans were cut differently.
+    unknown = F.raise_error("file splits differ between two scans of one extract").cast("int")
+    rows = both_readings(spark, path).where(F.col("sort") == WHOLE).join(
+        F.broadcast(states) if splits <= MOST_SPLITS else states, SPLIT, "left")
+    inside = F.coalesce("inside", unknown)
+    is_header = F.col("first") & F.col("label").eqNullSafe(F.col("header"))
+    return rows.where(((F.col("label") == EITHER) | (F.col("label") == inside)) & ~is_header).select(
+        "record")
 
 
 def _states(start: int, effects: np.ndarray) -> np.ndarray:
@@ -164,95 +236,122 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int],
                 yield (int(files[start]), int(blocks[start])), batch.slice(start, end - start)
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per split of the task."""
-    splits: dict[tuple[int, int], tuple[int, int, bool]] = {}
-    for split, lines in _runs(batches):
-        effects = lines.column(2).to_numpy()
-        from_outside, from_inside, leaves = splits.get(split, (0, 1, False))
-        after = _states(from_inside, effects)
-        splits[split] = (int(_states(from_outside, effects)[-1]), int(after[-1]),
-                         leaves or not after.all())
-    rows = [(*split, o + 2 * i, leaves) for split, (o, i, leaves) in splits.items()]
-    schema = pa.schema([("file", pa.int64()), ("block", pa.int64()), ("effect", pa.int32()),
-                        ("leaves", pa.bool_())])
-    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], cut: bool) -> Iterator[pa.RecordBatch]:
-    """The whole records of the splits of the task, or the pieces of those that are cut off."""
+def _read(batches: Iterator[pa.RecordBatch],
+          piece_bytes: int | None = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Both readings of the splits of a task."""
     split: _Split | None = None
     for place, lines in _runs(batches):
         if split is None or split.place != place:
             if split is not None:
                 yield from split.close()
-            split = _Split(place, lines.column(2)[0].as_py(), lines.column(3)[0].as_py(), cut)
-        yield from split.take(lines.column(4).to_numpy(), lines.column(5))
+            split = _Split(place, piece_bytes)
+        yield from split.take(lines.column(2).to_numpy(), lines.column(3))
     if split is not None:
         yield from split.close()
 
 
 class _Split:
-    """The lines of one split: what is open, and whether the file's first record is past."""
+    """The lines of one split, read from outside and from inside quotes until both agree."""
 
-    def __init__(self, place: tuple[int, int], begun: int, inside: int, cut: bool):
-        self.place, self.begun, self.inside, self.cut = place, begun, inside, cut
-        self.open: list[pa.Array] = []  # lines of the record that is not yet complete
-        self.open_piece = HEAD if inside else TAIL
-        self.first = place[1] == 0
+    def __init__(self, place: tuple[int, int], piece_bytes: int | None):
+        self.place, self.states, self.leaves = place, [0, 1], False
+        self.readings = [_Reading(place, FROM_OUTSIDE, piece_bytes),
+                         _Reading(place, FROM_INSIDE, piece_bytes)]
+        self.agreed = _Reading(place, EITHER, piece_bytes)
 
     def take(self, effects: np.ndarray, lines: pa.Array) -> Iterator[pa.RecordBatch]:
-        after = _states(self.inside, effects)
-        self.inside = int(after[-1])
-        ends = np.flatnonzero(after == 0) + 1  # each is the end of a record
+        if len(self.states) == 2:
+            after = [_states(state, effects) for state in self.states]
+            self.leaves |= not after[1].all()
+            agree = np.flatnonzero((after[0] | after[1]) == 0)
+            upto = int(agree[0]) + 1 if len(agree) else len(lines)
+            for reading, states in zip(self.readings, after):
+                yield from reading.take(states[:upto], lines.slice(0, upto))
+            self.states = [0] if len(agree) else [int(a[-1]) for a in after]
+            effects, lines = effects[upto:], lines.slice(upto)
+        if len(lines):
+            after = _states(self.states[0], effects)
+            yield from self.agreed.take(after, lines)
+            self.states = [int(after[-1])]
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        """What is still open goes on in the next split, or ends with the file."""
+        for reading in (*self.readings, self.agreed):
+            yield from reading.close()
+        effect = self.states[0] + 2 * self.states[-1]
+        yield _rows(self.place, EITHER, SUMMARY, pa.array([f"{effect}{int(self.leaves)}"]))
+
+
+class _Reading:
+    """The records of a split when read from one state."""
+
+    def __init__(self, place: tuple[int, int], label: int, piece_bytes: int | None):
+        self.place, self.label, self.piece_bytes = place, label, piece_bytes
+        self.open: list[pa.Array] = []  # lines of the record that is not yet complete
+        self.open_bytes = 0
+        self.head = label == FROM_INSIDE  # what is open was begun in an earlier split
+        self.first = True
+
+    def take(self, after: np.ndarray, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        """``after``: the state after each line; each 0 is the end of a record."""
+        ends = np.flatnonzero(after == 0) + 1
         if not len(ends):
-            self.open.append(lines)
+            self._keep(lines)
             return
         done = 0
-        if self.open or self.open_piece == HEAD:
-            done = ends[0]
-            self.open.append(lines.slice(0, done))
-            yield from self._opened(HEAD if self.open_piece == HEAD else WHOLE)
+        if self.open or self.head:
+            done = int(ends[0])
+            self._keep(lines.slice(0, done))
+            yield self._opened(HEAD if self.head else WHOLE)
             ends = ends[1:]
         if len(ends):
             offsets = pa.array(np.concatenate([[done], ends]), pa.int32())
-            yield from self._joined(WHOLE, offsets, lines)
-            done = ends[-1]
+            yield self._whole(pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n"))
+            done = int(ends[-1])
         if done < len(lines):
-            self.open.append(lines.slice(done))
+            self._keep(lines.slice(done))
 
     def close(self) -> Iterator[pa.RecordBatch]:
-        """What is still open goes on in the next split, or ends with the file."""
         if self.open:
-            yield from self._opened(self.open_piece)
-
-    def _opened(self, piece: int) -> Iterator[pa.RecordBatch]:
-        lines = pa.chunked_array(self.open).combine_chunks()
-        self.open, self.open_piece = [], TAIL
-        yield from self._joined(piece, pa.array([0, len(lines)], pa.int32()), lines)
-
-    def _joined(self, piece: int, offsets: pa.Array, lines: pa.Array) -> Iterator[pa.RecordBatch]:
-        """The lines between offsets as records, if they are of the wanted sort."""
-        if self.first or (piece != WHOLE) == self.cut:
-            records = self._batch(piece, pc.binary_join(
-                pa.ListArray.from_arrays(offsets, lines), "\n"))
-            if (piece != WHOLE) == self.cut:
-                yield records
-
-    def _batch(self, piece: int, texts: pa.Array) -> pa.RecordBatch:
-        rows = len(texts)
-        first = np.zeros(rows, dtype=bool)
-        if self.first and piece != HEAD:
-            # The file's first record is its header; blank lines may stand before it.
+            yield self._opened(HEAD if self.head else TAIL)
+
+    def _too_long(self) -> bool:
+        return self.piece_bytes is not None and self.open_bytes > self.piece_bytes
+
+    def _keep(self, lines: pa.Array) -> None:
+        if not (self.head and self._too_long()):  # of a long head no more than a line is held
+            self.open.append(lines)
+            self.open_bytes += pc.sum(pc.binary_length(lines)).as_py() or 0
+            if self.head and self._too_long():
+                self.open = [lines.slice(0, 0)]
+
+    def _opened(self, sort: int) -> pa.RecordBatch:
+        if sort != WHOLE and self._too_long():
+            text = pa.array([None], pa.string())
+        else:
+            lines = pa.chunked_array(self.open).combine_chunks()
+            text = pc.binary_join(pa.ListArray.from_arrays(
+                pa.array([0, len(lines)], pa.int32()), lines), "\n")
+        self.open, self.open_bytes, self.head = [], 0, False
+        return self._whole(text) if sort == WHOLE else _rows(self.place, self.label, sort, text)
+
+    def _whole(self, texts: pa.Array) -> pa.RecordBatch:
+        first = np.zeros(len(texts), dtype=bool)
+        if self.first:  # blank lines may stand before a header
             filled = np.flatnonzero(pc.not_equal(pc.utf8_trim(texts, BLANKS + "\r"), "")
                                     .to_numpy(zero_copy_only=False))
             if len(filled):
                 first[filled[0]] = True
                 self.first = False
-        file, block = self.place
-        begun = self.begun if piece == HEAD else block
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(rows, file), pa.int64()), pa.array(np.full(rows, block), pa.int64()),
-             pa.array(np.full(rows, begun), pa.int64()), pa.array(np.full(rows, piece), pa.int32()),
-             pa.array(first), texts.cast(pa.string())],
-            names=["file", "block", "begun", "piece", "first", "record"])
+        return _rows(self.place, self.label, WHOLE, texts, first)
+
+
+def _rows(place: tuple[int, int], label: int, sort: int, texts: pa.Array,
+          first: np.ndarray | None = None) -> pa.RecordBatch:
+    n = len(texts)
+    first = np.zeros(n, dtype=bool) if first is None else first
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, place[0]), pa.int64()), pa.array(np.full(n, place[1]), pa.int64()),
+         pa.array(np.full(n, label), pa.int32()), pa.array(np.full(n, sort), pa.int32()),
+         pa.array(first), texts.cast(pa.string())],
+        names=["file", "block", "label", "sort", "first", "record"])

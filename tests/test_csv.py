@@ -182,6 +182,75 @@ def test_folder_with_another_column_order_is_refused(spark, tmp_path):
         typed_extract(spark, str(folder))
 
 
+HEADERS = {
+    "many_blank_lines": "\n" * 1_500 + '"a\nb",c\n1,2\n3,x\n',
+    "many_breaks": '"a' + "\n" * 1_500 + '",c\n1,2\n3,"x\ny"\n',
+    "crlf": '"a\r\nb",c\r\n1,2\r\n',
+    "quoted": '"a","b ""c"""\n1,"x\ny"\n',
+}
+
+
+@pytest.mark.parametrize("split_bytes", ["134217728", "97"])
+@pytest.mark.parametrize("case", HEADERS)
+def test_header_of_any_length(spark, tmp_path, monkeypatch_conf, case, split_bytes):
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
+    content = HEADERS[case]
+    check_like_pandas(spark, write(tmp_path, content), content)
+
+
+@pytest.mark.parametrize("split_bytes", ["134217728", "5"])
+@pytest.mark.parametrize("first, second", [
+    ('a,"b\nc",x,y\n1,2,3,4\n', 'a,"b\nd",y,x\n1,2,4,3\n'),
+    ('a,"b\nc"\n1,2\n', 'a,"b\nc",d\n1,2,3\n'),
+    ('a,b\n1,"x\ny"\n', 'b,a\n1,"x\ny"\n'),
+    ("a,b\n1,2\n", 'a,"b\n"\n1,2\n')])
+def test_folder_with_another_record_for_a_header_is_refused(spark, tmp_path, monkeypatch_conf, first,
+                                                            second, split_bytes):
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", split_bytes)
+    monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    write(folder, first, "part-0.csv")
+    write(folder, second, "part-1.csv")
+    with pytest.raises(MalformedExtract, match="another header"):
+        typed_extract(spark, str(folder))
+
+
+@pytest.mark.parametrize("rows", ["1,2\n", '1,"x\ny"\n'])
+def test_headers_are_compared_as_fields(spark, tmp_path, rows):
+    """Quotes around a name, blank lines and line ends make no other header."""
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    for i, header in enumerate(["a,b\n", '\n \n"a",b\n', 'a,"b"\r\n']):
+        write(folder, header + rows, f"part-{i}.csv")
+    write(folder, "\n\n", "part-9.csv")  # no record, no header
+    got = typed_extract(spark, str(folder))
+    assert got.table.columns == ["a", "b"] and got.rows == got.table.count() == 3
+
+
+def test_long_pieces_are_fetched(spark, tmp_path, monkeypatch_conf):
+    """Pieces above the bound are left out of the first pass; lines without quotes are not one."""
+    monkeypatch_conf("spark.sql.files.maxPartitionBytes", "700000")
+    monkeypatch_conf("spark.sql.files.openCostInBytes", "0")
+    long = "\n".join(f"line {i}" for i in range(400_000))
+    content = f'a,b\n1,"{long}"\n2,x\n' + "3,y\n" * 400_000 + f'4,"{long}"\n'
+    path = write(tmp_path, content)
+    got = typed_extract(spark, path)
+    assert got.rows == 400_003 and got.columns == 2
+    longest = got.table.where("length(b) > 1").collect()
+    assert sorted(r.a for r in longest) == [1, 4] and {r.b for r in longest} == {long}
+
+
+def test_quoted_file_is_read_twice(spark, tmp_path):
+    """One scan of the text for the counts of both readings, and one for the table."""
+    path = write(tmp_path, 'a,b\n1,"x\ny"\n2,z\n')
+    read = quoted_lines.both_readings(spark, path)
+    assert read._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    table = typed_extract(spark, path).table
+    assert table._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+
+
 def random_csv(seed, rows, stray=False):
     rng = random.Random(seed)
     bits = ["x", " ", ",", '""', "\n", "\n\n", "\r\n", "word", "1"]
