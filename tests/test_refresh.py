@@ -11,7 +11,9 @@ from ordermill.plans import refresh
 from ordermill.session import shared_dir
 from ordermill.sources import manifest
 from ordermill.sources.csv_extract import MalformedExtract
-from ordermill.sources.publish import builds, ensure_database, publish
+from ordermill.sources import publish as publishing
+from ordermill.sources.publish import (Releases, builds, complete, drop_abandoned, ensure_database,
+                                       publish, release, write_build)
 
 CSV = {
     manifest.CUSTOMERS: "customer_id,customer_unique_id,customer_city,customer_state,zip\n"
@@ -103,6 +105,107 @@ def test_failed_rule_leaves_the_old_table(spark, database, raw):
     assert table_rows(spark, f"{database}.fact_orders") == before
 
 
+def test_a_refused_fact_leaves_all_tables(spark, database, raw):
+    """Dimensions and staging tables stay those of the last release, and no build is left over."""
+    published = refresh.run_refresh(spark, str(raw), database)
+    before = {p.name: table_rows(spark, p.name) for p in published}
+    there = {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()}
+    (raw / manifest.SELLERS).write_text("seller_id,seller_city,seller_state\ns9,rio,RJ\n")
+    (raw / manifest.REVIEWS).write_text("order_id,review_score\no1,9\n")
+    with pytest.raises(QualityError):
+        refresh.run_refresh(spark, str(raw), database)
+    assert {p.name: table_rows(spark, p.name) for p in published} == before
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()} == there
+    assert len(Releases(spark, database).numbers()) == 1
+
+
+def test_a_rerun_completes_a_recorded_release(spark, database, raw, monkeypatch):
+    refresh.run_refresh(spark, str(raw), database)
+    (raw / manifest.SELLERS).write_text("seller_id,seller_city,seller_state\ns9,rio,RJ\n")
+    with monkeypatch.context() as dying:
+        def die(*_):
+            raise KeyboardInterrupt
+        dying.setattr(publishing, "_shown_build", die)  # after the record, before the first view
+        dying.setattr(refresh, "complete", lambda *_: None)
+        with pytest.raises(KeyboardInterrupt):
+            refresh.run_refresh(spark, str(raw), database)
+    assert "s1" in table_rows(spark, f"{database}.dim_sellers")[0]
+    complete(spark, database)
+    assert "s9" in table_rows(spark, f"{database}.dim_sellers")[0]
+    assert "s9" in table_rows(spark, f"{database}.stg_olist_sellers_dataset")[0]
+
+
+def test_two_publishers_of_one_table(spark, database, monkeypatch):
+    """The second one publishes after the first has read what is published."""
+    first = publish(spark.range(1), database, "t").build
+    made = []
+    last = Releases.last
+
+    def overtaken(self):
+        found = last(self)
+        if not made:
+            made.append(None)
+            made.append(publish(spark.range(2), database, "t").build)
+            made.append(publish(spark.range(7), database, "other").build)
+        return found
+    monkeypatch.setattr(Releases, "last", overtaken)
+    slow = publish(spark.range(3), database, "t").build
+    assert spark.table(f"{database}.t").count() == 3 and spark.table(f"{database}.other").count() == 7
+    assert builds(spark, database, "t") == sorted([made[1], slow])  # no orphan
+    assert first not in builds(spark, database, "t")
+
+
+def test_a_late_view_is_set_right(spark, database, monkeypatch):
+    """A publisher that is slow to set its view sees that another release came after its own."""
+    publish(spark.range(1), database, "t")
+    shown, made = publishing._shown_build, []
+
+    def overtaken(*place):
+        found = shown(*place)
+        if not made:
+            made.append(None)
+            publish(spark.range(9), database, "t")
+        return found
+    monkeypatch.setattr(publishing, "_shown_build", overtaken)
+    publish(spark.range(2), database, "t")
+    assert spark.table(f"{database}.t").count() == 9
+    assert len(builds(spark, database, "t")) == 2
+
+
+def test_publishers_at_once(spark, database):
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(6) as pool:
+        made = list(pool.map(lambda n: publish(spark.range(n), database, f"t{n % 2}"), range(1, 7)))
+    _, tables = Releases(spark, database).last()
+    for name in ("t0", "t1"):
+        assert len(builds(spark, database, name)) == 2
+        shown = next(p for p in made if p.build == tables[name]["build"])
+        assert spark.table(shown.name).count() == made.index(shown) + 1
+
+
+def test_abandoned_builds(spark, database):
+    published = publish(spark.range(3), database, "t")
+    left = write_build(spark.range(4), database, "t")
+    assert drop_abandoned(spark, database, "t") == []
+    assert drop_abandoned(spark, database, "t", seconds=0) == [left.build]
+    assert builds(spark, database, "t") == [published.build]
+    with pytest.raises(Exception, match="no such thing"):
+        publish(spark.range(3).selectExpr("raise_error('no such thing')"), database, "t")
+    assert builds(spark, database, "t") == [published.build]
+
+
+def test_a_release_is_made_once(spark, database):
+    log = Releases(spark, database)
+    assert log.last() == (0, {}) and log.add(1, {"t": {"build": "x", "before": ""}})
+    assert not log.add(1, {}) and log.last() == (1, {"t": {"build": "x", "before": ""}})
+    for number in range(2, 14):
+        assert log.add(number, {})
+    log.prune()
+    assert log.numbers() == list(range(4, 14))
+    release(spark, database, [])
+    assert log.last() == (14, {})
+
+
 def test_command_line(spark, database, raw, tmp_path, capsys):
     assert main([str(raw), database]) == 0
     out = capsys.readouterr().out
