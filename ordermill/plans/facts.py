@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import purchase_date
 from ..operators.branch_totals import COPIES, Branch, with_branch_totals
+from ..operators.exact_sum import exact_mean, exact_sum
 
 KEY = "order_id"
 ORDER_COLUMNS = [KEY, "customer_id", "order_status", "order_purchase_timestamp"]
@@ -18,7 +19,7 @@ def item_branch(items: DataFrame) -> Branch:
                         F.lit(1).alias("item_row"))
     return Branch(rows, [
         F.countDistinct("order_item_id").alias("items"),
-        F.sum("item_value").alias("order_value"),
+        exact_sum("item_value").alias("order_value"),
         F.count("item_row").alias("item_rows"),
     ])
 
@@ -26,7 +27,7 @@ def item_branch(items: DataFrame) -> Branch:
 def payment_branch(payments: DataFrame) -> Branch:
     rows = payments.select(KEY, "payment_value", F.lit(1).alias("payment_row"))
     return Branch(rows, [
-        F.sum("payment_value").alias("paid"),
+        exact_sum("payment_value").alias("paid"),
         F.count("payment_row").alias("payment_rows"),
     ])
 
@@ -35,7 +36,7 @@ def review_branch(reviews: DataFrame) -> Branch:
     rows = reviews.select(KEY, F.col("review_score").cast("double").alias("score"),
                           F.lit(1).alias("review_row"))
     return Branch(rows, [
-        F.avg("score").alias("mean_score"),
+        exact_mean("score").alias("mean_score"),
         F.count("review_row").alias("review_rows"),
     ])
 

@@ -1,0 +1,73 @@
+"""Sums of doubles against math.fsum, in any order of rows."""
+
+import math
+import random
+import struct
+
+from ordermill.operators.exact_sum import exact_mean, exact_sum
+from ordermill.plans import facts
+
+
+def bits(x):
+    return None if x is None else struct.pack("d", x)
+
+
+def groups():
+    rng = random.Random(4)
+    return {
+        "prices": [round(rng.uniform(0, 1e5), 2) for _ in range(5_000)],
+        "signs": [rng.uniform(-1e9, 1e9) for _ in range(3_000)],
+        "cancel": [x for _ in range(500) for x in (lambda v: (v, -v, 0.1))(rng.uniform(0, 2 ** 52))],
+        "large": [float(rng.randrange(2 ** 52, 2 ** 53)) for _ in range(2_000)],
+        "small": [rng.randrange(1, 2 ** 30) * 2.0 ** -52 for _ in range(1_000)],
+        "one": [0.1], "zero": [0.0, -0.0], "negative": [-0.1] * 10,
+        "none": [None, None], "some": [None, 1.5, None, 2.25],
+        "huge": [2.0 ** 60], "infinite": [1.0, math.inf, 2.0],
+    }
+
+
+def test_like_fsum_in_any_order(spark):
+    rows = [(name, v) for name, values in groups().items() for v in values]
+    found = []
+    for seed, parts in ((1, 1), (2, 7), (3, 64)):
+        random.Random(seed).shuffle(rows)
+        table = spark.createDataFrame(rows, "name string, v double").repartition(parts)
+        found.append({r["name"]: (r["total"], r["mean"]) for r in table.groupBy("name").agg(
+            exact_sum("v").alias("total"), exact_mean("v").alias("mean")).collect()})
+    for name, values in groups().items():
+        values = [v for v in values if v is not None]
+        want = math.fsum(values) if values else None
+        for got in found:
+            if name == "large":  # beyond 2**46 it is the same in any order, though not rounded once
+                assert math.isclose(got[name][0], want, rel_tol=1e-15)
+            else:
+                assert bits(got[name][0]) == bits(want) or want == got[name][0] == 0, name
+                assert got[name][1] == (want / len(values) if values else None)
+        assert len({bits(got[name][0]) for got in found}) == 1
+    nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double").agg(exact_sum("v"))
+    assert math.isnan(nan.first()[0])
+    tiny = spark.createDataFrame([(1e-30,), (1.0,), (2e-300,)], "v double").agg(exact_sum("v"))
+    assert tiny.first()[0] == 1.0
+
+
+def test_fact_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(6)
+    orders = [(i, i, "s", "2018-01-01 00:00:00") for i in range(50)]
+    items = [(rng.choice([0, rng.randrange(50)]), rng.randrange(9), rng.uniform(0, 1e4),
+              rng.uniform(0, 100)) for _ in range(4_000)]
+    payments = [(rng.choice([0, rng.randrange(50)]), rng.uniform(0, 1e4)) for _ in range(3_000)]
+    reviews = [(rng.randrange(50), rng.uniform(0, 5)) for _ in range(500)]
+    seen = set()
+    for seed in range(3):
+        for table in (orders, items, payments, reviews):
+            random.Random(seed).shuffle(table)
+        fact = facts.fact_orders(
+            spark.createDataFrame(orders, "order_id int, customer_id int, order_status string, "
+                                          "order_purchase_timestamp string"),
+            spark.createDataFrame(items, "order_id int, order_item_id int, price double, "
+                                         "freight_value double").repartition(seed + 1),
+            spark.createDataFrame(payments, "order_id int, payment_value double").repartition(5 - seed),
+            spark.createDataFrame(reviews, "order_id int, review_score double"))
+        seen.add(tuple(sorted((r["order_id"], bits(r["total_order_value"]), bits(r["total_payment_value"]),
+                               bits(r["avg_review_score"])) for r in fact.collect())))
+    assert len(seen) == 1
