@@ -7,13 +7,15 @@ most are exactly 0. A temperature fitted on examples that were not learned from
 probabilities.
 
 The document frequencies are counted over all labelled documents. The classifier is fitted on a
-bounded sample: of each language the ``PER_LANGUAGE`` labelled documents with the smallest id hash,
-``SAMPLE_ROWS`` in all, each reduced to the features of its whole text before it leaves its task.
+bounded sample: of each language the ``PER_LANGUAGE`` distinct labelled texts with the smallest hash,
+``SAMPLE_ROWS`` in all, each reduced to the features of its whole text before it leaves its task; of a
+text with more than ``MOST_FEATURES`` of them the most frequent ones (of equally frequent ones the first).
 Predictions read the text and nothing else, and texts of any length are read whole.
 
 Defined results: a NULL text, and one without a letter, is ``und`` with score 1; if nothing is
 labelled, every text is ``und`` with score 0. Ties go to the language first in code point order.
-Identical rows are learned from once. Other columns are not read.
+A text that is there many times is learned from once per language, and takes one place of the sample.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from .words import MIX_1, MIX_2, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,7 +43,7 @@ PIECE = 1 << 18          # characters looked at at a time
 FEW = 2_000              # n-grams that are sorted rather than tallied in a table
 PER_LANGUAGE = 1_500     # labelled documents per language that are learned from
 SAMPLE_ROWS = 12_000     # and in all
-FIT_CHARACTERS = 1 << 26  # characters of the sample's texts at most, so its features fit the driver
+MOST_FEATURES = 4_096    # of a text that is learned from: 8 bytes each come to the driver
 EPOCHS = 3
 ALPHA, BETA = 0.5, 1.0   # learning rate of FTRL
 L1, L2 = 0.01, 0.001     # elastic net
@@ -81,6 +84,13 @@ class Features:
                 yield (hashed >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def most_frequent(feature: np.ndarray, count: np.ndarray,
+                  most: int = MOST_FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent features in their order, of equally frequent ones the first."""
+    kept = np.sort(np.argsort(-count, kind="stable")[:most])
+    return feature[kept], count[kept]
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -183,7 +193,7 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             if has_letter(text):
-                feature, count = features.counts(text)
+                feature, count = most_frequent(*features.counts(text))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang]), pa.array([feature.astype(np.int32)], pa.list_(pa.int32())),
                      pa.array([count.astype(np.int32)], pa.list_(pa.int32()))],
@@ -205,28 +215,24 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
     frequency[feature[feature >= 0]] = n[feature >= 0]
     idf = np.log((1 + documents) / (1 + frequency)) + 1
 
-    # The sample: narrow rows are ranked, each task sends on no more than the best of a language.
-    # Hashes that cannot be among the smallest are left out before, so ranking is as small.
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(3), "doc_id", "text"), 11)
+    # The sample: hashes of texts are made distinct, combined before the shuffle, and ranked. Hashes
+    # that cannot be among the smallest are left out before, so a language's ranking is as small.
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(3), "text"), 11)
     placed = rows.withColumn("place", place)
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    texts = Scratch(labelled.sparkSession, "language").table(
+        placed.select("lang", "place").distinct(), "texts")
+    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
     bound = F.element_at(F.create_map(*[F.lit(v) for lang, n in sorted(sizes.items()) for v in (
         lang, int(min(1.0, 2 * PER_LANGUAGE / n) * (1 << 53)))]), F.col("lang"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
-    chosen = (placed.where(F.col("place") < bound)
-              .select("lang", "place", F.length("text").alias("characters"))
-              .withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
-              .orderBy("rank", "lang").limit(SAMPLE_ROWS).collect())
-    wanted, size = set(), 0
-    for row in chosen:
-        size += row["characters"]
-        if size > FIT_CHARACTERS and wanted:
-            break
-        wanted.add((row["place"], row["lang"]))
-    sample = labelled.sparkSession.createDataFrame(sorted(wanted), "place long, lang string")
-    # At most SAMPLE_ROWS hashes: a bounded broadcast. Identical rows are learned from once.
+    wanted = (texts.where(F.col("place") < bound).withColumn("rank", rank)
+              .where(F.col("rank") <= PER_LANGUAGE).orderBy("rank", "lang").limit(SAMPLE_ROWS)
+              .collect())
+    sample = labelled.sparkSession.createDataFrame(
+        sorted((r["place"], r["lang"]) for r in wanted), "place long, lang string")
+    # At most SAMPLE_ROWS hashes: a bounded broadcast. Each task sends on one copy of a text.
     texts = (placed.join(F.broadcast(sample), ["place", "lang"], "left_semi")
-             .groupBy("place", "lang").agg(F.first("text").alias("text")).select("lang", "text"))
+             .groupBy("place", "lang").agg(F.min("text").alias("text")).select("lang", "text"))
     found = texts.mapInArrow(_examples, "lang string, feature array<int>, n array<int>").toArrow()
     languages = sorted(set(found["lang"].to_pylist()))
     if not languages:
