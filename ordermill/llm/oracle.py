@@ -170,7 +170,7 @@ def _rules(value: str) -> str:
 
 
 def url_filter() -> str:
-    """The template tree with its levels written out."""
+    """The template tree, a level at a time, as deep as the paths are."""
     u = urlfilter
     # RE2 has no look-ahead: "followed by a dot or the end" is told by a group that stays.
     form = "seg"
@@ -182,56 +182,51 @@ def url_filter() -> str:
     form = (f"CASE WHEN regexp_matches({form}, '^[0-9a-fA-F]{{12,}}([.]|$)') AND regexp_matches("
             f"{form}, '^[a-fA-F]*[0-9]') THEN regexp_replace({form}, '^[0-9a-fA-F]+', '{{id}}') "
             f"ELSE {form} END")
-    ctes = [f"""raw AS (
+    return f"""
+WITH RECURSIVE raw AS (
     SELECT page_id, CASE WHEN instr(url, '://') > 0
         THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parsed AS (
     SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1),
         '{u.UPPER}', '{u.LOWER}') AS host,
         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM raw),
-cut AS (SELECT *, string_split(regexp_replace(path, '^/', ''), '/') AS segs FROM parsed),
 rows AS (
-    SELECT page_id, host, path, list_concat(
-        list_transform(list_slice(segs, 1, {u.DEPTH}), lambda seg: {form}),
-        CASE WHEN len(segs) > {u.DEPTH} THEN ['{{rest}}'] ELSE [] END) AS form FROM cut),
+    SELECT page_id, host, path, list_transform(
+        string_split(regexp_replace(path, '^/', ''), '/'), lambda seg: {form}) AS form FROM parsed),
 marks AS (
     SELECT doc_id AS page_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad
     FROM labels GROUP BY doc_id),
-t0 AS (
-    SELECT host, form, count(*) AS pages, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad,
-        '' AS template FROM rows LEFT JOIN marks USING (page_id) GROUP BY host, form)"""]
-    for d in range(u.DEPTH + 1):
-        ctes.append(f"""c{d} AS (
-    SELECT host, template, form[{d + 1}] AS child, sum(pages) AS pages, sum(labelled) AS l,
-        sum(bad) AS b FROM t{d} WHERE form[{d + 1}] IS NOT NULL GROUP BY ALL),
-p{d} AS (
-    SELECT *, sum(pages) OVER w AS ap, sum(l) OVER w AS al, sum(b) OVER w AS ab
-    FROM c{d} WINDOW w AS (PARTITION BY host, template)),
-o{d} AS (
-    SELECT host, template, child FROM p{d}
-    WHERE pages >= ap * {u.LEAST_SHARE}::DOUBLE AND l > 0 AND al > l AND ab > 0
-      AND abs(b / l - (ab - b) / (al - l)) >= {u.LEAST_Z}::DOUBLE * sqrt(
-          (ab / al) * (1 - ab / al) * (1 / l + 1 / (al - l)))),
-t{d + 1} AS (
-    SELECT t.host, form, pages, labelled, bad, CASE WHEN form[{d + 1}] IS NULL THEN t.template
-        ELSE t.template || '/' || coalesce(child, '*') END AS template
-    FROM t{d} t LEFT JOIN o{d} o ON o.host = t.host AND o.template = t.template
-        AND o.child = form[{d + 1}])""")
-    last = f"t{u.DEPTH + 1}"
-    ctes.append(f"""base AS (
-    SELECT coalesce(sum(bad), 0) / greatest(coalesce(sum(labelled), 0), 1) AS share FROM {last}),
+forms AS (
+    SELECT host, form, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
+    FROM rows LEFT JOIN marks USING (page_id) GROUP BY host, form),
+-- one level of all paths at a time, until none has a segment left
+tree AS (
+    SELECT host, form, labelled, bad, '' AS template, 0 AS level, false AS done FROM forms
+    UNION ALL
+    SELECT host, form, labelled, bad, CASE WHEN child IS NULL THEN template || '?' WHEN l >= {u.LEAST_LABELLED}
+            AND al > l AND abs(b / l - (ab - b) / (al - l)) > 0
+            AND abs(b / l - (ab - b) / (al - l)) >= {u.LEAST_Z}::DOUBLE * sqrt(
+                (ab / al) * (1 - ab / al) * (1 / l + 1 / (al - l)))
+        THEN template || '/' || child ELSE template || '/*' END, level + 1, child IS NULL
+    FROM (SELECT *, sum(labelled) OVER own AS l, sum(bad) OVER own AS b,
+              sum(labelled) FILTER (child IS NOT NULL) OVER parent AS al,
+              sum(bad) FILTER (child IS NOT NULL) OVER parent AS ab
+          FROM (SELECT *, form[level + 1] AS child FROM tree WHERE NOT done)
+          WINDOW own AS (PARTITION BY host, template, child), parent AS (PARTITION BY host, template))),
+last AS MATERIALIZED (SELECT * FROM tree WHERE done),
+base AS (
+    SELECT coalesce(sum(bad), 0) / greatest(coalesce(sum(labelled), 0), 1) AS share FROM last),
 hosts AS (
     SELECT host, (sum(bad) + any_value(share) * {u.SMOOTHING}::DOUBLE)
-        / (sum(labelled) + {u.SMOOTHING}::DOUBLE) AS share FROM {last}, base GROUP BY host),
+        / (sum(labelled) + {u.SMOOTHING}::DOUBLE) AS share FROM last, base GROUP BY host),
 judged AS (
     SELECT host, template, (sum(bad) + any_value(share) * {u.SMOOTHING}::DOUBLE)
         / (sum(labelled) + {u.SMOOTHING}::DOUBLE) > {u.MOST_BAD}::DOUBLE
         AND sum(labelled) >= {u.LEAST_LABELLED} AS rejected
-    FROM {last} JOIN hosts USING (host) GROUP BY host, template)""")
-    return f"""WITH {", ".join(ctes)}
+    FROM last JOIN hosts USING (host) GROUP BY host, template)
 SELECT page_id, host, path, {_rules("name")} AS rule, coalesce({_rules("verdict")},
     CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict
-FROM rows JOIN {last} USING (host, form) JOIN judged USING (host, template)"""
+FROM rows JOIN last USING (host, form) JOIN judged USING (host, template)"""
 
 
 def secret_scan() -> str:

@@ -1,9 +1,9 @@
 """URL filter: rules first, then a tree of path templates that is pruned by labelled pages.
 
-1. Segments that vary by their form (numbers, long hexadecimal or mixed ids) become wildcards in the
+1. Segments that vary by their form (numbers, dates, long hexadecimal ids) become wildcards in the
    row. Pages are then summed per host and form.
-2. Per host a tree is grown, a level at a time and as deep as the paths go. A child with ``LEAST_LABELLED`` labelled pages or more
-   stays a branch of its own if its share of bad ones differs from that of its siblings
+2. Per host a tree is grown, a level at a time and as deep as the paths go. A child with
+   ``LEAST_LABELLED`` labelled pages or more stays a branch of its own if its share of bad ones differs from that of its siblings
    (two-proportion z-test), however few of its parent's pages it has. Children that the test does
    not tell apart are merged into the wildcard. Levels that the labelled pages of a template share
    are passed in one step, and a template that no further test can part is done; its pages are
@@ -30,8 +30,6 @@ from pyspark.sql import functions as F
 from ..scratch import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 6               # of the SQL only: levels of the tree that are written out there
-LEAST_SHARE = 0.01      # of the SQL only: share of the parent's pages that a branch needs there
 LEAST_Z = 3.0           # difference of bad shares that keeps branches apart
 SMOOTHING = 5.0         # labelled pages that the prior share counts for
 MOST_BAD = 0.5

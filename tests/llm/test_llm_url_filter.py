@@ -88,3 +88,33 @@ def test_same_templates_as_a_plain_tree(spark):
                 got[row["template"]].add(tuple(row["form"]))
         assert len(wanted) > 10 and sorted(map(sorted, wanted.values())) == sorted(
             map(sorted, got.values()))
+
+
+def test_sql_is_the_rule_of_the_code(spark):
+    """Random deep trees, with small bad sections, few labels, and sections that are all bad or good."""
+    import random
+
+    import duckdb
+
+    from ordermill.llm import oracle
+    pick = random.Random(11)
+    pages, labels = [], []
+    for i in range(6_000):
+        host = f"h{pick.choice([0, 0, 0, 1, 2])}.org"
+        deep = [pick.choice("ab") for _ in range(pick.randrange(9))]
+        section = pick.choice(["x", "y", "z", "2020-01-01", "12", "*"])
+        bad = section == "x" if host == "h0.org" else deep[:3] == ["a", "b", "a"]
+        pages.append((i, f"http://{host}/{section}/{'/'.join(deep)}/{i}"))
+        if pick.random() < 0.5:
+            labels.append((i, int(not bad), int(pick.random() < 0.02)))
+    found = urlfilter.judge(
+        spark.createDataFrame(pages, "page_id long, url string"),
+        urlfilter.bad_pages(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))).collect()
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    duck.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER, toxic INTEGER)")
+    duck.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+    duck.executemany("INSERT INTO labels VALUES (?, ?, ?)", labels)
+    wanted = duck.execute(oracle.url_filter()).fetchall()
+    assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
+    assert 500 < sum(r["verdict"] == "block" for r in found) < 3_000
