@@ -8,20 +8,28 @@ until their sizes add up to the rest. Only SQL functions are used.
 
 A source may hold a third of all rows, so it is never sorted as a whole: keys fall into 4,096 ordered
 cells, sizes are summed per cell (combined before the shuffle), and only the cell in which the sum
-reaches the budget is sorted. That gives a greatest key per source, and then each row is decided
-by itself. The document on the border is taken if that brings the sum nearer to the target.
+reaches the budget is ordered, in parts. That gives a greatest key per source, and then each row is
+decided by itself. The document on the border is taken if that brings the sum nearer to the target.
 
-Defined results: a NULL text has size 0. NULL is a source like any other, after all others. u depends
-on the id and the text, so reruns agree, and identical rows are taken alike. Documents without a
-quality get weight 1. Other columns are not read.
+Rows that are equal in id, text and source are counted before anything is shuffled, and numbered; the
+number of a copy is part of its u, so each is decided by itself, and a document that is there very often
+still meets the target. Which of several equal rows gets which number makes no difference; where
+they differ in other columns, the order of their hashes decides.
+
+Defined results: a NULL text has size 0; texts of any length count whole. NULL is a source like any
+other, after all others. u depends on the id, the text and the number of the copy, so reruns agree.
+Documents without a quality get weight 1. Other columns are not read, and clash with no name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
+from .totals import with_totals
 
 BLANK = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -32,7 +40,8 @@ SEED = "mix-1"
 WEIGHTS = (3, 1, 2)    # of the sources in code point order, repeating
 GOOD, BAD = 2.0, 0.5   # quality weights of documents labelled 1 and 0
 
-ROW = ["doc_id", "text_md5"]
+ROW = ["doc_id", "text_md5", "source", "copy"]  # copies are numbered from 0
+BLOCK = 4096           # copies of a row that are numbered together
 
 
 def word_count(text: Column) -> Column:
@@ -41,14 +50,26 @@ def word_count(text: Column) -> Column:
     return F.when(bare == "", 0).otherwise(F.size(F.split(bare, BLANK))).cast("long")
 
 
-def uniform(doc_id: Column, text_md5: Column, seed: str = SEED) -> Column:
-    """A number above 0 and below 1 for each document, always the same."""
+def uniform(doc_id: Column, text_md5: Column, copy: Column, seed: str = SEED) -> Column:
+    """A number above 0 and below 1 for each document and copy of it, always the same."""
     name = F.concat_ws("|", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")),
-                       F.coalesce(text_md5, F.lit("")))
+                       F.coalesce(text_md5, F.lit("")), F.when(copy > 0, copy.cast("string")))
     bits = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("long")
     return (bits + 0.5) / float(1 << 52)
 
 
+def numbered_copies(counted: DataFrame) -> DataFrame:
+    """One row per copy of rows with ``copies``; those of a row with very many are dealt out."""
+    last = F.col("copies") - 1
+    blocks = counted.withColumn("block", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor(last / BLOCK))))
+    few, many = blocks.where(F.col("copies") <= BLOCK), blocks.where(F.col("copies") > BLOCK)
+    many = many.repartition("doc_id", "text_md5", "source", "block")
+    first = F.col("block") * BLOCK
+    return few.unionAll(many).withColumn("copy", F.explode(F.sequence(
+        first, F.least(first + BLOCK - 1, last)))).drop("block", "copies")
+
+
 def repeating_weights(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Weights by code point order of the source, NULL last; one row per source."""
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -66,6 +87,8 @@ class Mix:
         self.scratch = Scratch(documents.sparkSession, "mixing")
         rows = documents.select("doc_id", "source", F.md5("text").alias("text_md5"),
                                 word_count(F.col("text")).alias("size"))
+        rows = numbered_copies(rows.groupBy("doc_id", "source", "text_md5", "size").agg(
+            F.count(F.lit(1)).alias("copies")))
         if quality is None:
             rows = rows.withColumn("quality", F.lit(1.0))
         else:
@@ -73,10 +96,10 @@ class Mix:
                 F.avg("quality").alias("quality"))
             rows = rows.join(one, "doc_id", "left").withColumn(
                 "quality", F.coalesce("quality", F.lit(1.0)))
-        key = -F.log(uniform(F.col("doc_id"), F.col("text_md5"), seed)) / F.col("quality")
+        key = -F.log(uniform(F.col("doc_id"), F.col("text_md5"), F.col("copy"), seed)) / F.col("quality")
         cell = F.least(F.floor((1 - F.exp(-F.col("key"))) * CELLS), F.lit(CELLS - 1)).cast("int")
         self.rows = self.scratch.table(
-            rows.select(*ROW, "source", "size", key.alias("key")).withColumn("cell", cell), "rows")
+            rows.select(*ROW, "size", key.alias("key")).withColumn("cell", cell), "rows")
         sizes = self.scratch.table(
             self.rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes")
         if weights is None:
@@ -130,7 +153,10 @@ class Mix:
         inside = (self.rows.alias("r").join(
             last.alias("l"), F.expr("r.source <=> l.source and r.cell = l.cell"))
             .groupBy("l.source", "budget", "before", "key").agg(F.sum("size").alias("size")))
-        end = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key"))
+        # The cell of a large source may be large itself, so its sums are taken in parts.
+        inside = with_totals(inside, self.scratch, "inside", ["source"], [F.col("key")],
+                             {"upto": F.col("size")})
+        end = F.col("before") + F.col("upto")
         taken = ((F.col("end") <= F.col("budget"))
                  | (F.col("end") - F.col("budget")
                     < F.col("budget") - (F.col("end") - F.col("size"))))
@@ -150,7 +176,7 @@ class Mix:
             | ((F.col("cell") == F.col("last_cell"))
                & F.coalesce(F.col("key") <= F.col("last_key"), F.lit(False))))
         return rows.select(
-            *[f"r.{c}" for c in ROW], "r.source", "size", "source_size", "target",
+            *[f"r.{c}" for c in ROW], "size", "source_size", "target",
             (F.col("epochs") + F.when(sampled, 1).otherwise(0)).alias("copies"))
 
 
@@ -163,18 +189,26 @@ def quality_weights(labels: DataFrame, good: float = GOOD, bad: float = BAD) ->
 def shares(documents: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken words of every document."""
     decided = Mix(documents, quality, **options).decided()
-    return decided.withColumn("taken", F.col("size") * F.col("copies")).drop("text_md5")
+    return decided.withColumn("taken", F.col("size") * F.col("copies")).drop("text_md5", "copy")
 
 
 def mixed(documents: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken; all columns of the input."""
-    decided = Mix(documents, quality, **options).decided().where("copies > 0")
-    # identical rows are taken alike, so one decision serves them all
-    once = decided.groupBy(*ROW, "source").agg(F.first("copies").alias("copies"))
-    columns = documents.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    keyed = documents.select(row, "doc_id", "source", F.md5("text").alias("text_md5"))
-    same = F.expr("d.doc_id <=> m.doc_id and d.text_md5 <=> m.text_md5 and d.source <=> m.source")
-    return (keyed.alias("d").join(once.alias("m"), same)
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    mix = Mix(documents, quality, **options)
+    key = ["doc_id", "text_md5", "source"]
+    decided = mix.decided().where("copies > 0").select(*[F.col(c).alias(f"of_{c}") for c in ROW],
+                                                       F.col("copies").alias("times"))
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    keyed = documents.select(row, "doc_id", F.md5("text").alias("text_md5"), "source")
+
+    # Rows that are there once need no number. The others are numbered in the order of their hashes.
+    repeated = mix.rows.where("copy = 1").select(*[F.col(c).alias(f"of_{c}") for c in key])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key])
+    alone = keyed.join(repeated, same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    several = keyed.join(repeated, same, "left_semi").withColumn("hash", F.xxhash64("row"))
+    several = with_totals(several, mix.scratch, "several", key, [F.col("hash")],
+                          {"copy": F.lit(1).cast("long")}).withColumn("copy", F.col("copy") - 1)
+    numbered = alone.unionByName(several.drop("hash"))
+    return (numbered.join(decided, same & (F.col("copy") == F.col("of_copy")))
+            .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long"))))
             .select("row.*"))

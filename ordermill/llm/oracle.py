@@ -34,12 +34,15 @@ MIX_SOURCES = rf"""
 WITH weighed AS (
     SELECT doc_id, avg(CASE WHEN quality = 1 THEN 2.0::DOUBLE ELSE 0.5 END) AS quality
     FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id),
+-- copies of a row are numbered, and each has a key of its own
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, text, source) - 1 AS copy FROM documents),
 docs AS (
     SELECT d.doc_id, source, len({WORDS_OF}) AS size,
         -ln((('0x' || left(md5(concat_ws('|', 'mix-1', coalesce(CAST(d.doc_id AS VARCHAR), ''),
-             coalesce(md5(text), ''))), 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE)
-        / coalesce(quality, 1.0) AS key
-    FROM documents d LEFT JOIN weighed USING (doc_id)),
+             coalesce(md5(text), ''), CASE WHEN copy > 0 THEN CAST(copy AS VARCHAR) END)), 13))::BIGINT
+             + 0.5) / 4503599627370496.0::DOUBLE) / coalesce(quality, 1.0) AS key
+    FROM numbered d LEFT JOIN weighed USING (doc_id)),
 sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
@@ -63,7 +66,7 @@ split AS (
     SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
         target - CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END
             * source_size AS budget FROM targets),
--- the total of each key and all smaller ones, copies of a row together
+-- the total of each key and all smaller ones
 placed AS (
     SELECT d.*, source_size, target, epochs, budget,
         sum(size) OVER (PARTITION BY d.source ORDER BY key) AS upto,
