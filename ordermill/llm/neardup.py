@@ -16,8 +16,9 @@
    that size. Pairs are told within the task, so only those that are links, or may be in
    large sets, leave it, and only in the first band they share.
 
-A link of similarity 0.8 is missed by all 42 bands with a probability of about 3e-6, and by the
-estimate (three standard errors of margin) with one of about 1e-3 if no other link joins the two.
+A link of similarity 0.8 is missed by all 42 bands with a probability of about 3e-6. The estimate, and the
+fine sketch of a pair that is told by blocks, give a pair up five standard errors below the limit;
+each misses less than 1e-5 of links of exactly 0.8, and only a link that no other joins is lost.
 
 Defined results: NULL, empty and wordless texts have ``n_shingles`` 0 and are linked with nothing.
 Rows with equal sets are one class whatever their ids, repeated rows included. A NULL id takes
@@ -50,6 +51,7 @@ MANTISSA = 10      # bits of a register after the leading one
 ROUNDS = 1         # rounds of random partners before the rest is compared in blocks
 PARTNERS = (2, None)  # partners of an outsider in a component and block, round by round
 FINE = 512         # smallest hashes in a fine sketch
+MARGIN = 5         # standard errors of a sketch below the limit at which a pair is given up
 BLOCK = 512        # sketches compared at a time
 
 ROW = ["doc_id", "text_1", "text_2"]  # what tells documents apart: the id and the text's hash
@@ -174,9 +176,9 @@ class Estimate:
 
     @staticmethod
     def least(n: np.ndarray, m: np.ndarray, similar: int) -> np.ndarray:
-        """The estimate below which a pair is given up: three standard errors of margin."""
+        """The estimate below which a pair is given up: ``MARGIN`` standard errors below the limit."""
         s = similar / 100
-        return s - 3 * np.sqrt(s * (1 - s) / np.minimum(np.minimum(n, m), BUCKETS))
+        return s - MARGIN * np.sqrt(s * (1 - s) / np.minimum(np.minimum(n, m), BUCKETS))
 
 
 def _fits(n: Column, m: Column, similar: int) -> Column:
@@ -243,7 +245,7 @@ class Fine:
         union = (np.searchsorted(own, upto, "right")
                  + np.add.reduceat(within.astype(np.int64), starts) - common)
         s = similar / 100
-        margin = np.where(upto < 0xFFFFFFFF, 3 * np.sqrt(s * (1 - s) / np.maximum(union, 1)), 1e-9)
+        margin = np.where(upto < 0xFFFFFFFF, MARGIN * np.sqrt(s * (1 - s) / np.maximum(union, 1)), 1e-9)
         return common >= (s - margin) * union
 
 
