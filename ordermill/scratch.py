@@ -18,8 +18,9 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{shared_dir(spark)}/ordermill-{name}-{uuid.uuid4().hex}"
-        path, files = self._hadoop(self.folder)
+        path, files = self._hadoop(f"{shared_dir(spark)}/ordermill-{name}-{uuid.uuid4().hex}")
+        # With its scheme, so that whoever opens it without Spark takes the same file system.
+        self.folder = files.makeQualified(path).toString()
         files.mkdirs(path)
         files.deleteOnExit(path)
 
