@@ -162,7 +162,7 @@ class ArchiveWriter:
         self.size += len(data)
 
 
-def read_archive(stream: BinaryIO, chunk: int = 1 << 20) -> Iterator[bytes]:
+def read_archive(stream: BinaryIO, chunk: int = 1 << 16) -> Iterator[bytes]:
     """The records of an archive, one at a time."""
     start = stream.read(8)
     if not start:

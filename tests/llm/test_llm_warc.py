@@ -71,3 +71,11 @@ def test_revisits_refer_to_the_first_page(spark):
     for r in found:
         if r["page_id"] >= 1000 and r["payload_bytes"] >= 100:
             assert r["record_type"] == "revisit" and r["refers_to"] <= r["page_id"] - 1000
+
+
+def test_the_folder_names_its_file_system(spark):
+    """Tasks open archives without Spark, so a bare path would be each machine's own disk."""
+    from ordermill.scratch import Scratch
+    folder = Scratch(spark, "test").path("archives")
+    assert folder.startswith("file:/")
+    assert warc.store(folder)[1].startswith("/")
