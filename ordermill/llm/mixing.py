@@ -201,14 +201,17 @@ def mixed(documents: DataFrame, quality: DataFrame | None = None, **options) ->
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
     keyed = documents.select(row, "doc_id", F.md5("text").alias("text_md5"), "source")
 
-    # Rows that are there once need no number. The others are numbered in the order of their hashes.
-    repeated = mix.rows.where("copy = 1").select(*[F.col(c).alias(f"of_{c}") for c in key])
+    # Rows that are there once need no number. The others, told by a written table of known size, are
+    # numbered in the order of their hashes.
+    repeated = mix.scratch.table(mix.rows.where("copy = 1").select(
+        *[F.col(c).alias(f"of_{c}") for c in key]), "repeated")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key])
-    alone = keyed.join(repeated, same, "left_anti").withColumn("copy", F.lit(0).cast("long"))
-    several = keyed.join(repeated, same, "left_semi").withColumn("hash", F.xxhash64("row"))
-    several = with_totals(several, mix.scratch, "several", key, [F.col("hash")],
-                          {"copy": F.lit(1).cast("long")}).withColumn("copy", F.col("copy") - 1)
-    numbered = alone.unionByName(several.drop("hash"))
+    numbered = keyed.withColumn("copy", F.lit(0).cast("long"))
+    if not repeated.isEmpty():
+        several = keyed.join(repeated, same, "left_semi").withColumn("hash", F.xxhash64("row"))
+        several = with_totals(several, mix.scratch, "several", key, [F.col("hash")],
+                              {"copy": F.lit(1).cast("long")}).withColumn("copy", F.col("copy") - 1)
+        numbered = numbered.join(repeated, same, "left_anti").unionByName(several.drop("hash"))
     return (numbered.join(decided, same & (F.col("copy") == F.col("of_copy")))
             .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long"))))
             .select("row.*"))

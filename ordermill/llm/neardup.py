@@ -18,7 +18,8 @@
 
 A link of similarity 0.8 is missed by all 42 bands with a probability of about 3e-6. The estimate, and the
 fine sketch of a pair that is told by blocks, give a pair up five standard errors below the limit;
-each misses less than 1e-5 of links of exactly 0.8, and only a link that no other joins is lost.
+by the normal tail each misses some 3e-7 of links of exactly 0.8, and only a link that no other
+joins is lost.
 
 Defined results: NULL, empty and wordless texts have ``n_shingles`` 0 and are linked with nothing.
 Rows with equal sets are one class whatever their ids, repeated rows included. A NULL id takes
