@@ -1,21 +1,26 @@
 """Toxic passages: maximum-scoring segments over token log-odds.
 
-1. Words are hashed to 2**20 buckets; a bucket is counted once per document. Its score is the log-odds
-   of toxic against other documents with an informative Dirichlet prior, which has the shape of
-   the bucket's share of the whole corpus and the weight of all that is counted. Scores that
-   are not significant (z below 3) count as 0. Every word costs ``GAP``, so the expected score
-   of plain text is negative.
+1. A word, told by its 64-bit hash, is counted once per document. Its score is the log-odds of
+   toxic against other documents with an informative Dirichlet prior, which has the shape of the
+   word's share of the whole corpus (among the words learned from) and the weight of all that is
+   counted. Scores that are not significant count as 0. Every word costs ``GAP``, so the expected
+   score of plain text is negative. How significant a score must be is one of ``LEVELS``: that of
+   the least log loss on the labelled documents that were not counted (step 3).
 2. One scan finds all maximal scoring segments of a document (Ruzzo and Tompa), in time linear in
    its words.
 3. In plain text the number of segments of score S or more is about K * n * exp(-lambda * S) for n
-   words. lambda follows from the scores of words in other documents, K from their segments.
+   words. lambda follows from the scores of words in other documents, K from the segments of others
+   that were not counted.
    So a segment has an expected number E of such segments by chance; those with E below
    ``SIGNIFICANT`` are passages. Their -log E, the best and the sum, go through a logistic
    curve that is fitted on documents that were not counted in step 1.
 
 Counts for the prior are taken over all documents. Labels are learned from a bounded sample: the
 ``PER_CLASS`` labelled documents of either class with the smallest hash, with their whole texts;
-the curve's weights restore the classes' proportions. A score depends on the text alone.
+the curve's weights restore the classes' proportions. Words are counted and tested in Spark: only the
+significant ones come to the driver, 32 bytes each, and of the documents of the curve their evidence
+only, however long they are. A text of any length is read whole; a task holds one such text and
+its words. A score depends on the text alone.
 
 Defined results: a NULL, empty or wordless text has no passage and gets the score of such texts. If a
 class has no labelled document, every score is 0. Of several rows with one id one is learned from, that
@@ -32,7 +37,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import Scratch
@@ -40,9 +45,8 @@ from .words import ALPHANUMERIC, WordHasher
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BITS = 20
 PRIOR = 1.0          # weight of the prior, as a share of what is counted
-LEAST_Z = 3.0        # significance from which on a bucket's log-odds count
+LEVELS = (3.0, 2.5, 2.0, 1.5)  # significance (z) from which on a word's log-odds may count
 GAP = 0.25           # cost of every word
 MOST_SCORE = 8.0
 PER_CLASS = 20_000   # labelled documents of each class that are learned from
@@ -50,7 +54,10 @@ CURVE = 4            # a fourth of them, by hash, is left for the curve
 SIGNIFICANT = 0.05   # expected segments by chance below which a segment is a passage
 MOST_EVIDENCE = 100.0
 
-FOUND = "words long, starts array<int>, ends array<int>, scores array<double>"
+COUNTED = 1 << 20    # counts that a task gathers before it combines them
+PREFIX = 16          # leading bits of a hash by which most words are told not to be significant
+
+FOUND = "words long, starts array<int>, ends array<int>, scores array<double>, level int"
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -82,11 +89,25 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 @dataclass
 class Model:
-    scores: np.ndarray                 # by bucket, without the cost of a word
+    words: np.ndarray                  # hashes of the significant words, sorted
+    scores: np.ndarray                 # of these, without the cost of a word
     rate: float = 1.0                  # lambda
     scale: float = 1.0                 # K
     curve: np.ndarray = field(default_factory=lambda: np.zeros(3))
 
+    def __post_init__(self):
+        self.known = np.zeros(1 << PREFIX, bool)
+        self.known[self.words >> np.uint64(64 - PREFIX)] = True
+
+    def score(self, hashes: np.ndarray) -> np.ndarray:
+        """The scores of words, less their cost."""
+        out = np.full(len(hashes), -GAP)
+        if len(self.words):
+            at = np.flatnonzero(self.known[hashes >> np.uint64(64 - PREFIX)])
+            place = np.minimum(np.searchsorted(self.words, hashes[at]), len(self.words) - 1)
+            out[at] += np.where(self.words[place] == hashes[at], self.scores[place], 0.0)
+        return out
+
     def evidence(self, words: int, found: list[float]) -> tuple[float, float, list[float]]:
         """The best and the sum of -log E over passages, and E of each segment."""
         expected = [min(self.scale * max(words, 1) * float(np.exp(-self.rate * s)), 1e9)
@@ -100,17 +121,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def log_odds(toxic: np.ndarray, other: np.ndarray, corpus: np.ndarray) -> np.ndarray:
-    """Log-odds with a Dirichlet prior of the corpus' shape; 0 where it is not significant."""
-    n1, n0 = toxic.sum(), other.sum()
-    strength = PRIOR * (n1 + n0)
-    prior = strength * (corpus + toxic + other + 0.01) / (corpus + toxic + other + 0.01).sum()
-    a, b = toxic + prior, other + prior
-    odds = np.log(a / (n1 + strength - a)) - np.log(b / (n0 + strength - b))
-    z = odds / np.sqrt(1 / a + 1 / b)
-    return np.where(np.abs(z) >= LEAST_Z, np.clip(odds, -MOST_SCORE, MOST_SCORE), 0.0)
-
-
 def decay(scores: np.ndarray, frequency: np.ndarray) -> float:
     """The positive lambda at which the mean of exp(lambda * score) is 1."""
     values, where = np.unique(np.round(scores, 2), return_inverse=True)
@@ -142,72 +152,144 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+NOTHING = Model(np.empty(0, np.uint64), np.empty(0))
+
+
 # --- over tables -----------------------------------------------------------------------
 
-def buckets(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+def _combined(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(classes, words, counts) of parts, with one place per class and word."""
+    kind, word, n = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((word, kind))
+    kind, word, n = kind[order], word[order], n[order]
+    first = np.flatnonzero(np.concatenate(
+        [[True], (kind[1:] != kind[:-1]) | (word[1:] != word[:-1])]))
+    return kind[first], word[first], np.add.reduceat(n, first)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, bucket, n) of rows (class, text): texts that have a word of the bucket.
+    """(class, word, n) of rows (class, text): texts that have the word.
 
-    One row per class, bucket and task. A word counts once per text: its repeats are no evidence of
-    their own.
+    A word counts once per text: its repeats are no evidence of their own. Counts are combined in the
+    task, and leave it early if there are too many.
     """
-    hasher, totals = WordHasher(ALPHANUMERIC), {}
+    def batch_of(counts: tuple) -> pa.RecordBatch:
+        kind, word, n = counts
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.int32()), pa.array(word.view(np.int64)), pa.array(n, pa.int64())],
+            names=["class", "word", "n"])
+
+    hasher, parts, held = WordHasher(ALPHANUMERIC), [], 0
     for batch in batches:
         classes = batch.column(0).to_numpy(zero_copy_only=False)
         for words in hasher.slices(batch.column(1)):
-            each = np.unique((words.owner() << BITS) | buckets(words.hashes))
-            of = classes[words.first:words.first + words.texts()][each >> BITS]
-            bucket = each & ((1 << BITS) - 1)
-            for name in np.unique(of).tolist():
-                total = totals.setdefault(name, np.zeros(1 << BITS, np.int64))
-                total += np.bincount(bucket[of == name], minlength=1 << BITS)
-    for name, total in totals.items():
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(found), name, np.int32)), pa.array(found.astype(np.int32)),
-             pa.array(total[found])], names=["class", "bucket", "n"])
-
-
-def _counts(rows: DataFrame) -> dict[int, np.ndarray]:
-    """Counts per class and bucket: at most 2**BITS numbers per class come to the driver."""
-    found = (rows.mapInArrow(_word_counts, "class int, bucket int, n long")
-             .groupBy("class", "bucket").agg(F.sum("n").alias("n")).toArrow())
-    kind, bucket, n = (np.asarray(found[c]) for c in ("class", "bucket", "n"))
-    out = {}
-    for name in np.unique(kind).tolist():
-        out[name] = np.zeros(1 << BITS)
-        out[name][bucket[kind == name]] = n[kind == name]
-    return out
-
-
-def _segments(model: Model):
-    """Adds FOUND to rows whose last column is the text, which goes."""
-    table = (model.scores - GAP).astype(np.float32)
-
+            if not len(words.hashes):
+                continue
+            values, which = np.unique(words.hashes, return_inverse=True)
+            each = np.unique(words.owner() * len(values) + which)
+            kind = classes[words.first + each // len(values)].astype(np.int32)
+            part = _combined([(kind, values[each % len(values)], np.ones(len(each), np.int64))])
+            parts.append(part)
+            held += len(part[0])
+            if held > COUNTED:
+                parts = [_combined(parts)]
+                held = len(parts[0][0])
+                if held > COUNTED // 2:
+                    yield batch_of(parts[0])
+                    parts, held = [], 0
+    if parts:
+        yield batch_of(_combined(parts))
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    return rows.mapInArrow(_word_counts, "class int, word long, n long")
+
+
+def word_odds(counted: DataFrame, documents: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """word, toxic, other, odds and z of all words of ``counted`` (class, text).
+
+    ``toxic`` and ``other`` are the texts of either class that have the word. None if a
+    class has no word.
+    """
+    def of(kind: int) -> Column:
+        return F.sum(F.when(F.col("class") == kind, F.col("n")).otherwise(0))
+    seen = scratch.table(_counts(counted).groupBy("word").agg(
+        of(1).alias("toxic"), of(0).alias("other")), "seen")
+    corpus = (_counts(documents.select(F.lit(0).alias("class"), "text"))
+              .join(seen.select("word"), "word").groupBy("word").agg(F.sum("n").alias("corpus")))
+    words = scratch.table(
+        seen.join(corpus, "word", "left").select(
+            "word", "toxic", "other",
+            (F.coalesce("corpus", F.lit(0)) + F.col("toxic") + F.col("other")).alias("all")), "words")
+    n1, n0, total = words.agg(F.sum("toxic"), F.sum("other"), F.sum("all")).first()
+    if not n1 or not n0:
+        return None
+    strength = PRIOR * (n1 + n0)
+    prior = F.lit(strength) * F.col("all") / F.lit(total)
+    a, b = F.col("a"), F.col("b")
+    # strength is above the prior of a word, unless it is the only one
+    odds = F.log(a / F.greatest(n1 + strength - a, F.lit(1e-9))) - F.log(
+        b / F.greatest(n0 + strength - b, F.lit(1e-9)))
+    return (words.select("word", "toxic", "other", (F.col("toxic") + prior).alias("a"),
+                         (F.col("other") + prior).alias("b"))
+            .withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / a + 1 / b)))
+
+
+def _models(odds: DataFrame) -> list[Model]:
+    """A model without K and curve for each of ``LEVELS``."""
+    plain = odds.agg(F.sum("other")).first()[0]
+    found = (odds.where(F.abs("z") >= min(LEVELS)).select("word", "other", "odds", "z").toArrow())
+    word, other, score, z = (np.asarray(found[c]) for c in ("word", "other", "odds", "z"))
+    order = np.argsort(word.view(np.uint64))
+    word, other, z = word.view(np.uint64)[order], other[order], z[order]
+    score = np.clip(score[order], -MOST_SCORE, MOST_SCORE)
+    models = []
+    for level in LEVELS:
+        good = np.abs(z) >= level
+        rest = plain - other[good].sum()
+        rate = decay(np.append(score[good], 0.0) - GAP, np.append(other[good], rest) + 0.01)
+        models.append(Model(word[good], score[good], rate))
+    return models
+
+
+def _segments(models: list[Model]):
+    """Adds FOUND to rows whose last column is the text, which goes; one row for each model."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(ALPHANUMERIC)
         for batch in batches:
             n = batch.num_rows
-            n_words, found = np.zeros(n, np.int64), [[] for _ in range(n)]
+            n_words, found = np.zeros(n, np.int64), [[[] for _ in range(n)] for _ in models]
             for words in hasher.slices(batch.column(batch.num_columns - 1)):
                 n_words[words.first:words.first + words.texts()] = np.diff(words.bounds)
-                scores = table[buckets(words.hashes)]
-                owner = np.searchsorted(words.bounds, np.flatnonzero(scores > 0), "right") - 1
-                for t in np.unique(owner).tolist():
-                    found[words.first + t] = segments(
-                        scores[words.bounds[t]:words.bounds[t + 1]].astype(np.float64))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(n_words),
-                 pa.array([[s[0] for s in f] for f in found], pa.list_(pa.int32())),
-                 pa.array([[s[1] for s in f] for f in found], pa.list_(pa.int32())),
-                 pa.array([[s[2] for s in f] for f in found], pa.list_(pa.float64()))],
-                names=[*batch.schema.names[:-1], "words", "starts", "ends", "scores"])
+                for level, model in enumerate(models):
+                    scores = model.score(words.hashes)
+                    owner = np.searchsorted(words.bounds, np.flatnonzero(scores > 0), "right") - 1
+                    for t in np.unique(owner).tolist():
+                        found[level][words.first + t] = segments(
+                            scores[words.bounds[t]:words.bounds[t + 1]])
+            for level, lists in enumerate(found):
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.array(n_words),
+                     pa.array([[s[0] for s in f] for f in lists], pa.list_(pa.int32())),
+                     pa.array([[s[1] for s in f] for f in lists], pa.list_(pa.int32())),
+                     pa.array([[s[2] for s in f] for f in lists], pa.list_(pa.float64())),
+                     pa.array(np.full(n, level, np.int32))],
+                    names=[*batch.schema.names[:-1], "words", "starts", "ends", "scores", "level"])
     return find
 
 
+def _evidence(models: list[Model]):
+    """(class, level, best, total) of rows (class, level, words, scores)."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [models[level].evidence(words, scores)[:2] for level, words, scores in zip(
+                *(batch.column(c).to_pylist() for c in (1, 2, 3)))]
+            best, total = (pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), best, total],
+                                             names=["class", "level", "best", "total"])
+    return weigh
+
+
 def _sample(documents: DataFrame, labels: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
     """(class, part, text) of the labelled documents to learn from, and the size of each class.
 
@@ -236,29 +318,39 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     """``labels``: doc_id and toxic (0 or 1) to learn from; ``documents``: the whole corpus."""
     scratch = Scratch(documents.sparkSession, "toxicity")
     sample, sizes = _sample(documents, labels, scratch)
-    counted = _counts(sample.where("not for_curve").select("class", "text"))
-    if not counted.get(0, np.zeros(1)).any() or not counted.get(1, np.zeros(1)).any():
+    odds = word_odds(sample.where("not for_curve").select("class", "text"), documents, scratch)
+    if odds is None:
         return None
-    corpus = _counts(documents.select(F.lit(0).alias("class"), "text")).get(0, 0)
-    model = Model(log_odds(counted[1], counted[0], corpus))
-    model.rate = decay(model.scores - GAP, counted[0] + 0.01)
+    models = _models(odds)
+    fresh = sample.where("for_curve")
+    found = scratch.table(
+        (sample if fresh.isEmpty() else fresh).select("class", "text").mapInArrow(
+            _segments(models), f"class int, {FOUND}").drop("starts", "ends"), "segments")
 
-    found = sample.select("class", "for_curve", "text").mapInArrow(
-        _segments(model), f"class int, for_curve boolean, {FOUND}").toArrow().to_pylist()
     # K from segments of plain documents: as many as are expected of a moderate score or more.
-    plain = [r for r in found if r["class"] == 0]
-    bound = 2.0 / model.rate
-    many = sum(s >= bound for r in plain for s in r["scores"]) + 0.5
-    model.scale = many / (max(sum(r["words"] for r in plain), 1) * np.exp(-model.rate * bound))
-
-    curve = [r for r in found if r["for_curve"]] or found
-    evidence = np.array([model.evidence(r["words"], r["scores"])[:2] for r in curve])
-    label = np.array([r["class"] for r in curve], float)
-    have = np.bincount(label.astype(int), minlength=2)
-    weight = np.array([sizes[r["class"]] / max(have[r["class"]], 1) for r in curve])
-    x = np.stack([np.ones(len(curve)), evidence[:, 0], np.log1p(evidence[:, 1])], axis=1)
-    model.curve = logistic(x, label, weight / weight.mean())
-    return model
+    bounds = F.array(*[F.lit(2.0 / m.rate) for m in models])
+    strong = F.size(F.filter("scores", lambda s: s >= bounds[F.col("level")]))
+    for r in found.where("class = 0").groupBy("level").agg(
+            F.sum("words").alias("words"), F.sum(strong).alias("strong")).collect():
+        # exp(-rate * bound) is exp(-2)
+        models[r["level"]].scale = (r["strong"] + 0.5) / (max(r["words"], 1) * np.exp(-2.0))
+
+    curve = (found.select("class", "level", "words", "scores")
+             .mapInArrow(_evidence(models), "class int, level int, best double, total double")
+             .groupBy("level", "class", "best", "total").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy("level", "class", "best", "total").toPandas())
+    losses = []
+    for level, model in enumerate(models):
+        rows = curve[curve.level == level]
+        label, n = rows["class"].to_numpy(float), rows.n.to_numpy(float)
+        have = np.bincount(rows["class"], weights=n, minlength=2)
+        weight = n * np.array([sizes[c] / have[c] for c in rows["class"]])
+        weight *= n.sum() / weight.sum()
+        x = np.stack([np.ones(len(rows)), rows.best, np.log1p(rows.total)], axis=1)
+        model.curve = logistic(x, label, weight)
+        margin = np.clip(x @ model.curve, -30, 30)
+        losses.append((weight * (np.logaddexp(0, margin) - label * margin)).sum())
+    return models[int(np.argmin(losses))]  # the strictest of equals
 
 
 def score(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -269,9 +361,9 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
                          ("expected", pa.float64())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _segments(model or Model(np.zeros(1 << BITS)))(batches):
+        for batch in _segments([model or NOTHING])(batches):
             probabilities, passages = [], []
-            for row in zip(*(c.to_pylist() for c in batch.columns[1:])):
+            for row in zip(*(c.to_pylist() for c in batch.columns[1:5])):
                 words, starts, ends, scores = row
                 if model is None:
                     probabilities.append(0.0)
