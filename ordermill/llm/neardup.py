@@ -54,6 +54,7 @@ PARTNERS = (2, None)  # partners of an outsider in a component and block, round
 FINE = 512         # smallest hashes in a fine sketch
 MARGIN = 5         # standard errors of a sketch below the limit at which a pair is given up
 BLOCK = 512        # sketches compared at a time
+COLUMNS = 4096     # shingle hashes of a block that are counted at a time
 
 ROW = ["doc_id", "text_1", "text_2"]  # what tells documents apart: the id and the text's hash
 SKETCH = ("doc_id long, text_1 long, text_2 long, n long, set_1 long, set_2 long, "
@@ -228,23 +229,47 @@ class Fine:
         # up to this hash the sketch is complete
         self.upto = np.array([p[-1] if size > FINE else 0xFFFFFFFF
                               for p, size in zip(self.parts, n)], np.uint32)
+        self.hashes = np.concatenate(self.parts)
+        self.owner = np.repeat(np.arange(len(self.parts)), [len(p) for p in self.parts])
 
-    def may_link(self, i: int, other: Fine, places: np.ndarray, similar: int) -> np.ndarray:
-        """Which sets of ``other`` at ``places`` may be similar enough to set ``i``.
+    def common(self, other: Fine) -> np.ndarray:
+        """For each set and each of ``other``, how many hashes their sketches share.
 
-        Both sets are compared up to the hash to which both sketches are complete. That is
-        exact for small sets, and a uniform sample of the union for others.
+        Hashes that stand on one side only count for nothing. The sketches are rows of zeros and ones
+        over the others, ``COLUMNS`` of them at a time, and their products are the counts.
         """
-        own, theirs = self.parts[i], [other.parts[j] for j in places]
-        flat = np.concatenate(theirs)
-        starts = np.concatenate([[0], np.cumsum([len(t) for t in theirs])[:-1]])
-        at = np.searchsorted(own, flat)
-        at[at == len(own)] = 0
-        common = np.add.reduceat((own[at] == flat).astype(np.int64), starts)
-        upto = np.minimum(self.upto[i], other.upto[places])
-        within = flat <= np.repeat(upto, [len(t) for t in theirs])
-        union = (np.searchsorted(own, upto, "right")
-                 + np.add.reduceat(within.astype(np.int64), starts) - common)
+        both = np.intersect1d(self.hashes, other.hashes)
+        out = np.zeros((len(self.parts), len(other.parts)), np.float32)
+        sides = []
+        for side in (self, other):
+            at = np.minimum(np.searchsorted(both, side.hashes), max(len(both) - 1, 0))
+            here = both[at] == side.hashes if len(both) else np.zeros(len(at), bool)
+            order = np.argsort(at[here], kind="stable")
+            sides.append((len(side.parts), side.owner[here][order], at[here][order]))
+        for first in range(0, len(both), COLUMNS):
+            tables = []
+            for rows, owner, column in sides:
+                low, high = np.searchsorted(column, [first, first + COLUMNS])
+                table = np.zeros((rows, min(COLUMNS, len(both) - first)), np.float32)
+                table[owner[low:high], column[low:high] - first] = 1
+                tables.append(table)
+            out += tables[0] @ tables[1].T
+        return out
+
+    def within(self, upto: np.ndarray) -> np.ndarray:
+        """For each set and each bound, how many hashes of the sketch are up to it."""
+        return np.stack([np.searchsorted(p, upto, "right") for p in self.parts])
+
+    def may_link(self, other: Fine, similar: int) -> np.ndarray:
+        """For each set and each of ``other``, whether they may be similar enough.
+
+        Both are compared up to the hash to which both sketches are complete. That is exact for
+        small sets, and a uniform sample of the union for others.
+        """
+        common = self.common(other)
+        # A sketch holds nothing beyond its own bound, so the other one's is the only one that cuts.
+        union = self.within(other.upto) + other.within(self.upto).T - common
+        upto = np.minimum(self.upto[:, None], other.upto[None, :])
         s = similar / 100
         margin = np.where(upto < 0xFFFFFFFF, MARGIN * np.sqrt(s * (1 - s) / np.maximum(union, 1)), 1e-9)
         return common >= (s - margin) * union
@@ -270,36 +295,33 @@ def _block_pairs(similar: int, most: int | None):
                 n_l, n_r = (x.field("n").to_numpy() for x in (left, right))
                 table_l, table_r = (_table(x.field("sketch")) for x in (left, right))
                 fine_l, fine_r = Fine(left.field("fine"), n_l), Fine(right.field("fine"), n_r)
+                # What is exact for small sets comes first; few pairs are left for the registers.
+                good = fine_l.may_link(fine_r, similar)
+                good &= root_l[:, None] != root_r[None, :]
+                good &= (np.minimum(n_l[:, None], n_r[None, :]) * 100
+                         >= np.maximum(n_l[:, None], n_r[None, :]) * similar)
                 found = []
-                for at in range(0, len(node_l), 16):
-                    part = slice(at, at + 16)
-                    same = table_l[part, None, :] == table_r[None, :, :]
-                    shared = same[:, :, :ROWS * BANDS].reshape(
-                        same.shape[0], same.shape[1], BANDS, ROWS).all(axis=3)
-                    n = np.broadcast_to(n_l[part, None], same.shape[:2])
-                    m = np.broadcast_to(n_r[None, :], same.shape[:2])
-                    score = estimate.corrected(
-                        same.mean(axis=2).ravel(), n.ravel(), m.ravel()).reshape(same.shape[:2])
-                    good = (shared.argmax(axis=2) == band) & shared[:, :, band]
-                    good &= root_l[part, None] != root_r[None, :]
-                    good &= np.minimum(n, m) * 100 >= np.maximum(n, m) * similar
-                    good &= score >= Estimate.least(n, m, similar)
-                    for x in range(len(good)):
-                        places = np.flatnonzero(good[x])
-                        if len(places):
-                            places = places[fine_l.may_link(at + x, fine_r, places, similar)]
-                        if most and len(places):
-                            places = _best(places, score[x], root_r, most)
-                        found += [(node_l[at + x], y) for y in node_r[places].tolist()]
+                for x in np.flatnonzero(good.any(axis=1)).tolist():
+                    places = np.flatnonzero(good[x])
+                    same = table_r[places] == table_l[x]
+                    shared = same[:, :ROWS * BANDS].reshape(-1, BANDS, ROWS).all(axis=2)
+                    n, m = np.full(len(places), n_l[x]), n_r[places]
+                    score = estimate.corrected(same.mean(axis=1), n, m)
+                    keep = (shared.argmax(axis=1) == band) & shared[:, band]
+                    keep &= score >= Estimate.least(n, m, similar)
+                    places, score = places[keep], score[keep]
+                    if most and len(places):
+                        places = places[_best(score, root_r[places], most)]
+                    found += [(node_l[x], y) for y in node_r[places].tolist()]
                 pairs = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
     return compare
 
 
-def _best(places: np.ndarray, score: np.ndarray, root: np.ndarray, most: int) -> np.ndarray:
+def _best(score: np.ndarray, root: np.ndarray, most: int) -> np.ndarray:
     """At most ``most`` places of each root, the best ones."""
-    order = places[np.lexsort((-score[places], root[places]))]
+    order = np.lexsort((-score, root))
     first = np.flatnonzero(np.diff(root[order], prepend=-1))
     rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     return order[rank < most]

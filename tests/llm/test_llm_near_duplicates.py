@@ -123,3 +123,61 @@ def test_words_are_split_and_lowered_like_the_pattern():
         assert [len(found[i]) for i in range(len(texts))] == expected
         assert found[0][0] == WordHasher(SPACED).slices(pa.array(["a"])).__next__().hashes[0]
         assert found[3][0] != found[3][1]  # only A-Z is lowered
+
+
+@pytest.mark.parametrize("sizes, columns", [((5, 300), 4096), ((5, 300), 7), ((400, 1500), 512)])
+def test_blocks_of_fine_sketches_against_sets(monkeypatch, sizes, columns):
+    """Small sets exactly; of large ones no link is given up, and few others pass."""
+    import pyarrow as pa
+    monkeypatch.setattr(neardup, "COLUMNS", columns)
+    r = np.random.default_rng(sum(sizes) + columns)
+    values = []
+    for _ in range(6):
+        base = r.integers(0, 1 << 63, r.integers(*sizes), dtype=np.uint64) * np.uint64(2)
+        for _ in range(10):
+            new = base.copy()
+            where = r.random(len(base)) < r.uniform(0, 0.25)
+            new[where] = r.integers(0, 1 << 63, where.sum(), dtype=np.uint64)
+            values.append(np.unique(new))
+
+    def side(part):
+        sketches = [(v[:neardup.FINE] >> np.uint64(32)).astype(np.uint32).tobytes() for v in part]
+        return neardup.Fine(pa.array(sketches, pa.binary()), np.array([len(v) for v in part]))
+    got = side(values).may_link(side(values[::-1]), 80)
+    for i, a in enumerate(values):
+        for j, b in enumerate(values[::-1]):
+            common = len(np.intersect1d(a, b))
+            similarity = common / (len(a) + len(b) - common)
+            if max(len(a), len(b)) <= neardup.FINE:
+                assert got[i, j] == (similarity >= 0.8)
+            elif similarity >= 0.8:
+                assert got[i, j]
+            elif similarity < 0.6:
+                assert not got[i, j]
+
+
+def test_blocks_without_a_common_hash():
+    import pyarrow as pa
+    a, b = (neardup.Fine(pa.array([np.array(x, np.uint32).tobytes()]), np.array([2]))
+            for x in ([1, 2], [3, 4]))
+    assert a.common(b).tolist() == [[0]] and not a.may_link(b, 80).any()
+
+
+def test_many_similar_texts_without_links(spark, monkeypatch):
+    """Members of a bucket at a similarity of about 0.69, and some links among them."""
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(50_000)]
+    base = r.choices(vocabulary, k=120)
+    texts = []
+    for _ in range(250):
+        copy = list(base)
+        for _ in range(12):
+            copy[r.randrange(120)] = r.choice(vocabulary)
+        texts.append(" ".join(copy))
+        if r.random() < 0.1:
+            copy[r.randrange(120)] = r.choice(vocabulary)
+            texts.append(" ".join(copy))
+    monkeypatch.setattr(neardup, "BLOCK", 100)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(x) for x in neardup.near_duplicates(docs, words=2).collect())
+    assert got == brute_force(texts, 2)
