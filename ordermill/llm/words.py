@@ -117,11 +117,13 @@ class WordHasher:
         """The words of one long text, a slice at a time."""
         parts, at = [], 0
         while at < len(data):
-            end = min(len(data), at + self.slice_bytes)
-            codes = self.classes[data[at:end]]
-            while end < len(data) and codes.all():  # one word fills the slice
-                end = min(len(data), end + self.slice_bytes)
-                codes = self.classes[data[at:end]]
+            end, pieces = at, []
+            while end < len(data):  # more than one piece only while one word fills them all
+                start, end = end, min(len(data), end + self.slice_bytes)
+                pieces.append(self.classes[data[start:end]])
+                if not pieces[-1].all():
+                    break
+            codes = np.concatenate(pieces)
             if end < len(data):  # stop after the last separator
                 codes = codes[:len(codes) - int(np.argmax(codes[::-1] == 0))]
             h, s, e = self._hash(codes, np.zeros(1, np.int64))
