@@ -131,16 +131,23 @@ base AS (
         len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed, lines
     FROM docs d LEFT JOIN repeat_words USING (doc_id)),
 texts AS (SELECT source, t, any_value(lines) AS lines FROM base GROUP BY source, t),
-hosts AS (SELECT source, count(*) AS documents FROM texts GROUP BY source),
 each AS (
     SELECT source, t, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
         len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words
     FROM (SELECT source, t, unnest(lines) AS line FROM texts)),
-counted AS (SELECT source, line, count(DISTINCT t) AS n FROM each GROUP BY source, line),
+digests AS (SELECT DISTINCT source, t, line, md5(line) AS digest FROM each),
+ordered AS (
+    SELECT source, line, row_number() OVER least AS place, nth_value(digest, 1) OVER least AS first,
+        nth_value(digest, 2) OVER whole AS second
+    FROM digests WINDOW least AS (PARTITION BY source, t ORDER BY digest),
+        whole AS (PARTITION BY source, t ORDER BY digest
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 boilerplate AS (
-    SELECT c.source, line FROM counted c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-    WHERE n > 5 AND n > documents * 0.1::DOUBLE),
+    SELECT source, line FROM ordered GROUP BY source, line
+    HAVING count(DISTINCT CASE WHEN place = 1 THEN coalesce(second, '') ELSE first END) > 20
+       AND count(DISTINCT CASE WHEN place = 1 THEN coalesce(second, '') ELSE first END)
+           >= count(*) * 0.5::DOUBLE),
 removed AS (
     SELECT e.source, t, CAST(sum(words) AS BIGINT) AS words FROM each e JOIN boilerplate b
     ON e.source IS NOT DISTINCT FROM b.source AND e.line = b.line GROUP BY e.source, t)

@@ -1,13 +1,18 @@
 """Quality rules: repetition inside a document, and lines that many documents of a host share.
 
-A line is normalised (lower case, runs of digits as one 0, white space as one blank) and hashed. It
-is boilerplate of a host if more than a limit of the host's distinct documents have it, whatever
-else they hold; copies of one text count once. Such lines are removed, and a document of which
-too little is left is rejected. Only SQL functions are used: a document is measured in its
-own row, and only line hashes are shuffled, combined before the shuffle.
+A line is normalised (lower case, runs of digits as one 0, white space as one blank) and hashed. Its
+context in a document is the least digest of the document's other lines. It is boilerplate of a host if
+it has more than a limit of contexts there, and at least half as many as the host's distinct texts that
+hold it. The limit does not depend on the size of the host. Near copies mostly share their contexts, so
+a group of them, however large, does not make boilerplate of its own lines; copies of one text count
+once. Boilerplate is removed, and a document of which too little is left is rejected. Only SQL
+functions are used: a document is measured in its own row, and only line hashes are shuffled; contexts
+only of lines that more texts than the limit hold.
 
 Defined results: a NULL text has no words and fails the base rules. A NULL source is a host of its
-own. Equal rows get equal verdicts. The id is only passed on. Other columns are not read.
+own. Equal rows get equal verdicts. The id is only passed on. Other columns are not read, whatever
+their names. Texts are measured whole, in the memory of one row's task. A line that is the only one of
+its texts has one context, none. Of two lines with one hash (64 bits) both are counted as one.
 """
 
 from __future__ import annotations
@@ -25,8 +30,8 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5            # words of a window that must not be repeated
 LEAST_WORDS = 10      # fewer words fail, before and after lines are removed
 MOST_REPEATED = 20    # percent of words in repeated windows
-HOST_SHARE = 0.1      # a line is boilerplate in more than this share of a host's documents …
-HOST_DOCUMENTS = 5    # … and in more than this many
+HOST_CONTEXTS = 20    # a line is boilerplate of a host in more than this many contexts …
+CONTEXT_SHARE = 0.5   # … which are at least this share of the texts that have it
 LEAST_LEFT = 0.3      # share of words that removing boilerplate must leave
 
 KEY = ["source", "text_1", "text_2"]  # verdicts depend on the host and the text alone
@@ -55,6 +60,25 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(normalised(line))
 
 
+def measured_line(line: Column) -> Column:
+    """Hash, words, and the digest that orders the lines of a text."""
+    return bind(normalised(line), lambda n: F.struct(
+        F.xxhash64(n).alias("hash"), F.size(words_of(line)).alias("words"), F.md5(n).alias("digest")))
+
+
+def least_lines(lines: Column) -> Column:
+    """The hashes of the two distinct lines with the least digests."""
+    ordered = F.sort_array(F.array_distinct(F.transform(
+        lines, lambda x: F.struct(x["digest"].alias("digest"), x["hash"].alias("hash")))))
+    return F.transform(F.slice(ordered, 1, 2), lambda x: x["hash"])
+
+
+def context(line: str, least: str) -> Column:
+    """The least of the other lines; NULL if there is none."""
+    first, second = F.get(least, F.lit(0)), F.get(least, F.lit(1))
+    return F.when(F.col(line) == first, second).otherwise(first)
+
+
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words that lie in a window of words which occurs twice or more, the first one included."""
     def hashed(w: Column) -> Column:
@@ -82,7 +106,7 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def measures(text: Column) -> Column:
-    """A struct of counts, and the hash and the words of each line that has a word."""
+    """A struct of counts, the hash and the words of each line that has a word, and the least lines."""
     def of_words(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n_words"),
                         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -90,10 +114,11 @@ def measures(text: Column) -> Column:
 
     def of_lines(lines: Column) -> Column:
         repeats = F.size(lines) - F.size(F.array_distinct(lines))
-        return F.struct(repeats.cast("long").alias("n_dup_lines"),
-                        F.transform(lines, lambda x: F.struct(
-                            line_hash(x).alias("hash"),
-                            F.size(words_of(x)).alias("words"))).alias("lines"))
+        return bind(F.transform(lines, measured_line), lambda m: F.struct(
+            repeats.cast("long").alias("n_dup_lines"),
+            F.transform(m, lambda x: F.struct(
+                x["hash"].alias("hash"), x["words"].alias("words"))).alias("lines"),
+            least_lines(m).alias("least")))
 
     symbols = F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))
     return F.struct(bind(words_of(text), of_words).alias("w"),
@@ -104,8 +129,8 @@ def measures(text: Column) -> Column:
 class LineRules:
     """The measured documents, and which lines go; both are written tables."""
 
-    def __init__(self, documents: DataFrame, host_share: float = HOST_SHARE,
-                 host_documents: int = HOST_DOCUMENTS, least_left: float = LEAST_LEFT):
+    def __init__(self, documents: DataFrame, host_contexts: int = HOST_CONTEXTS,
+                 context_share: float = CONTEXT_SHARE, least_left: float = LEAST_LEFT):
         scratch = Scratch(documents.sparkSession, "quality")
         self.least_left = least_left
         text = F.coalesce("text", F.lit(""))
@@ -117,31 +142,38 @@ class LineRules:
         self.measured = scratch.table(
             measured.select("doc_id", *KEY, "m.w.*", "m.l.*", "m.n_symbols"), "measured"
         ).withColumn("base_failed", failed)
-        texts = scratch.table(self.measured.groupBy(*KEY).agg(F.first("lines").alias("lines")),
-                              "texts")
-        hosts = scratch.table(texts.groupBy("source").agg(F.count(F.lit(1)).alias("documents")),
-                              "hosts")
-        counted = (texts.select("source", F.explode(F.array_distinct("lines.hash")).alias("hash"))
-                   .groupBy("source", "hash").agg(F.count(F.lit(1)).alias("n"))
-                   .where(F.col("n") > host_documents))
-        same_host = F.expr("c.source <=> h.source")
+        texts = scratch.table(
+            self.measured.groupBy(*KEY).agg(F.first("lines").alias("lines"),
+                                            F.first("least").alias("least")), "texts")
+        # no more contexts than texts, so other lines need no contexts
+        often = scratch.table(
+            texts.select("source", F.explode(F.array_distinct("lines.hash")).alias("hash"))
+            .groupBy("source", "hash").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > host_contexts), "often")
+        each = texts.select(*KEY, "least", F.explode("lines").alias("line"))
+        held = scratch.table(
+            each.alias("e").join(often.alias("o"),
+                                 F.expr("e.source <=> o.source and e.line.hash = o.hash"))
+            .select(*[F.col(f"e.{c}") for c in KEY], "o.hash", "line.words",
+                    context("o.hash", "least").alias("context"))
+            .groupBy(*KEY, "hash", "context").agg(F.sum("words").alias("words")), "held")
         self.boilerplate = scratch.table(
-            counted.alias("c").join(hosts.alias("h"), same_host)
-            .where(F.col("n") > F.col("documents") * host_share)
-            .select("c.source", "hash", "n"), "boilerplate")
-        # at most one row per text and removed line
-        each = texts.select(*KEY, F.explode("lines").alias("line"))
+            held.groupBy("source", "hash", "context").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("source", "hash").agg(F.sum("n").alias("n"),
+                                           F.count(F.lit(1)).alias("contexts"))
+            .where((F.col("contexts") > host_contexts)
+                   & (F.col("contexts") >= F.col("n") * context_share)), "boilerplate")
         self.removed = scratch.table(
-            each.alias("e").join(self.boilerplate.alias("b"),
-                                 F.expr("e.source <=> b.source and e.line.hash = b.hash"))
-            .groupBy(*[F.col(f"e.{c}") for c in KEY])
-            .agg(F.sum("line.words").alias("removed_words"),
-                 F.collect_set("hash").alias("removed_lines")), "removed")
+            held.alias("h").join(self.boilerplate.alias("b"),
+                                 F.expr("h.source <=> b.source and h.hash = b.hash"))
+            .select(*[F.col(f"h.{c}") for c in KEY], "h.hash", "words")
+            .groupBy(*KEY).agg(F.sum("words").alias("removed_words"),
+                               F.collect_set("hash").alias("removed_lines")), "removed")
 
     def verdicts(self) -> DataFrame:
         """One row per document: its measures, what is removed, and ``kept``."""
         same = F.expr("d.source <=> r.source and d.text_1 = r.text_1 and d.text_2 = r.text_2")
-        judged = self.measured.drop("lines").alias("d").join(
+        judged = self.measured.drop("lines", "least").alias("d").join(
             self.removed.select(*KEY, "removed_words").alias("r"), same, "left")
         left = F.col("n_words") - F.col("removed_words")
         return (judged.select("d.*", F.coalesce("removed_words", F.lit(0)).alias("removed_words"))

@@ -29,11 +29,14 @@ def clean(docs):
         hit = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(5)}
         return len(w) < 10 or 100 * len(hit) > 20 * len(w)
     texts = {(s, t) for _, t, s in docs}
-    hosts, lines = Counter(s for s, _ in texts), Counter()
+    contexts = defaultdict(list)
     for s, t in texts:
-        lines.update({(s, normalised(x)) for x in t.split("\n") if SPACED.search(x)})
-    bad = {k for k, n in lines.items()
-           if n > quality.HOST_DOCUMENTS and n > hosts[k[0]] * quality.HOST_SHARE}
+        lines = sorted({normalised(x) for x in t.split("\n") if SPACED.search(x)},
+                       key=lambda x: hashlib.md5(x.encode()).hexdigest())
+        for x in lines:
+            contexts[s, x].append(next((y for y in lines if y != x), None))
+    bad = {k for k, c in contexts.items() if len(set(c)) > quality.HOST_CONTEXTS
+           and len(set(c)) >= len(c) * quality.CONTEXT_SHARE}
     out = []
     for i, t, s in docs:
         w = SPACED.findall(t)

@@ -1,0 +1,104 @@
+"""Lines that a host's documents share: independent of the host's size, and safe for near copies."""
+
+import random
+
+import duckdb
+import pytest
+
+from ordermill.llm import oracle, quality
+
+PASSAGE = "The passage that many documents of this host repeat is one line of a dozen words"
+COUNTS = ["n_words", "removed_words", "kept"]
+
+
+def lines(rng, count, words=12):
+    return [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10 ** 6):x}" for _ in range(words))
+            for _ in range(count)]
+
+
+def judged(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return table, {r["doc_id"]: r for r in quality.judge(table).collect()}
+
+
+def holders(rng, count=30):
+    """Documents with the passage among other lines, the odd ones with one short line only."""
+    return [(i, "\n".join(lines(rng, 1 if i % 2 else 4, 3 if i % 2 else 12) + [PASSAGE]), "h")
+            for i in range(count)]
+
+
+def test_one_verdict_in_hosts_of_any_size(spark):
+    rng = random.Random(1)
+    found = []
+    for clean in (500, 50_000):
+        rows = holders(random.Random(2)) + [
+            (1_000 + i, lines(rng, 1)[0], "h") for i in range(clean)]
+        _, verdicts = judged(spark, rows)
+        assert all(verdicts[1_000 + i]["kept"] for i in range(clean))
+        found.append([[verdicts[i][c] for c in COUNTS] for i in range(30)])
+    assert found[0] == found[1]
+    assert [r[1] for r in found[0]] == [len(PASSAGE.split())] * 30
+    assert [r[2] for r in found[0]] == [i % 2 == 0 for i in range(30)]
+
+
+@pytest.mark.parametrize("documents, removed", [(20, False), (21, True)])
+def test_limit(spark, documents, removed):
+    _, verdicts = judged(spark, holders(random.Random(3), documents))
+    assert {r["removed_words"] > 0 for r in verdicts.values()} == {removed}
+
+
+def near_copies(rng, count, of):
+    """Copies of one text, each with one word of one line changed."""
+    base = lines(rng, of)
+    out = []
+    for i in range(count):
+        copy = list(base)
+        k = rng.randrange(of)
+        words = copy[k].split()
+        words[rng.randrange(len(words))] = f"new{i}"
+        copy[k] = " ".join(words)
+        out.append("\n".join(copy))
+    return out
+
+
+def test_near_copies_stay_whole(spark):
+    rng = random.Random(4)
+    rows = [(i, t, "h") for i, t in enumerate(near_copies(rng, 400, 8))]
+    rows += [(1_000 + i, t, s) for i, t, s in holders(rng)]
+    _, verdicts = judged(spark, rows)
+    assert all(verdicts[i]["kept"] and not verdicts[i]["removed_words"] for i in range(400))
+    assert all(verdicts[1_000 + i]["removed_words"] for i in range(30))
+
+
+def test_boilerplate_goes_from_the_text(spark):
+    rng = random.Random(5)
+    table, _ = judged(spark, holders(rng) + [(99, PASSAGE, "other")])
+    texts = {r["doc_id"]: r["text"] for r in quality.clean(table).collect()}
+    assert set(texts) == {i for i in range(30) if i % 2 == 0} | {99}
+    assert texts[99] == PASSAGE and all(PASSAGE not in texts[i] for i in range(0, 30, 2))
+
+
+def test_sql_has_the_same_rule(spark, tmp_path):
+    """Shared lines near the limit, copies, near copies, lines that differ in digits and blanks only."""
+    rng = random.Random(6)
+    rows = holders(rng, 21) + holders(rng, 20) + [(500, "", None), (501, None, "h")]
+    for host in ("h", "g", None):
+        shared = lines(rng, 6)
+        for i in range(80):
+            body = lines(rng, rng.randrange(0, 4)) + rng.sample(shared, rng.randrange(1, 6))
+            body = [x.replace("a1", "a27").replace(" ", rng.choice([" ", "  "])) for x in body]
+            rows += [(len(rows), "\n".join(body), host)] * rng.choice([1, 1, 2])
+        rows += [(len(rows) + i, t, host) for i, t in enumerate(near_copies(rng, 60, 3))]
+        rows += [(len(rows), shared[0], host)]
+    rows = [(i, t, s) for i, (_, t, s) in enumerate(rows)]
+    table, verdicts = judged(spark, rows)
+    table.toPandas().to_parquet(tmp_path / "documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet')")
+    result = duck.execute(oracle.QUALITY_RULES)
+    names = [d[0] for d in result.description]
+    wanted = {r[0]: r for r in result.fetchall()}
+    assert len(wanted) == len(verdicts) == len(rows)
+    assert {i: [r[c] for c in names] for i, r in verdicts.items()} == {
+        i: list(r) for i, r in wanted.items()}
+    assert len({r["removed_words"] > 0 for r in verdicts.values()}) == 2
