@@ -128,19 +128,22 @@ def _refresh_row_counts(t: SampleTables) -> DataFrame:
 
 
 def _refresh_refused(t: SampleTables) -> DataFrame:
-    """A build that breaks its rules: the report, and the rows that are still published."""
+    """A build that breaks its rules: the report, what is still published, and the broken rows kept."""
     database, _ = _refreshed(t)
     fact = t.spark.table(f"{database}.fact_orders")
     try:
         publish(fact.where("total_items > 0"), database, "fact_orders", TIGHT_SUITE)
     except QualityError as error:
-        report = error.report
-    return t.spark.table(f"{database}.fact_orders").agg(
+        report, rows = error.report, error.rows
+    kept = t.spark.read.parquet(rows).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    lines = t.spark.table(f"{database}.fact_orders").agg(
         F.count(F.lit(1)).alias("published_rows")).select("published_rows", F.inline(F.array(*[
             F.struct(F.lit(line["rule"]).alias("rule"),
                      F.lit(line["element_count"]).cast("bigint").alias("element_count"),
                      F.lit(line["unexpected_count"]).cast("bigint").alias("unexpected_count"),
                      F.lit(line["success"]).alias("success")) for line in report])))
+    return lines.join(kept, "rule", "left").select(
+        *lines.columns, F.coalesce("n", F.lit(0)).alias("kept_rows"))
 
 
 def queries() -> dict[str, Query]:
@@ -334,7 +337,8 @@ def _refused() -> str:
         broken = f"count_if({condition})"
         return f"""SELECT (SELECT count(*) FROM fact) AS published_rows, '{rule}' AS rule,
             count(*) AS element_count, CAST({broken} AS BIGINT) AS unexpected_count,
-            {broken} = 0 AS success FROM fact WHERE total_items > 0"""
+            {broken} = 0 AS success, CAST({broken} AS BIGINT) AS kept_rows
+            FROM fact WHERE total_items > 0"""
     return (f"WITH fact AS ({_fact()}) "
             + line("total_items_between", "total_items < 1 OR total_items > 6") + " UNION ALL "
             + line("avg_review_score_between", "avg_review_score < 0 OR avg_review_score > 4"))

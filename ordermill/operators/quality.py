@@ -55,10 +55,14 @@ def between(column: str, min_value: float | None = None,
 
 
 class QualityError(ValueError):
-    """A suite failed; ``report`` holds one dict per rule."""
+    """A suite failed; ``report`` holds one dict per rule.
+
+    ``rows`` is the folder with the rows that broke a rule, if they were kept.
+    """
 
     def __init__(self, suite: str, report: list[dict]):
         self.report = report
+        self.rows: str | None = None
         broken = ", ".join(f"{r['rule']} ({r['unexpected_count']} rows)"
                            for r in report if not r["success"])
         super().__init__(f"{suite} failed: {broken}")

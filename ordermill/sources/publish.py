@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ..operators.quality import QualityError, Suite
 
 KEPT_RELEASES = 10        # files of earlier releases
+KEPT_REFUSALS = 10        # refused builds of a table whose broken rows are kept
 ABANDONED_AFTER = 86_400  # seconds; no build takes that long
 ATTEMPTS = 100            # releases of others that a publisher makes way for
 
@@ -54,7 +55,8 @@ def write_build(table: DataFrame, database: str, name: str, suite: Suite | None
     """Write and validate, without publishing.
 
     The rules are counted while the rows are written, so validation reads nothing. If a
-    rule fails, or the write does, the build is dropped.
+    rule fails, or the write does, the build is dropped. Of a build that its rules refuse, the rows
+    that broke them stay as Parquet files, named by the error.
     """
     spark = table.sparkSession
     build = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
@@ -64,7 +66,15 @@ def write_build(table: DataFrame, database: str, name: str, suite: Suite | None
         rows = suite.observe(table, observation)
     try:
         rows.write.format("parquet").saveAsTable(f"`{database}`.`{build}`")
-        report = suite.require(suite.report(observation.get)) if suite else []
+        report = suite.report(observation.get) if suite else []
+        if suite:
+            suite.require(report)
+    except QualityError as error:
+        try:
+            error.rows = _keep_refused(spark, database, build, suite)
+        finally:
+            drop_builds(spark, database, [build])
+        raise
     except Exception:
         drop_builds(spark, database, [build])
         raise
@@ -126,6 +136,33 @@ def drop_builds(spark: SparkSession, database: str, names: Sequence[str]) -> Non
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
 
 
+def refused(spark: SparkSession, database: str, table: str) -> list[str]:
+    """Folders with the rows that broke a rule, one per refused build of the table, oldest first."""
+    files, folder, path = _refused_folder(spark, database)
+    if not files.exists(folder):
+        return []
+    found = sorted(s.getPath().getName() for s in files.listStatus(folder))
+    return [path(folder, n).toString() for n in found if n.rsplit("__v", 1)[0] == table]
+
+
+def _keep_refused(spark: SparkSession, database: str, build: str, suite: Suite) -> str:
+    """Write the rows of a build that break a rule, each with the rule's name; the last ones stay."""
+    files, folder, path = _refused_folder(spark, database)
+    place = path(folder, build).toString()
+    suite.violations(spark.table(f"`{database}`.`{build}`")).write.parquet(place)
+    for old in refused(spark, database, build.rsplit("__v", 1)[0])[:-KEPT_REFUSALS]:
+        files.delete(path(old), True)
+    return place
+
+
+def _refused_folder(spark: SparkSession, database: str):
+    """The file system, the folder ``_refused`` of the database, and the class of paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    location = spark.catalog.getDatabase(database).locationUri
+    files = path(location).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return files, files.makeQualified(path(location, "_refused")), path
+
+
 def drop_abandoned(spark: SparkSession, database: str, table: str,
                    seconds: float = ABANDONED_AFTER) -> list[str]:
     """Drop builds that are in no release and were begun longer ago than any build takes.

@@ -13,7 +13,7 @@ from ordermill.sources import manifest
 from ordermill.sources.csv_extract import MalformedExtract
 from ordermill.sources import publish as publishing
 from ordermill.sources.publish import (Releases, builds, complete, drop_abandoned, ensure_database,
-                                       publish, release, write_build)
+                                       publish, refused, release, write_build)
 
 CSV = {
     manifest.CUSTOMERS: "customer_id,customer_unique_id,customer_city,customer_state,zip\n"
@@ -119,6 +119,40 @@ def test_a_refused_fact_leaves_all_tables(spark, database, raw):
     assert len(Releases(spark, database).numbers()) == 1
 
 
+def test_rows_that_broke_a_rule_outlive_the_refusal(spark, database, raw):
+    (raw / manifest.REVIEWS).write_text("order_id,review_score\no1,9\n")
+    with pytest.raises(QualityError) as error:
+        refresh.run_refresh(spark, str(raw), database)
+    [row] = spark.read.parquet(error.value.rows).collect()
+    assert (row.order_id, row.avg_review_score, row.rule) == ("o1", 9.0, "avg_review_score_between")
+    assert refused(spark, database, "fact_orders") == [error.value.rows]
+    assert builds(spark, database, "fact_orders") == []
+
+
+def test_refused_rows_of_the_last_builds_stay(spark, database, monkeypatch):
+    monkeypatch.setattr(publishing, "KEPT_REFUSALS", 2)
+    suite = Suite("s", [not_null("id"), between("id", max_value=5), between("id", min_value=1)])
+    places = []
+    for name in ("t", "t", "t__v2", "t"):  # a table whose name looks like a build of the other
+        with pytest.raises(QualityError) as error:
+            publish(spark.range(8), database, name, suite)
+        places.append(error.value.rows)
+    assert refused(spark, database, "t") == [places[1], places[3]]
+    assert refused(spark, database, "t__v2") == [places[2]]
+    found = spark.read.parquet(places[3]).orderBy("id").collect()
+    assert [(r.id, r.rule) for r in found] == [
+        (0, "id_between"), (6, "id_between"), (7, "id_between")]
+    assert refused(spark, database, "other") == []
+
+
+def test_a_failed_write_keeps_no_rows(spark, database):
+    from pyspark.sql import functions as F
+    with pytest.raises(Exception, match="broken here"):
+        publish(spark.range(3).withColumn("x", F.raise_error(F.lit("broken here")).cast("int")),
+                database, "t", Suite("s", [not_null("id")]))
+    assert refused(spark, database, "t") == [] and builds(spark, database, "t") == []
+
+
 def test_a_rerun_completes_a_recorded_release(spark, database, raw, monkeypatch):
     refresh.run_refresh(spark, str(raw), database)
     (raw / manifest.SELLERS).write_text("seller_id,seller_city,seller_state\ns9,rio,RJ\n")
