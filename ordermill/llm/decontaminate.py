@@ -14,7 +14,8 @@ the documents, or two with the count of its words.
 Defined results: a NULL text, an empty one, or one without words is never hit. A NULL item has no
 windows. Items with equal ids count as one item. Windows of a NULL id are hit like any others, but
 are not listed or counted as an item. Rows are judged one by one, so repeated rows each get the
-same result. Other columns of the input are not read.
+same result. Texts of any length are read whole. Words are told apart by 64-bit hashes, also where they
+are compared one by one. Other columns of the input are not read.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ joins is lost.
 Defined results: NULL, empty and wordless texts have ``n_shingles`` 0 and are linked with nothing.
 Rows with equal sets are one class whatever their ids, repeated rows included. A NULL id takes
 part, but is never the smallest id; a component of NULL ids only has the id NULL, and its rows are
-not kept. Other columns of the input are not read.
+not kept. Texts of any length are read whole; one text's shingles are held in one task. Shingles are told
+apart by 64-bit hashes, so "full sets" are sets of these. Other columns of the input are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ tables, so a join with them can be split or broadcast by size.
 
 Defined results: a NULL url, or one without ``://``, has an empty host and path, fits no rule, and is
 judged like any host. A NULL id has no label. Repeated rows count as often as they are there. Labels
-of one id that contradict each other count as bad. Other columns are not read.
+of one id that contradict each other count as bad. A url of any length is read whole. Other columns are not read.
 """
 
 from __future__ import annotations
