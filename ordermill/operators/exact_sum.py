@@ -20,23 +20,42 @@ UNIT = 1 << (BITS * (PARTS - 2))  # the last part counts in 1 / UNIT
 FITS = 1 << 20  # the greatest part's total must be below this, so that all have a place in 38 digits
 
 
-def _exact_sum(value: str) -> str:
-    """As one expression: built call by call, it would cost more than a small sum."""
+def parts(value: str) -> list[str]:
+    """Of a double, per row: the whole numbers, and last what they cannot hold. All NULL for a NULL."""
     usable = f"CASE WHEN abs({value}) < {MOST}D THEN {value} END"
     # A remainder of doubles is exact, and a cast cuts towards 0.
-    parts = [f"{usable} / {STEP}D"] + [
+    whole = [f"{usable} / {STEP}D"] + [
         f"({usable} * {STEP ** place}D) % {STEP}D" for place in range(PARTS - 1)]
-    totals = [f"coalesce(sum(bigint({part})), 0)" for part in parts]
-    beside = (f"sum(CASE WHEN abs({value}) < {MOST}D THEN ({value} * {UNIT}D) % 1D / {UNIT}D "
-              f"ELSE {value} END)")
+    beside = (f"CASE WHEN abs({value}) < {MOST}D THEN ({value} * {UNIT}D) % 1D / {UNIT}D "
+              f"ELSE {value} END")
+    return [f"bigint({part})" for part in whole] + [beside]
+
+
+def put_together(sums: list[str]) -> str:
+    """The sum of doubles, from the sums of their ``parts``; NULL if there was no value."""
+    *sums, beside = sums
+    totals = [f"coalesce({s}, 0)" for s in sums]
     scales = [STEP ** (PARTS - 1 - place) for place in range(PARTS)]
     whole = " + ".join(f"cast({t} AS decimal(20,0)) * {s}BD"
                        for t, s in zip(totals, scales))
     rounded = " + ".join(f"double({t}) * {s}D" for t, s in zip(totals, scales))
-    exact = f"(CASE WHEN abs({totals[0]}) < {FITS} THEN double({whole}) ELSE {rounded} END) / {UNIT}D"
+    # Where 64 bits hold two parts together, a carry leaves two doubles without error, added at once.
+    first, *pairs = totals
+    high, low = [f"({a} * {STEP} + {b})" for a, b in (pairs[:2], pairs[2:])]
+    small = " AND ".join([f"{first} = 0"] + [
+        f"abs({t}) < {1 << bits}" for t, bits in zip(pairs, (BITS - 1, 2 * BITS - 2, 35, 61))])
+    plain = (f"double({high} + shiftright({low}, {2 * BITS})) / {STEP}D + "
+             f"double({low} & {STEP ** 2 - 1}) / {UNIT}D")
+    exact = (f"CASE WHEN {small} THEN {plain} "
+             f"ELSE (CASE WHEN abs({first}) < {FITS} THEN double({whole}) ELSE {rounded} END) / {UNIT}D END")
     return f"CASE WHEN {beside} = 0 THEN {exact} ELSE {exact} + {beside} END"
 
 
+def _exact_sum(value: str) -> str:
+    """As one expression: built call by call, it would cost more than a small sum."""
+    return put_together([f"sum({part})" for part in parts(value)])
+
+
 def exact_sum(value: str) -> Column:
     """The sum of a double column, rounded once; NULL if there is no value."""
     return F.expr(_exact_sum(f"double({value})"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import purchase_date
 from ..operators.branch_totals import COPIES, Branch, with_branch_totals
-from ..operators.exact_sum import exact_mean, exact_sum
 
 KEY = "order_id"
 ORDER_COLUMNS = [KEY, "customer_id", "order_status", "order_purchase_timestamp"]
@@ -15,30 +14,17 @@ ORDER_COLUMNS = [KEY, "customer_id", "order_status", "order_purchase_timestamp"]
 
 def item_branch(items: DataFrame) -> Branch:
     rows = items.select(KEY, "order_item_id",
-                        (F.col("price") + F.col("freight_value")).alias("item_value"),
-                        F.lit(1).alias("item_row"))
-    return Branch(rows, [
-        F.countDistinct("order_item_id").alias("items"),
-        exact_sum("item_value").alias("order_value"),
-        F.count("item_row").alias("item_rows"),
-    ])
+                        (F.col("price") + F.col("freight_value")).alias("item_value"))
+    return Branch(rows, "item_value", rows="item_rows", sum="order_value",
+                  counted="order_item_id", distinct="items")
 
 
 def payment_branch(payments: DataFrame) -> Branch:
-    rows = payments.select(KEY, "payment_value", F.lit(1).alias("payment_row"))
-    return Branch(rows, [
-        exact_sum("payment_value").alias("paid"),
-        F.count("payment_row").alias("payment_rows"),
-    ])
+    return Branch(payments, "payment_value", rows="payment_rows", sum="paid")
 
 
 def review_branch(reviews: DataFrame) -> Branch:
-    rows = reviews.select(KEY, F.col("review_score").cast("double").alias("score"),
-                          F.lit(1).alias("review_row"))
-    return Branch(rows, [
-        exact_mean("score").alias("mean_score"),
-        F.count("review_row").alias("review_rows"),
-    ])
+    return Branch(reviews, "review_score", rows="review_rows", mean="mean_score")
 
 
 def _order_totals(orders: DataFrame, items: DataFrame, payments: DataFrame,

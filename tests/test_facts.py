@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from ordermill.operators.branch_totals import _per_group
 from ordermill.plans import facts
 
 ORDERS = "order_id string, customer_id string, order_status string, order_purchase_timestamp string"
@@ -179,3 +180,32 @@ def test_all_is_combined_before_it_is_shuffled(spark, tmp_path):
         assert all("Aggregate" in lines[i + 1] for i in exchanges)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("item", ["bigint", "int", "double", "string"])
+def test_distinct_items_of_any_type(spark, item):
+    """Whole numbers are counted as bits of groups of 64, others as they are."""
+    ids = [0, 1, 1, 63, 64, 65, -1, -64, -65, 2 ** 31 - 1, -2 ** 31, None, None]
+    ids += [2 ** 63 - 1, -2 ** 63] if item == "bigint" else []
+    items = spark.createDataFrame([("o1", None if i is None else str(i)) for i in ids],
+                                  "order_id string, order_item_id string").selectExpr(
+        "order_id", f"CAST(order_item_id AS {item}) AS order_item_id",
+        "1.5D AS price", "CAST(NULL AS double) AS freight_value")
+    orders, _, payments, reviews = frames(spark, [("o1", "c", "s", T1)], payments=[("o1", 2.0)])
+    tables = orders, items, payments, reviews
+    assert rows(facts.fact_orders(*tables)) == rows(joined_row_by_row(spark, *tables))
+    assert facts.fact_orders(*tables).first().total_items == len(set(ids)) - 1
+
+
+def test_a_task_holds_one_narrow_row_per_order(spark, tmp_path):
+    """Before the first shuffle: neither a row per item, nor columns for each branch."""
+    tables = frames(spark, [("o1", "c", "s", T1)],
+                    [(f"o{i % 100}", i % 50, 1.0, 2.0) for i in range(10_000)], [("o1", 1.0)])
+    for i, frame in enumerate(tables):
+        frame.coalesce(1).write.parquet(str(tmp_path / str(i)))
+    fact = facts.fact_orders(*[spark.read.parquet(str(tmp_path / str(i))) for i in range(4)])
+    lines = [line for line in plan_of(fact).splitlines() if "HashAggregate" in line]
+    widest = max(line.count("partial_") for line in lines if "group" in line)
+    assert 0 < widest <= 10
+    branch = facts.item_branch(spark.read.parquet(str(tmp_path / "1")))
+    assert _per_group(branch.details("order_id", 0), "order_id").count() == 100
