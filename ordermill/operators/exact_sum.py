@@ -46,9 +46,9 @@ def put_together(sums: list[str]) -> str:
         f"abs({t}) < {1 << bits}" for t, bits in zip(pairs, (BITS - 1, 2 * BITS - 2, 35, 61))])
     plain = (f"double({high} + shiftright({low}, {2 * BITS})) / {STEP}D + "
              f"double({low} & {STEP ** 2 - 1}) / {UNIT}D")
-    exact = (f"CASE WHEN {small} THEN {plain} "
-             f"ELSE (CASE WHEN abs({first}) < {FITS} THEN double({whole}) ELSE {rounded} END) / {UNIT}D END")
-    return f"CASE WHEN {beside} = 0 THEN {exact} ELSE {exact} + {beside} END"
+    exact = (f"(CASE WHEN {small} THEN {plain} "
+             f"ELSE (CASE WHEN abs({first}) < {FITS} THEN double({whole}) ELSE {rounded} END) / {UNIT}D END)")
+    return f"({exact} + {beside})"
 
 
 def _exact_sum(value: str) -> str:

@@ -42,19 +42,27 @@ def _texts(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+# Long numbers and such with an exponent, tried by their value.
+LONG_NUMBER_KIND = f"""CASE
+    WHEN length(v) > 18 AND v RLIKE r'{DIGITS}' THEN CASE
+        WHEN try_cast(trim(v) AS bigint) IS NOT NULL THEN {INTEGER}
+        WHEN try_cast(trim(v) AS decimal(38,0)) >= 0
+            AND try_cast(trim(v) AS decimal(38,0)) < {2 ** 64}BD THEN {WIDE_INTEGER}
+        ELSE {HUGE_INTEGER} END
+    WHEN (contains(v, 'e') OR contains(v, 'E') OR length(v) > 300)
+        AND abs(try_cast(v AS double)) = double('inf') THEN {TEXT}
+    ELSE {DECIMAL} END"""
+
 # Numbers start with a blank, a sign, a dot, a digit or the i of inf. This spares most texts the patterns.
+# The rare kinds stand in a lambda, which Spark does not compile into one method with the rest of the
+# pass: the JVM only interprets a method that long, and a few columns are enough for one.
 VALUE_KIND = f"""CASE
     WHEN {{0}} IS NULL OR {{0}} IN ({_texts(MISSING_TOKENS)}) THEN {MISSING}
     WHEN ascii({{0}}) <= ascii('9') OR ascii({{0}}) IN (ascii('i'), ascii('I')) THEN CASE
         WHEN {{0}} RLIKE r'{SHORT_DIGITS}' THEN {INTEGER}
         WHEN {{0}} RLIKE r'{NUMBER}' THEN CASE
-            WHEN length({{0}}) > 18 AND {{0}} RLIKE r'{DIGITS}' THEN CASE
-                WHEN try_cast(trim({{0}}) AS bigint) IS NOT NULL THEN {INTEGER}
-                WHEN try_cast(trim({{0}}) AS decimal(38,0)) >= 0
-                    AND try_cast(trim({{0}}) AS decimal(38,0)) < {2 ** 64}BD THEN {WIDE_INTEGER}
-                ELSE {HUGE_INTEGER} END
-            WHEN (contains({{0}}, 'e') OR contains({{0}}, 'E') OR length({{0}}) > 300)
-                AND abs(try_cast({{0}} AS double)) = double('inf') THEN {TEXT}
+            WHEN length({{0}}) > 18 OR contains({{0}}, 'e') OR contains({{0}}, 'E')
+                THEN transform(array({{0}}), v -> {LONG_NUMBER_KIND})[0]
             ELSE {DECIMAL} END
         ELSE {TEXT} END
     WHEN {{0}} IN ({_texts(TRUE_TOKENS + FALSE_TOKENS)}) THEN {BOOLEAN}
